@@ -1,10 +1,11 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
-from quiremill.llm import decontaminate, embedding_dedup, language_id, line_dedup, ordinal_quality, url_filter, warc
+from quiremill.llm import decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, ordinal_quality, url_filter, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_language_id": language_id.op2_language_id,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_warc": warc.op6_warc,
     "op7_decontaminate": decontaminate.op7_decontaminate,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL,
+    "op4_jaccard_join": jaccard_join.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op8_embedding_dedup": embedding_dedup.SQL,
 }
