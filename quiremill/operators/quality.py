@@ -44,7 +44,7 @@ def quality_gate(words: DataFrame, threshold: float, pages: DataFrame | None = N
 
 
 def decision(passed: Column) -> Column:
-    return F.when(passed, "tesseract").otherwise("mistral")
+    return F.when(passed, "pass").otherwise("fallback")
 
 
 def quality_tier(avg: Column, fallback_free_ratio: Column) -> Column:
