@@ -56,7 +56,8 @@ def find_skew(gray: np.ndarray, reach: float = 3.0, coarse: float = 0.2, fine: f
     best = 0.0
     for span, step in ((reach, coarse), (coarse, fine)):
         angles = best + np.arange(-span, span + step / 2, step)
-        best = float(angles[int(np.argmax([_profile_variance(ys, xs, a, gray.shape[0]) for a in angles]))])
+        v = np.array([_profile_variance(ys, xs, a, gray.shape[0]) for a in angles])
+        best = float(np.mean(angles[v >= v.max() * (1 - 1e-6)]))  # whole pixels make plateaus: their middle
     return best
 
 

@@ -93,8 +93,9 @@ def page_verdict(overlap: Column, orig_tokens: Column, dig_tokens: Column, lost_
     return F.when(fail, "FAIL").when(F.size(warnings) > 0, "WARN").otherwise("PASS"), warnings
 
 
-def concordance(pairs: DataFrame, page_difference: Column = F.lit(0)) -> DataFrame:
+def concordance(pairs: DataFrame, page_difference: Column | None = None) -> DataFrame:
     """Counts of verdicts, mean overlap and the verdict over all."""
+    page_difference = F.lit(0) if page_difference is None else page_difference
     a = pairs.agg(F.count("*").alias("pages"), *[F.count_if(F.col("status") == s).alias(s.lower()) for s in ("PASS", "WARN", "FAIL")], F.avg("overlap").alias("mean_overlap"))
     bad = (F.col("fail") > 0.05 * F.col("pages")) | (F.abs(page_difference) > 2)
     verdict = F.when((F.col("fail") > 0) | (page_difference != 0), F.when(bad, "FAIL").otherwise("WARN")).when(F.col("warn") > 0.2 * F.col("pages"), "WARN").otherwise("PASS")
