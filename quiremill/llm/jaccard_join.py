@@ -7,16 +7,21 @@ prefixes give the candidates.  The order is cut into fragments by ranges of the
 candidate pair the overlap is counted in each fragment by itself and summed per pair, and the sum
 decides exactly: ``100 * overlap >= percent * union``.
 
-What is frequent is counted over the whole corpus; at most ``MAX_FREQUENT`` n-grams, the most
-frequent ones, are broadcast (1 MB).  Any such choice gives the same links, it only keeps passages
+What is frequent is counted over the whole corpus: first in the beginnings of all sets by hash, then
+further on in the sets whose beginnings hold many frequent n-grams.  Of each count at most
+``MAX_FREQUENT`` n-grams, the most frequent ones, are broadcast (4 MB).  Any such choice gives the same links, it only keeps passages
 that many documents share out of the prefixes.
 
-Lists of vertices that share a prefix n-gram aren't expanded into pairs at once.  First each list's
-least vertex (its pivot) is compared with the others, which is linear; components of these links
-follow, and a list whose vertices are all in one component is done: that is how a group of near
-copies ends.  Lists over ``SHORT`` get further pivots from other components for some rounds.
-What is then left are pairs of one list, of different components and fitting sizes; all of them
-are compared, so no link is lost.
+Lists of vertices that share a prefix n-gram aren't expanded into pairs.  Each list's least vertex,
+its pivot, is compared with the others, which is linear.  Where a list is long, the vertices within
+reach of its pivot become a cluster: groups of near copies.  A cluster's medoid, the member nearest
+to the majority of its members' n-grams, is compared with them; that links what is close to a
+common origin.  The members that are still in different components are compared in blocks of
+bitmaps, in which no pair is a row unless it may link.  What is left are pairs of one list that
+aren't of one cluster or component; all of them are compared, so no link is lost.
+
+Comparing begins with a bitmap of each set (512 bytes) that bounds the difference of two sets from
+below; whole sets are made and shuffled only for pairs that link or nearly do.
 """
 
 from __future__ import annotations
@@ -32,11 +37,16 @@ from quiremill.llm.common import forget, split_hint, staged, table
 from quiremill.llm.components import components
 from quiremill.llm.texthash import U, column_bytes, mix, shingles, slices, words
 
-MAX_FREQUENT = 1 << 17
-FREQUENT = 32
-SHORT = 64
-PIVOT_ROUNDS = 4
+MAX_FREQUENT = 1 << 19
+FREQUENT = 4
+SHORT = 8
+#: Vertices within so many times the largest linking difference of a pivot are its cluster.
+REACH = 6
+BLOCK = 256
 FRAGMENT_BITS = 3
+BITMAP_WORDS = 64
+#: A set of ids is broadcast only if it was counted and has at most so many (24 MB); else it is joined by shuffle.
+MAX_IDS = 1_000_000
 
 
 def _prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -69,7 +79,7 @@ def _firsts(keys: np.ndarray, off: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _probe_size(n: np.ndarray, percent: int) -> np.ndarray:
-    return np.minimum(n, _prefix_size(n, percent) * 4 // 3 + 8)
+    return np.minimum(n, _prefix_size(n, percent) * 9 // 8 + 4)
 
 
 def _describe(k: int, percent: int):
@@ -116,8 +126,11 @@ def _prefixes(percent: int, shared):
     return run
 
 
-def _late_prefixes(k: int, percent: int, shared):
-    """From texts: prefixes of rows whose probe isn't enough."""
+def _late_prefixes(k: int, percent: int, shared, wide: bool = False):
+    """From texts: prefixes of rows whose probe isn't enough; or more than that, to count frequencies in.
+
+    The wider stretch is half as much again as a prefix takes at the probe's share of frequent n-grams.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
@@ -136,44 +149,146 @@ def _late_prefixes(k: int, percent: int, shared):
                 keys, _ = _reorder(keys, off, frequent)
                 size = np.zeros(len(n), np.int64)
                 size[rows] = need[rows]
+                if wide:
+                    share = (usual[rows] + 1) / (probe[rows] + 1)
+                    size[rows] = np.minimum(n[rows], (1.5 * need[rows] / share).astype(np.int64) + 8)
                 pick = pa.array(rows)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pick), pa.array(n[rows].astype(np.int64)), pa.array(s1[rows]), pa.array(s2[rows]), _ragged(_firsts(keys, off, size), size[rows])], ["d", "n", "s1", "s2", "prefix"])
 
     return run
 
 
-def _fragments(k: int):
-    """From (t, u, s1, s2): each vertex's set in fragments (u, f, toks); other texts of its id are skipped."""
+def _of_vertices(k: int, emit):
+    """Over (t, u, s1, s2): ``emit(u, n, keys)`` of the texts that stand for a vertex; other texts of its id are skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
         for batch in batches:
             for part in slices(batch, "t"):
                 keys, off = _sets(part, "t", k)
                 s1, s2 = _signature(keys, off)
-                u = part.column(1).to_numpy()
-                fit = (s1 == part.column(2).to_numpy()) & (s2 == part.column(3).to_numpy())
-                at = np.flatnonzero(fit)
-                at = at[np.concatenate(([u[at[0]] != before], u[at[1:]] != u[at[:-1]]))] if len(at) else at
-                if not len(at):
+                at = np.flatnonzero((s1 == part.column(2).to_numpy()) & (s2 == part.column(3).to_numpy()))
+                if len(at):
+                    size = np.zeros(part.num_rows, np.int64)
+                    size[at] = np.diff(off)[at]
+                    yield emit(part.column(1).to_numpy()[at], size[at], _firsts(keys, off, size))
+
+    return run
+
+
+def _bitmaps(u: np.ndarray, n: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """(u, bits): each n-gram flips one of the bits."""
+    width = 64 * BITMAP_WORDS
+    row = np.repeat(np.arange(len(u)), n)
+    odd = np.bincount(row * width + (keys % U(width)).astype(np.int64), minlength=len(u) * width) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(u), _ragged(packed, np.full(len(u), BITMAP_WORDS))], ["u", "bits"])
+
+
+def _fragments(u: np.ndarray, n: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """(u, f, toks): sets cut by ranges of the hash."""
+    row = np.repeat(np.arange(len(u)), n)
+    group = row << FRAGMENT_BITS | (keys >> U(64 - FRAGMENT_BITS)).astype(np.int64)
+    start = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    g = group[start]
+    return pa.RecordBatch.from_arrays([pa.array(u[g >> FRAGMENT_BITS]), pa.array((g & ((1 << FRAGMENT_BITS) - 1)).astype(np.int32)), _ragged(keys, np.diff(np.append(start, len(keys))))], ["u", "f", "toks"])
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """``ids`` with a broadcast hint if, counted, they are few enough."""
+    return F.broadcast(ids) if ids.count() <= MAX_IDS else ids
+
+
+def _differ(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with ``differ``, at most the number of n-grams in which the sets differ."""
+    left, right = bitmaps.select(F.col("u").alias("a"), F.col("bits").alias("x")), bitmaps.select(F.col("u").alias("b"), F.col("bits").alias("y"))
+    differ = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return pairs.join(left, "a").join(right, "b").select(*pairs.columns, differ.alias("differ"))
+
+
+def _may_link(percent: int, times: int = 1):
+    """A pair links only if at most ``(100 - percent) / (100 + percent)`` of its n-grams differ."""
+    return (100 + percent) * F.col("differ") <= times * (100 - percent) * (F.col("na") + F.col("nb"))
+
+
+def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (cl, bits): how often each bit is set in a cluster, (cl, members, counts), partial sums."""
+    sums: dict[int, np.ndarray] = {}
+    flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([list(x) for x in sums.values()], pa.list_(pa.int32()))], ["cl", "counts"])
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1024):
+            part = batch.slice(lo, 1024)
+            bits = np.unpackbits(_bits_of(part.column(1)).view(np.uint8), axis=1, bitorder="little")
+            cl = part.column(0).to_numpy()
+            order = np.argsort(cl, kind="stable")
+            start = np.flatnonzero(np.concatenate(([True], np.diff(cl[order]) != 0)))
+            for c, x, n in zip(cl[order][start].tolist(), np.add.reduceat(bits[order], start, axis=0, dtype=np.int32), np.diff(np.append(start, len(cl))), strict=True):
+                x = np.append(x, n).astype(np.int32)
+                sums[c] = sums[c] + x if c in sums else x
+            if len(sums) > 2000:
+                yield flush()
+                sums = {}
+    if sums:
+        yield flush()
+
+
+def _centre(parts):
+    """From a cluster's partial counts, one row per task at most: the bits that most members have."""
+    x = np.sum(np.stack(parts["counts"].to_numpy()), axis=0)
+    bits = np.packbits((2 * x[:-1] > x[-1]).astype(np.uint8), bitorder="little").view(np.int64)
+    return parts[["cl"]].head(1).assign(centre=[bits])
+
+
+def _bits_of(col: pa.Array) -> np.ndarray:
+    return col.flatten().to_numpy().reshape(-1, BITMAP_WORDS)
+
+
+def _block_pairs(percent: int):
+    """Over (g, u, n, c, bits, side, diag), sorted by g: pairs of different components that may link."""
+
+    def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = t.combine_chunks()
+        g, u, n, c, side = (t.column(k).to_numpy() for k in ("g", "u", "n", "c", "side"))
+        bits = _bits_of(pa.concat_arrays(t.column("bits").chunks)).view(np.uint64)
+        start = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+        for lo, hi in zip(start, np.append(start[1:], len(g)), strict=True):
+            # the block against itself (all sides equal) or against the other one
+            x = np.arange(lo, hi) if side[lo:hi].min() == side[lo:hi].max() else np.flatnonzero(side[lo:hi] == 0) + lo
+            y = x if len(x) == hi - lo else np.flatnonzero(side[lo:hi] == 1) + lo
+            for i in x.tolist():
+                other = y[(c[y] != c[i]) & ((u[y] > u[i]) if y is x else True)]
+                most = (100 - percent) * (n[other] + n[i])
+                other = other[np.abs(n[other] - n[i]) * (100 + percent) <= most]
+                if not len(other):
                     continue
-                before = u[at[-1]]
-                size = np.zeros(len(u), np.int64)
-                size[at] = np.diff(off)[at]
-                mine = _firsts(keys, off, size)
-                group = np.repeat(np.arange(len(u)), size) << FRAGMENT_BITS | (mine >> U(64 - FRAGMENT_BITS)).astype(np.int64)
-                start = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, np.int64)
-                g = group[start]
-                yield pa.RecordBatch.from_arrays([pa.array(u[g >> FRAGMENT_BITS]), pa.array((g & ((1 << FRAGMENT_BITS) - 1)).astype(np.int32)), _ragged(mine, np.diff(np.concatenate((start, [len(mine)]))))], ["u", "f", "toks"])
+                differ = np.bitwise_count(bits[other] ^ bits[i]).sum(1, dtype=np.int64)
+                hit = other[(100 + percent) * differ <= (100 - percent) * (n[other] + n[i])]
+                if len(hit):
+                    first = u[hit] > u[i]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u[hit], u[i])), pa.array(np.maximum(u[hit], u[i])), pa.array(np.where(first, n[i], n[hit])), pa.array(np.where(first, n[hit], n[i]))], ["a", "b", "na", "nb"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 4 * BLOCK:
+                t = pa.Table.from_batches(held)
+                g = t.column("g").to_numpy()
+                other = np.flatnonzero(g != g[-1])
+                cut = int(other[-1]) + 1 if len(other) else 0
+                if cut:
+                    yield from solve(t.slice(0, cut))
+                    held = t.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from solve(pa.Table.from_batches(held))
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b, na, nb) those that link: partial overlaps by fragment, summed per pair."""
-    left = sets.select(F.col("u").alias("a"), F.col("f").alias("fa"), F.col("toks").alias("ta"))
-    right = sets.select(F.col("u").alias("b"), F.col("f").alias("fa"), F.col("toks").alias("tb"))
-    parts = pairs.join(left, "a").join(right, ["b", "fa"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("part"))
+def _links(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b, na, nb) those that link: the overlap of each fragment, summed per pair."""
+    left = sets.select(F.col("u").alias("a"), "f", F.col("toks").alias("ta"))
+    right = sets.select(F.col("u").alias("b"), "f", F.col("toks").alias("tb"))
+    parts = near.join(left, "a").join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("part"))
     both = parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("o"))
     return both.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
@@ -194,61 +309,92 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     spark = docs.sparkSession
     src = split_hint(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")))
     seen = staged(src.mapInArrow(_describe(k, percent), "d long, n long, s1 long, s2 long, probe array<long>"), "sets")
-    reps = staged(seen.where("n > 0 and d is not null").groupBy("s1", "s2", "n").agg(F.min("d").alias("u"), F.any_value("probe").alias("probe")), "vertices")
-    df = reps.select(F.explode("probe").alias("tok")).groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= FREQUENT)
-    top = df.orderBy(F.desc("df"), "tok").limit(MAX_FREQUENT).select("tok").toPandas()["tok"].to_numpy()
-    frequent = spark.sparkContext.broadcast(np.sort(top.astype(np.int64).view(U)))
-
-    usual = reps.select("u", "n", "probe").mapInArrow(_prefixes(percent, frequent), "u long, n long, prefix array<long>")
+    groups = seen.where("n > 0 and d is not null").groupBy("s1", "s2", "n").agg(F.min("d").alias("u"))
+    # an id with several texts stands for one of them
+    reps = groups.groupBy("u").agg(F.min(F.struct("s1", "s2", "n")).alias("s")).select("u", "s.s1", "s.s2", "s.n")
+    reps = staged(reps, "vertices")
+    extra = seen.where("n > 0 and d is not null").select("d", "s1", "s2").join(reps.select(F.col("u").alias("d"), "s1", "s2"), ["d", "s1", "s2"], "left_anti").select("d", "s1", "s2")
+    extra = _few(staged(extra.distinct(), "copies"))
+    single = seen.where("n > 0 and d is not null").join(extra, ["d", "s1", "s2"], "left_anti")
+
+    def most_frequent(toks: DataFrame) -> np.ndarray:
+        df = toks.groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= FREQUENT)
+        top = df.orderBy(F.desc("df"), "tok").limit(MAX_FREQUENT).select("tok").toPandas()["tok"].to_numpy()
+        return np.sort(top.astype(np.int64).view(U))
+
+    near_hand = most_frequent(single.select(F.explode("probe").alias("tok")))
+    more = src.mapInArrow(_late_prefixes(k, percent, spark.sparkContext.broadcast(near_hand), wide=True), "d long, n long, s1 long, s2 long, prefix array<long>")
+    more = more.join(extra, ["d", "s1", "s2"], "left_anti").where("d is not null")
+    frequent = spark.sparkContext.broadcast(np.union1d(near_hand, most_frequent(more.select(F.explode("prefix").alias("tok")))))
+
+    usual = single.select(F.col("d").alias("u"), "n", "probe").mapInArrow(_prefixes(percent, frequent), "u long, n long, prefix array<long>")
     late = src.mapInArrow(_late_prefixes(k, percent, frequent), "d long, n long, s1 long, s2 long, prefix array<long>")
-    late = late.join(reps.select("u", "s1", "s2", "n"), ["s1", "s2", "n"]).where("d = u").select("u", "n", "prefix").dropDuplicates(["u", "n"])
-    posts = usual.union(late).select("u", "n", F.explode("prefix").alias("tok"))
-    posts = staged(posts, "prefixes")
+    late = late.join(extra, ["d", "s1", "s2"], "left_anti").where("d is not null").select(F.col("d").alias("u"), "n", "prefix")
+    posts = staged(usual.union(late).select("u", F.explode("prefix").alias("tok")), "prefixes")
     many = posts.groupBy("tok").agg(F.count("*").alias("len")).where("len > 1")
-    lists = staged(posts.join(many, "tok").select("tok", "u", "n", "len"), "lists")
+    sizes = reps.select("u", "n")
+    lists = staged(posts.join(many, "tok").join(sizes, "u").select("tok", "u", "n", "len"), "lists")
     forget(spark, posts)
 
-    need = lists.select("u").distinct().join(reps.select("u", "s1", "s2"), "u")
-    text = src.join(need, src.d == need.u).select("t", "u", "s1", "s2")
-    sets = staged(text.mapInArrow(_fragments(k), "u long, f int, toks array<long>"), "fragments")
-
-    def pivots(of: DataFrame) -> DataFrame:
-        """Each list's vertices against its pivot, the least vertex of its least component."""
-        p = of.groupBy("tok").agg(F.min(F.struct("c", "u", "n")).alias("p")).select("tok", F.col("p.c").alias("pc"), F.col("p.u").alias("pu"), F.col("p.n").alias("pn"))
-        met = of.join(p, "tok").where("c <> pc or u <> pu").where(_sizes_fit(percent, "n", "pn"))
-        return met.select(F.least("u", "pu").alias("a"), F.greatest("u", "pu").alias("b"), F.when(F.col("u") < F.col("pu"), F.col("n")).otherwise(F.col("pn")).alias("na"), F.when(F.col("u") < F.col("pu"), F.col("pn")).otherwise(F.col("n")).alias("nb")).distinct()
-
-    def parted(of: DataFrame, comp: DataFrame) -> DataFrame:
-        """Lists that hold several components, each vertex with its own."""
-        named = of.join(comp.withColumnRenamed("node", "u"), "u", "left").select("tok", "u", "n", "len", F.coalesce("component", "u").alias("c"))
-        mixed = named.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-        return named.join(mixed, "tok").select("tok", "u", "n", "len", "c", "lo")
+    def vertex_texts(ids: DataFrame) -> DataFrame:
+        need = _few(staged(ids.distinct().join(reps.select("u", "s1", "s2"), "u"), "need"))
+        return src.join(need, src.d == need.u).select("t", "u", "s1", "s2")
+
+    bitmaps = staged(vertex_texts(lists.select("u")).mapInArrow(_of_vertices(k, _bitmaps), "u long, bits array<long>").dropDuplicates(["u"]), "bitmaps")
+
+    def links_of(near: DataFrame) -> DataFrame:
+        near = staged(near.select("a", "b", "na", "nb").distinct(), "near")
+        ids = near.select(F.col("a").alias("u")).union(near.select("b"))
+        sets = vertex_texts(ids).mapInArrow(_of_vertices(k, _fragments), "u long, f int, toks array<long>")
+        sets = staged(sets.dropDuplicates(["u", "f"]), "fragments")
+        return staged(_links(near, sets, percent), "links")
+
+    # each list's pivot against the list
+    p = lists.groupBy("tok").agg(F.min(F.struct("u", "n")).alias("p"))
+    met = lists.join(p.select("tok", F.col("p.u").alias("a"), F.col("p.n").alias("na")), "tok").where("u <> a").where(_sizes_fit(percent, "n", "na") | (F.col("len") > SHORT))
+    met = met.groupBy("a", F.col("u").alias("b"), "na", F.col("n").alias("nb")).agg(F.max(F.col("len") > SHORT).alias("long"))
+    met = staged(_differ(met, bitmaps).where(_may_link(percent) | (F.col("long") & _may_link(percent, REACH))), "pivots")
+    links = links_of(met.where(_may_link(percent)))
+
+    # clusters, and their medoids against them
+    far = met.where("long")
+    cluster = far.select(F.col("b").alias("u"), F.col("a").alias("cl")).union(far.select("a", "a")).groupBy("u").agg(F.min("cl").alias("cl"))
+    # a pivot may be in the reach of another one: their clusters are one
+    for _ in range(2):
+        cluster = staged(cluster, "reach")
+        cluster = cluster.join(cluster.select(F.col("u").alias("cl"), F.col("cl").alias("to")), "cl", "left").select("u", F.coalesce("to", "cl").alias("cl"))
+    cluster = staged(cluster.join(sizes, "u").join(bitmaps, "u").select("cl", "u", "n", "bits"), "clusters")
+    counts = cluster.select("cl", "bits").mapInArrow(_majority, "cl long, counts array<int>")
+    centre = counts.groupBy("cl").applyInPandas(_centre, "cl long, centre array<long>")
+    apart = F.aggregate(F.zip_with("bits", "centre", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    medoid = cluster.join(centre, "cl").groupBy("cl").agg(F.min(F.struct(apart.alias("apart"), "u", "n")).alias("m"))
+    star = cluster.select("cl", "u", "n").join(medoid.select("cl", F.col("m.u").alias("mu"), F.col("m.n").alias("mn")), "cl").where("u <> mu").where(_sizes_fit(percent, "n", "mn"))
+    first = F.col("u") < F.col("mu")
+    star = star.select(F.least("u", "mu").alias("a"), F.greatest("u", "mu").alias("b"), F.when(first, F.col("n")).otherwise(F.col("mn")).alias("na"), F.when(first, F.col("mn")).otherwise(F.col("n")).alias("nb"))
+    links = staged(links.union(links_of(_differ(star, bitmaps).where(_may_link(percent)))), "links")
+    comp = components(links, "a", "b")
 
-    links = staged(_links(pivots(lists.withColumn("c", F.lit(0).cast("long"))), sets, percent), "links")
+    # within clusters, what is in different components, in blocks
+    named = cluster.join(comp.withColumnRenamed("node", "u"), "u", "left").withColumn("c", F.coalesce("component", "u"))
+    parted = named.groupBy("cl").agg(F.count("*").alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    dealt = named.join(parted.select("cl", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "cl").withColumn("x", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    g = F.xxhash64("cl", F.least("x", "y"), F.greatest("x", "y"))
+    dealt = dealt.select(g.alias("g"), "u", "n", "c", "bits", (F.col("x") > F.col("y")).cast("int").alias("side"))
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = split_hint(dealt.repartition(tasks, "g").sortWithinPartitions("g")).mapInArrow(_block_pairs(percent), "a long, b long, na long, nb long")
+    links = staged(links.union(links_of(found)), "links")
     comp = components(links, "a", "b")
-    rest = staged(parted(lists, comp), "mixed")
-    past: list[DataFrame] = []
-    for _ in range(PIVOT_ROUNDS):
-        long = rest.where((F.col("len") > SHORT) & (F.col("c") > F.col("lo")))
-        if long.isEmpty():
-            break
-        # the pivot comes from the least component that gave the list none before
-        skip = long
-        for done in past:
-            skip = skip.join(done, ["tok"], "left").where("used is null or c > used").drop("used")
-        chosen = skip.groupBy("tok").agg(F.min("c").alias("pc"))
-        p = long.join(chosen, "tok").where("c = pc").groupBy("tok").agg(F.min(F.struct("u", "n")).alias("p"), F.min("pc").alias("pc"))
-        p = staged(p.select("tok", "pc", F.col("p.u").alias("pu"), F.col("p.n").alias("pn")), "pivots")
-        past.append(p.select("tok", F.col("pc").alias("used")))
-        met = rest.join(p, "tok").where("c <> pc").where(_sizes_fit(percent, "n", "pn"))
-        pairs = met.select(F.least("u", "pu").alias("a"), F.greatest("u", "pu").alias("b"), F.when(F.col("u") < F.col("pu"), F.col("n")).otherwise(F.col("pn")).alias("na"), F.when(F.col("u") < F.col("pu"), F.col("pn")).otherwise(F.col("n")).alias("nb")).distinct()
-        links = staged(links.union(_links(pairs, sets, percent)), "links")
-        comp = components(links, "a", "b")
-        rest = staged(parted(lists, comp), "mixed")
-    x = rest.select("tok", F.col("u").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    y = rest.select("tok", F.col("u").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    left = x.join(y, "tok").where("a < b and ca <> cb").where(_sizes_fit(percent, "na", "nb")).select("a", "b", "na", "nb").distinct()
-    more = staged(_links(left, sets, percent), "links")
+
+    # pairs of a list that aren't of one cluster or component
+    own = lists.join(comp.withColumnRenamed("node", "u"), "u", "left").join(cluster.select("u", "cl"), "u", "left")
+    own = own.select("tok", "u", "n", F.coalesce("component", "u").alias("c"), F.coalesce("cl", -F.col("u") - 1).alias("cl"))
+    mixed = own.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("cl").alias("lo2"), F.max("cl").alias("hi2")).where("lo <> hi and lo2 <> hi2")
+    rest = staged(own.join(mixed.select("tok"), "tok"), "mixed")
+    x = rest.select("tok", F.col("u").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("cl").alias("cla"))
+    y = rest.select("tok", F.col("u").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("cl").alias("clb"))
+    left = x.join(y, "tok").where("a < b and ca <> cb and cla <> clb").where(_sizes_fit(percent, "na", "nb")).select("a", "b", "na", "nb").distinct()
+    more = links_of(_differ(left, bitmaps).where(_may_link(percent)))
     if not more.isEmpty():
         comp = components(links.union(more), "a", "b")
     vertex = seen.select("d", "n", "s1", "s2").join(reps.select("s1", "s2", "n", "u"), ["s1", "s2", "n"], "left")
