@@ -42,9 +42,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Stands for a SPACE character of the text itself, which is encoded as bytes.
 _STAND_IN = "\ud800"
-_UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+_UNITS = re.compile(" +[^ ]*")
 _FALLBACK = -25.0
-_MAX_UNITS = 300_000
+_MAX_UNITS = 500_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 #: No Gumbel variable made from a 53-bit uniform is larger.
@@ -96,7 +96,7 @@ class Lattices:
         names = [model.id_to_piece(i) for i in range(size)]
         self.byte_id = np.zeros(256, np.int64)
         spell: list[bytes] = []
-        keys, ids, lens = [], [], []
+        keys, ids, lens = [], [], []  # of the pieces that a lattice can hold
         rank = 0
         logp = np.full(size, -np.inf)
         for i, name in enumerate(names):
@@ -117,11 +117,15 @@ class Lattices:
         self.size = size
         usual = np.isfinite(logp)
         logp[usual] -= np.log(np.exp(logp[usual]).sum())
-        order = np.argsort(np.array(keys, U))
-        self.keys, self.ids, self.lens = np.array(keys, U)[order], np.array(ids)[order], np.array(lens)[order]
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[self.keys >> U(42)] = True
-        self.longest, self.logp = max(lens), logp
+        # open addressing, a quarter full: a look-up compares about one entry
+        self.keys, self.ids = np.zeros(1 << 17, U), np.full(1 << 17, -1)
+        for key, i in zip(keys, ids, strict=True):
+            at = int(key >> U(47))
+            while self.ids[at] >= 0:
+                at = (at + 1) & 0x1FFFF
+            self.keys[at], self.ids[at] = key, i
+        self.longest = max(lens)
+        self.weight = np.concatenate((logp, [_FALLBACK, -np.inf]))  # of pieces, of a character in bytes, of none
         self.spell = np.frombuffer(b"".join(spell), np.uint8)
         self.spell_at = np.concatenate(([0], np.cumsum([len(x) for x in spell])))
         self.clear()
@@ -132,9 +136,9 @@ class Lattices:
             "start": _Column(np.int64),  # first node of each unit
             "first": _Column(np.int64),  # first edge of each node, and one more entry at the end
             "final": _Column(bool),  # nodes at a unit's end
-            "cum": _Column(np.float64),  # of each edge: sum of probabilities up to it at its node,
+            "cum": _Column(np.float32),  # of each edge: sum of probabilities up to it at its node,
             "logq": _Column(np.float64),  # its own,
-            "rest": _Column(np.float64),  # that of the others at its node, -inf without others,
+            "rest": _Column(np.float32),  # that of the others at its node, -inf without others,
             "next": _Column(np.int32),  # the node it leads to
             "piece": _Column(np.int32),  # and its piece
         }
@@ -145,6 +149,18 @@ class Lattices:
         for name, c in self.columns.items():
             setattr(self, name, c.x)
 
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Ids of the pieces of these hashes, -1 for none."""
+        at = (keys >> U(47)).astype(np.int64)
+        out = np.where(self.keys[at] == keys, self.ids[at], -1)
+        go = np.flatnonzero((self.keys[at] != keys) & (self.ids[at] >= 0))
+        while len(go):
+            at[go] = (at[go] + 1) & 0x1FFFF
+            same = self.keys[at[go]] == keys[go]
+            out[go[same]] = self.ids[at[go[same]]]
+            go = go[~same & (self.ids[at[go]] >= 0)]
+        return out
+
     def unit_ids(self, units: list[str]) -> np.ndarray:
         look = lambda some: np.fromiter(map(self.unit.get, some, repeat(-1)), np.int64, len(some))
         out = look(units)
@@ -159,75 +175,66 @@ class Lattices:
         return out
 
     def _add(self, new: list[str]) -> None:
-        for lo in range(0, len(new), 20_000):
-            self._build(new[lo : lo + 20_000])
+        """Lattices of new units, by length, as the tables are as wide as the longest; some 100,000 characters at a time."""
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        for least, most in ((0, 6), (6, 9), (9, 13), (13, 25), (25, 65), (65, 1 << 60)):
+            few = [new[i] for i in np.flatnonzero((size >= least) & (size < most)).tolist()]
+            step = max(1, 100_000 // most) if most < 1 << 60 else 1
+            for lo in range(0, len(few), step):
+                self._build(few[lo : lo + step])
 
     def _build(self, new: list[str]) -> None:
-        codes = _codes("".join(new))
-        size = np.array([len(u) for u in new])
+        size = np.array([len(u) + 1 for u in new])  # with the blank in front
+        codes = _codes(SPACE + SPACE.join(new))
         n = len(codes)
         end = np.cumsum(size)
         word = np.repeat(np.arange(len(new)), size)
         left = np.repeat(end, size) - np.arange(n)  # characters up to the unit's end
         run, down = _hashes(codes)
-        es, el, ep = [], [], []
-        covered = np.zeros(n, bool)
-        for k in range(1, self.longest + 1):
-            at = np.flatnonzero(left >= k)
-            if not len(at):
-                break
-            key = (run[at + k] - run[at]) * down[at]
-            some = np.flatnonzero(self.maybe[key >> U(42)])
-            at, key = at[some], key[some]
-            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = np.flatnonzero((self.keys[i] == key) & (self.lens[i] == k))
-            es.append(at[hit])
-            el.append(np.full(len(hit), k))
-            ep.append(self.ids[i[hit]])
-            if k == 1:
-                covered[at[hit]] = True
-        bare = np.flatnonzero(~covered)
-        es.append(bare)
-        el.append(np.ones(len(bare), np.int64))
-        ep.append(self.size + codes[bare].astype(np.int64))  # beyond the vocabulary: a character in bytes
-        s, ln, p = (np.concatenate(x) for x in (es, el, ep))
+        wide = int(min(self.longest, left.max()))
+        piece = np.full((n, wide), -1, np.int64)  # by place, and length from the longest down
+        for k in range(1, wide + 1):
+            at = np.flatnonzero(left >= k) if k > 1 else np.arange(n)
+            piece[at, wide - k] = self.find((run[at + k] - run[at]) * down[at])
+        bare = np.flatnonzero(piece[:, -1] < 0)
+        piece[bare, -1] = self.size + codes[bare].astype(np.int64)  # beyond the vocabulary: a character in bytes
+        w = self.weight[np.minimum(piece, self.size)]  # -1 is the last entry, -inf
         # nodes of a unit: one before each character and one at its end
-        base = len(self.final)
-        node = s + word[s]
-        order = np.lexsort((node, left[s]))
-        s, ln, p, node = s[order], ln[order], p[order], node[order]
-        to = node + ln
-        w = np.where(p < self.size, self.logp[np.minimum(p, self.size - 1)], _FALLBACK)
-        beta = np.zeros(n + len(new))
-        x = np.empty(len(s))
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(left[s])) + 1, [len(s)]))
+        node = np.arange(n) + word
+        reach = np.arange(wide, 0, -1)
+        beta = np.zeros(n + len(new) + wide)
+        by_left = np.argsort(left, kind="stable")
+        cut = np.concatenate((np.searchsorted(left[by_left], np.arange(1, left.max() + 1)), [n]))
         for a, b in zip(cut[:-1], cut[1:], strict=True):  # nearest to the unit's end first
-            v = w[a:b] + beta[to[a:b]]
-            begin = np.flatnonzero(np.concatenate(([True], node[a + 1 : b] != node[a : b - 1])))
-            top = np.maximum.reduceat(v, begin)
-            each = np.diff(np.concatenate((begin, [b - a])))
-            total = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, each)), begin))
-            beta[node[a:b][begin]] = total
-            x[a:b] = v - np.repeat(total, each)
-        order = np.lexsort((-x, node))  # likeliest first
-        node, to, p, x = node[order], to[order], p[order], x[order]
-        degree = np.bincount(node, minlength=n + len(new))
+            at = by_left[a:b]
+            v = w[at] + beta[node[at][:, None] + reach]
+            top = v.max(1)
+            v -= top[:, None]
+            beta[node[at]] = top + np.log(np.exp(v).sum(1))
+        s, col = np.nonzero(piece >= 0)
+        p = piece[s, col]
+        to = node[s] + reach[col]
+        x = w[s, col] + beta[to] - beta[node[s]]
+        degree = np.zeros(n + len(new), np.int64)
+        degree[node] = np.bincount(s, minlength=n)
         first = np.concatenate(([0], np.cumsum(degree)))
         q = np.exp(x)
         run_q = np.cumsum(q)
-        lead = np.concatenate(([0.0], run_q))[first[:-1]]
-        cum = run_q - lead[node]
+        cum = run_q - np.concatenate(([0.0], run_q))[first[node[s]]]
         cum[first[1:][degree > 0] - 1] = 2.0  # whatever the rounding, the last piece ends the search
         final = np.zeros(n + len(new), bool)
         final[end + np.arange(len(new))] = True
         # the others' mass: 1 - q, or their sum where that would cancel
         rest = 1 - q
-        for e in np.flatnonzero(rest < 1e-9):
-            a, b = first[node[e]], first[node[e] + 1]
-            rest[e] = q[a:e].sum() + q[e + 1 : b].sum()
+        near = np.flatnonzero((rest < 1e-9) & (degree[node[s]] > 1))
+        if len(near):
+            at = s[near]
+            v = np.exp(np.where(piece[at] >= 0, w[at] + beta[node[at][:, None] + reach], -np.inf) - beta[node[at]][:, None])
+            v[np.arange(len(at)), col[near]] = 0
+            rest[near] = v.sum(1)
         with np.errstate(divide="ignore"):
-            rest = np.where(degree[node] == 1, -np.inf, np.log(np.maximum(rest, 1e-300)))
-        edges = len(self.next)
+            rest = np.where(degree[node[s]] == 1, -np.inf, np.log(np.maximum(rest, 1e-300)))
+        edges, base = len(self.next), len(self.final)
         grown = self.columns
         grown["first"].add(edges + first[1:])
         grown["start"].add(base + np.concatenate(([0], end[:-1])) + np.arange(len(new)))
@@ -266,9 +273,15 @@ def lattices(path: str = MODEL, theta: float = 1.0) -> Lattices:
 
 
 def units_of(text: str) -> list[str]:
+    """What follows each blank, the one in front of the text included; several blanks begin one unit together.
+
+    A line break stays within its unit, as no piece holds one.
+    """
     if SPACE in text:
         text = text.replace(SPACE, _STAND_IN)
-    return _UNITS.findall(SPACE + text.replace(" ", SPACE))
+    if "  " not in text and text[:1] != " " and text[-1:] != " ":
+        return text.split(" ")
+    return [u[1:].replace(" ", SPACE) for u in _UNITS.findall(" " + text)]
 
 
 def _uniform(seed: np.ndarray, stream: int, unit: np.ndarray, step: np.ndarray) -> np.ndarray:
