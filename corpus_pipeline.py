@@ -1,8 +1,82 @@
-"""A training-data pipeline of five stages over ``documents``."""
+"""A training-data pipeline of five stages over ``documents``.
 
-STAGES = []
+Each stage takes what its predecessor kept, as Parquet, and all but the last return the columns of
+documents.  Texts are shuffled by line dedup only; the other stages find ids to drop, which are
+few against the texts, and drop them by an anti-join that broadcasts them when counted few enough.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quiremill.llm.common import staged, table
+from quiremill.llm.decontaminate import contaminated_alignments
+from quiremill.llm.jaccard_join import _few, jaccard_components
+from quiremill.llm.language_id import UNKNOWN, identify
+from quiremill.llm.line_dedup import line_dedup
+from quiremill.llm.sampled_pieces import encode_samples
+
+LEAST_SCORE = 0.5
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+SAMPLES = 2
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` whose ``doc_id`` isn't among ``ids``; a null id is never dropped."""
+    return docs.join(_few(staged(ids.distinct(), "dropped")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose language is recognised; ``lang`` stays as it was."""
+    seen = identify(docs)
+    return seen.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts repeated lines from the texts; a document that loses all its lines goes."""
+    out = line_dedup(docs)
+    out = out.where((F.col("n_removed") == 0) | (F.trim("text", F.lit(" \t\r\n")) != ""))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document of smallest id stays; of repeated ids one row."""
+    found = jaccard_components(docs.select("doc_id", "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    found = staged(found, "components")
+    out = _without(docs, found.groupBy("doc_id").agg(F.min("component_id").alias("c")).where("c < doc_id").select("doc_id"))
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    return out if repeated.isEmpty() else out.where("doc_id is null").union(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of the benchmark."""
+    found = contaminated_alignments(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.select(F.col("doc").alias("doc_id")))
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of the texts, as ids, with their scores."""
+    return encode_samples(docs, SAMPLES).drop("text")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", jaccard),
+    ("decontaminate", decontaminate),
+    ("sampled_pieces", pieces),
+]
+
+#: SQL can't express the first and the last stage; tests/llm holds the pipeline against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
