@@ -243,3 +243,35 @@ def page_stats(data: pd.Series, h: pd.Series, w: pd.Series, mode: pd.Series) ->
 @F.pandas_udf(T.BinaryType())
 def restored(data: pd.Series, h: pd.Series, w: pd.Series, page: pd.Series) -> pd.Series:
     return pd.Series([restore(_matrix(d, y, x, "L"), int(p)).tobytes() for d, y, x, p in zip(data, h, w, page, strict=True)])
+
+
+def baselines(gray: np.ndarray, least: float = 0.25) -> np.ndarray:
+    """Rows at which text lines end: falls of the row sums of ink below a share of their maximum."""
+    rows = (gray < INK).sum(axis=1)
+    if not rows.any():
+        return np.empty(0, int)
+    on = rows >= least * rows.max()
+    return np.flatnonzero(on[:-1] & ~on[1:])
+
+
+def leading(gray: np.ndarray) -> float | None:
+    """Median distance of baselines; None for fewer than two lines."""
+    b = baselines(gray)
+    return float(np.median(np.diff(b))) if len(b) > 1 else None
+
+
+def route(image: np.ndarray, page: int) -> tuple[str, np.ndarray]:
+    """Colour pages as they are, grey ones restored, with the mode that they have then."""
+    if is_color(image):
+        return "RGB", image
+    grey = image if image.ndim == 2 else image.mean(axis=2).astype(np.uint8)
+    return "L", restore(grey, page)
+
+
+_ROUTED = T.StructType([T.StructField("mode", T.StringType()), T.StructField("data", T.BinaryType())])
+
+
+@F.pandas_udf(_ROUTED)
+def routed(data: pd.Series, h: pd.Series, w: pd.Series, mode: pd.Series, page: pd.Series) -> pd.DataFrame:
+    rows = [route(_matrix(d, y, x, m), int(p)) for d, y, x, m, p in zip(data, h, w, mode, page, strict=True)]
+    return pd.DataFrame([(m, a.tobytes()) for m, a in rows], columns=["mode", "data"])

@@ -142,3 +142,37 @@ _REPLACED = T.StructType([T.StructField("text", T.StringType()), T.StructField("
 def corrected(text: pd.Series, mapping: pd.Series) -> pd.DataFrame:
     rows = [replace_tokens(t, dict(m) if m is not None else None) for t, m in zip(text, mapping, strict=True)]
     return pd.DataFrame(rows, columns=["text", "hits"])
+
+
+_QUOTES = "\"'‘’‚“”„«»‹›"
+
+
+def apply_italics(text: str | None, phrases: list[str] | None) -> str | None:
+    """Phrases of a text in emphasis marks, longest first, whatever the quotes; none within another."""
+    if not text or not phrases:
+        return text
+    quote = f"[{re.escape(_QUOTES)}]"
+    one = lambda p: "".join(quote if c in _QUOTES else r"\s+" if c.isspace() else re.escape(c) for c in p)
+    usable = sorted({p.strip() for p in phrases if p and p.strip()}, key=lambda p: (-len(p), p))
+    return re.sub("|".join(rf"(?<!\w){one(p)}(?!\w)" for p in usable), lambda m: f"_{m[0]}_", text) if usable else text
+
+
+def clean_page_text(text: str | None, header: str | None = None) -> str | None:
+    """A page's lines without header, folio and blank lines at its ends."""
+    if text is None:
+        return None
+    lines = [x.rstrip() for x in text.splitlines()]
+    drop = lambda x: not x.strip() or re.fullmatch(r"\W*\d{1,4}\W*", x) or header is not None and re.fullmatch(header, x.strip())
+    while lines and drop(lines[0]):
+        lines.pop(0)
+    while lines and drop(lines[-1]):
+        lines.pop()
+    return "\n".join(lines)
+
+
+@F.pandas_udf(T.StringType())
+def italicised(text: pd.Series, phrases: pd.Series) -> pd.Series:
+    return pd.Series([apply_italics(t, list(p) if p is not None else None) for t, p in zip(text, phrases, strict=True)])
+
+
+cleaned_page = _strings(clean_page_text)

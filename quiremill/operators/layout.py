@@ -128,3 +128,17 @@ def table_shape(rows: DataFrame, by: list[str]) -> DataFrame:
     flat = flat.withColumn("is_head", F.col("idx") == head)
     cols = flat.groupBy(*by, "c").agg(F.max(F.length("cell")).alias("w"), F.coalesce(F.bool_and(F.when(~F.col("is_head"), F.col("cell").rlike(r"^[-+]?[\d.,]+%?$"))), F.lit(False)).alias("numeric"))
     return cols.groupBy(*by).agg((F.max("c") + 1).alias("columns"), F.max("w").alias("longest"), F.count_if("numeric").alias("numeric_columns"))
+
+
+def offset_status(delta: Column, tight: float = 1.5, loose: float = 3.0) -> Column:
+    """PASS, WARN or FAIL of a distance in points; null (nothing to compare) passes."""
+    d = F.abs(delta)
+    return F.when(d.isNull() | (d <= tight), "PASS").when(d <= loose, "WARN").otherwise("FAIL")
+
+
+def typographic_diff(pages: DataFrame, superscript_most: float = 0.50) -> DataFrame:
+    """Pages with a status for footer, hairline and superscript offsets, and ``verdict``: WARN unless all pass."""
+    s = {c: offset_status(F.col(f"{c}_delta")) for c in ("footer", "hairline")}
+    s["superscript"] = F.when(F.abs(F.coalesce("superscript_delta", F.lit(0.0))) <= superscript_most, "PASS").otherwise("WARN")
+    x = pages.withColumns({f"{k}_status": v for k, v in s.items()})
+    return x.withColumn("verdict", F.when(F.array_max(F.array(*[(F.col(f"{k}_status") != "PASS").cast("int") for k in s])) == 1, "WARN").otherwise("PASS"))

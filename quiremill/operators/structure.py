@@ -160,3 +160,49 @@ def glyph_pairs(blocks: DataFrame, least: int = 2) -> DataFrame:
     b = gap_merge(b.withColumn("_e", F.col("idx")), "idx", "_e", ["job", "page"], 2).withColumnRenamed("island", "run")
     b = b.withColumn("_n", F.count("*").over(Window.partitionBy("job", "page", "run")))
     return b.where(F.col("_n") >= least).select("job", "page", "run", "idx", F.col("text").alias("label"), "image_id")
+
+
+def accumulate(rows: DataFrame, opens: Column, by: list[str], order: str, text: str = "text", sep: str = " ") -> DataFrame:
+    """Items with the lines that run on from them: (by, item, order, text); lines before the first are item 0.
+
+    Lists, footnotes and syllabus groups are this with their own sign of a beginning.
+    """
+    s = sections(rows, opens, by, [order], "item")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))), lambda x: x.t), sep)
+    return s.groupBy(*by, "item").agg(F.min(order).alias(order), joined.alias(text))
+
+
+def merge_toc_lines(lines: DataFrame, by: list[str], order: str = "idx") -> DataFrame:
+    """Lines of contents without a page number joined to the next one that has one."""
+    ends = F.col("text").rlike(r"\d+\s*$")
+    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    n = F.coalesce(F.sum(ends.cast("int")).over(before), F.lit(0))
+    g = lines.withColumn("_item", n)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.trim("text").alias("t")))), lambda x: x.t), " ")
+    return g.groupBy(*by, "_item").agg(F.min(order).alias(order), text.alias("text")).drop("_item")
+
+
+def body_start(pages: DataFrame, within: int = 30) -> DataFrame:
+    """(job, body_start): the first lesson page of the first ``within``, else the page behind the last of contents, else 1.
+
+    ``pages``: (job, page, kind), kinds as ``cleaning.classify_page`` gives them.
+    """
+    p = pages.where(F.col("page") <= within)
+    a = p.groupBy("job").agg(F.min(F.when(F.col("kind") == "lesson", F.col("page"))).alias("lesson"), F.max(F.when(F.col("kind") == "toc", F.col("page"))).alias("toc"))
+    return a.select("job", F.coalesce("lesson", F.col("toc") + 1, F.lit(1)).alias("body_start"))
+
+
+def text_boxes(words: DataFrame, images: DataFrame) -> DataFrame:
+    """Images (job, page, ...) with the box of their page's words, null without words."""
+    box = words.groupBy("job", "page").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    return images.join(box, ["job", "page"], "left")
+
+
+def with_crops(blocks: DataFrame, crops: DataFrame) -> DataFrame:
+    """Blocks with the extracted image (job, page, image_id, path) that they name."""
+    return blocks.join(crops.select("job", "page", "image_id", F.col("path").alias("crop")).dropDuplicates(["job", "page", "image_id"]), ["job", "page", "image_id"], "left")
+
+
+def distinct_tokens(words: DataFrame, by: list[str], most: int = 100) -> DataFrame:
+    """The first ``most`` distinct tokens of each group in order: the template of a correction list."""
+    return words.groupBy(*by).agg(F.slice(F.sort_array(F.collect_set("text")), 1, most).alias("tokens"))
