@@ -18,6 +18,8 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op4_jaccard_join": jaccard_join.SQL,
+    "op5_url_filter": url_filter.SQL,
+    "op6_warc": warc.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op8_embedding_dedup": embedding_dedup.SQL,
 }

@@ -109,4 +109,36 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-SQL = None
+SQL = r"""
+WITH RECURSIVE rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+tag AS (
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?is)http-equiv\s*=\s*["'']?refresh')), lambda x: regexp_extract(x, '(?is)url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS dst
+  FROM pages WHERE contains(url, '://') AND html IS NOT NULL
+), link AS (
+  SELECT url AS src, CASE WHEN contains(dst, '://') THEN dst
+    WHEN starts_with(dst, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || dst
+    WHEN starts_with(dst, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || dst
+    ELSE rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)', 1), '/') || '/' || dst END AS dst
+  FROM tag WHERE dst <> ''
+), url AS (
+  SELECT DISTINCT u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '(?s)^.*?://[^?#]*(\?[^#]*)', 1) AS query
+  FROM (SELECT url AS u FROM pages UNION SELECT src FROM link UNION SELECT dst FROM link)
+), node AS (
+  SELECT u, host, path, CASE WHEN contains(u, '://') THEN host || CASE WHEN path = '' THEN '/' ELSE path END || query END AS n FROM url
+), edge AS (
+  SELECT DISTINCT a.n AS x, b.n AS y FROM link JOIN node a ON a.u = link.src JOIN node b ON b.u = link.dst WHERE a.n <> b.n
+), both_ways AS (SELECT x, y FROM edge UNION SELECT y, x FROM edge),
+reach(x, y) AS (SELECT DISTINCT x, x FROM both_ways UNION SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.y),
+judged AS (
+  SELECT node.u, node.n, node.host, node.path, arg_max(rules.h || rules.p, length(rules.h || rules.p)) AS rule, arg_max(rules.v, length(rules.h || rules.p)) AS v
+  FROM node LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL
+), alias AS (
+  SELECT reach.x, CASE WHEN bool_or(judged.v = 'allow') THEN 'allow' WHEN bool_or(judged.v = 'block') THEN 'block' END AS w
+  FROM reach JOIN judged ON judged.n = reach.y GROUP BY reach.x
+)
+SELECT pages.page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.rule, coalesce(j.v, alias.w, 'allow') AS verdict
+FROM pages LEFT JOIN judged j ON j.u = pages.url LEFT JOIN alias ON alias.x = j.n
+"""

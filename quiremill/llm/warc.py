@@ -264,3 +264,17 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("warc_type").alias("record_type"),
         F.col("fields").getItem("x-refers-to-page-id").cast("long").alias("refers_to"),
     )
+
+
+#: Base 32 of a SHA-1: eight groups of 20 bits, of four characters each.
+SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT *, list_aggregate(list_transform(range(0, 8), lambda g: list_aggregate(list_transform([32768, 1024, 32, 1], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(h, g * 5 + 1, 5))::INT // s % 32)::INT + 1, 1)), 'string_agg', '')), 'string_agg', '') AS digest,
+    min(page_id) OVER (PARTITION BY h) AS first
+  FROM p
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+"""
