@@ -24,9 +24,18 @@ def _key(line: Column) -> Column:
     return F.trim(line, F.lit(_BLANKS))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once a row.
+
+    Through a generator, below which nothing is pushed or merged: the optimizer would else put
+    their expressions into filters, and into lambdas, where they would run again for every line.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _windows(docs: DataFrame, window: int) -> DataFrame:
     keys = F.filter(F.transform(F.split("text", "\n"), _key), lambda k: k != "")
-    base = docs.where("text is not null").select("d", "t", keys.alias("k")).where(F.size("k") >= window)
+    base = _once(docs.where("text is not null").select("d", "t", "text"), k=keys).where(F.size("k") >= window)
 
     def of(i: Column) -> Column:
         a, b = hash128(*[F.get("k", i + j) for j in range(window)])
@@ -55,21 +64,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     later = wins.join(again, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     cover = later.groupBy(F.col("d").alias("cd"), F.col("t").alias("ct")).agg(F.collect_set("i").alias("at"))
     both = src.join(cover, src.d.eqNullSafe(cover.cd) & (src.t == cover.ct), "left")
-    lines = both.withColumn("ls", F.split("text", "\n")).withColumn(
-        # places of lines that hold something: a window's place counts these
-        "full", F.expr("filter(sequence(0, size(ls) - 1), j -> trim(BOTH ' \t\r' FROM ls[j]) <> '')")
-    )
+    lines = _once(both, ls=F.split("text", "\n"))
+    # places of lines that hold something: a window's place counts these
+    lines = _once(lines, full=F.expr("filter(sequence(0, size(ls) - 1), j -> trim(BOTH ' \t\r' FROM ls[j]) <> '')"))
     cut = F.array_distinct(F.flatten(F.transform("at", lambda i: F.slice("full", i + 1, window))))
-    lines = lines.withColumn("stay", F.when(F.col("at").isNotNull(), F.array_except(F.expr("sequence(0, size(ls) - 1)"), cut)))
+    lines = _once(lines, stay=F.when(F.col("at").isNotNull(), F.array_except(F.expr("sequence(0, size(ls) - 1)"), cut)))
     text = F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(F.transform("stay", lambda j: F.get("ls", j)), "\n"))
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size("ls"))
     out = {id_col: F.col("d"), text_col: text, **{c: F.col("rest").getField(c) for c in rest}}
     order = [c for c in docs.columns if c in out]
-    return lines.select(
+    row = F.struct(
         *[out[c].alias(c) for c in order],
         count.cast("long").alias("n_lines"),
         F.when(F.col("at").isNull(), 0).otherwise(F.size("ls") - F.size("stay")).cast("long").alias("n_removed"),
     )
+    return lines.select(F.inline(F.array(row)))  # as in _once: a later filter stays above
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
