@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from quiremill.llm.common import forget, split_hint, staged, table
 from quiremill.llm.components import components
-from quiremill.llm.texthash import U, column_bytes, mix, shingles, slices, words
+from quiremill.llm.texthash import U, column_bytes, mix, release, shingles, slices, words
 
 MAX_FREQUENT = 1 << 19
 FREQUENT = 4
@@ -93,6 +93,7 @@ def _describe(k: int, percent: int):
                 s1, s2 = _signature(keys, off)
                 size = np.where(n > 0, _probe_size(n, percent), 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2), _ragged(_firsts(keys, off, size), size)], ["d", "n", "s1", "s2", "probe"])
+        release()
 
     return run
 
@@ -154,6 +155,7 @@ def _late_prefixes(k: int, percent: int, shared, wide: bool = False):
                     size[rows] = np.minimum(n[rows], (1.5 * need[rows] / share).astype(np.int64) + 8)
                 pick = pa.array(rows)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pick), pa.array(n[rows].astype(np.int64)), pa.array(s1[rows]), pa.array(s2[rows]), _ragged(_firsts(keys, off, size), size[rows])], ["d", "n", "s1", "s2", "prefix"])
+        release()
 
     return run
 
@@ -171,6 +173,7 @@ def _of_vertices(k: int, emit):
                     size = np.zeros(part.num_rows, np.int64)
                     size[at] = np.diff(off)[at]
                     yield emit(part.column(1).to_numpy()[at], size[at], _firsts(keys, off, size))
+        release()
 
     return run
 
@@ -178,9 +181,15 @@ def _of_vertices(k: int, emit):
 def _bitmaps(u: np.ndarray, n: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     """(u, bits): each n-gram flips one of the bits."""
     width = 64 * BITMAP_WORDS
-    row = np.repeat(np.arange(len(u)), n)
-    odd = np.bincount(row * width + (keys % U(width)).astype(np.int64), minlength=len(u) * width) & 1
-    packed = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    off = np.concatenate(([0], np.cumsum(n)))
+    parts = []
+    for lo in range(0, len(u), 128):  # a few MB at a time, however short the texts are
+        hi = min(len(u), lo + 128)
+        row = np.repeat(np.arange(hi - lo), n[lo:hi])
+        bit = (keys[off[lo] : off[hi]] % U(width)).astype(np.int64)
+        odd = np.bincount(row * width + bit, minlength=(hi - lo) * width) & 1
+        parts.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
+    packed = np.concatenate(parts)
     return pa.RecordBatch.from_arrays([pa.array(u), _ragged(packed, np.full(len(u), BITMAP_WORDS))], ["u", "bits"])
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiremill.llm.common import free_name, split_hint, table
-from quiremill.llm.texthash import slices
+from quiremill.llm.texthash import release, slices
 
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
@@ -129,6 +129,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                     sums -= sums.max(1, keepdims=True)
                     score[some] = 1 / np.exp(sums).sum(1)
                 yield pa.RecordBatch.from_arrays([*part.columns, mat.take(pa.array(best)), pa.array(score)], [*part.schema.names, p, s])
+        release()
 
     out = split_hint(src).mapInArrow(run, f"{_ddl(src)}, `{p}` string, `{s}` double")
     return out.select(*[F.col(f"`{c}`") for c in keep], F.col(p).alias(pred_col), F.col(s).alias(score_col))
