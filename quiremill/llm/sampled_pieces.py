@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiremill.llm.common import free_name, split_hint, table
-from quiremill.llm.texthash import U, mix, slices
+from quiremill.llm.texthash import U, mix, release, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -44,7 +44,8 @@ SPACE = "▁"
 _STAND_IN = "\ud800"
 _UNITS = re.compile(" +[^ ]*")
 _FALLBACK = -25.0
-_MAX_UNITS = 500_000
+#: Units whose lattices a worker keeps: some 0.6 KB each.
+CACHE_UNITS = 40_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 #: No Gumbel variable made from a 53-bit uniform is larger.
@@ -91,6 +92,7 @@ class Lattices:
     def __init__(self, path: str, theta: float):
         import sentencepiece
 
+        self.most = CACHE_UNITS
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         names = [model.id_to_piece(i) for i in range(size)]
@@ -134,10 +136,10 @@ class Lattices:
         self.unit: dict[str, int] = {}
         self.columns = {
             "start": _Column(np.int64),  # first node of each unit
-            "first": _Column(np.int64),  # first edge of each node, and one more entry at the end
+            "first": _Column(np.int32),  # first edge of each node, and one more entry at the end
             "final": _Column(bool),  # nodes at a unit's end
             "cum": _Column(np.float32),  # of each edge: sum of probabilities up to it at its node,
-            "logq": _Column(np.float64),  # its own,
+            "logq": _Column(np.float32),  # its own logarithm,
             "rest": _Column(np.float32),  # that of the others at its node, -inf without others,
             "next": _Column(np.int32),  # the node it leads to
             "piece": _Column(np.int32),  # and its piece
@@ -165,7 +167,7 @@ class Lattices:
         look = lambda some: np.fromiter(map(self.unit.get, some, repeat(-1)), np.int64, len(some))
         out = look(units)
         if (out < 0).any():
-            if len(self.unit) > _MAX_UNITS:
+            if len(self.unit) > self.most:
                 self.clear()
                 out[:] = -1
             at = np.flatnonzero(out < 0)
@@ -175,11 +177,11 @@ class Lattices:
         return out
 
     def _add(self, new: list[str]) -> None:
-        """Lattices of new units, by length, as the tables are as wide as the longest; some 100,000 characters at a time."""
+        """Lattices of new units, by length, as the tables are as wide as the longest; some 15,000 characters and more at a time."""
         size = np.fromiter(map(len, new), np.int64, len(new))
         for least, most in ((0, 6), (6, 9), (9, 13), (13, 25), (25, 65), (65, 1 << 60)):
             few = [new[i] for i in np.flatnonzero((size >= least) & (size < most)).tolist()]
-            step = max(1, 100_000 // most) if most < 1 << 60 else 1
+            step = max(1, max(15_000, self.most // 5) // most) if most < 1 << 60 else 1
             for lo in range(0, len(few), step):
                 self._build(few[lo : lo + step])
 
@@ -266,9 +268,10 @@ class Lattices:
         return data[keep], np.concatenate(([0], np.cumsum(np.maximum(np.diff(at) - 1, 0))))
 
 
-def lattices(path: str = MODEL, theta: float = 1.0) -> Lattices:
+def lattices(path: str = MODEL, theta: float = 1.0, cache_units: int = CACHE_UNITS) -> Lattices:
     if (path, theta) not in _models:
         _models[path, theta] = Lattices(path, theta)
+    _models[path, theta].most = cache_units
     return _models[path, theta]
 
 
@@ -430,13 +433,13 @@ def sample_texts(texts: list[str], keys: np.ndarray, lat: Lattices, samples: int
     return out
 
 
-def _encode(samples: int, path: str, theta: float, seed: int):
+def _encode(samples: int, path: str, theta: float, seed: int, cache_units: int):
     """(i, text): per text a list of samples, each (ids, log_prob, log_inclusion, round_trip)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lat = lattices(path, theta)
+        lat = lattices(path, theta, cache_units)
         for batch in batches:
-            for part in slices(batch, "t", 1 << 18):
+            for part in slices(batch, "t", 1 << 17):
                 texts = part.column(1).to_pylist()
                 have = [i for i, t in enumerate(texts) if t is not None]
                 keys = np.array([x if x is not None else -1 for x in part.column(0).to_pylist()], np.int64)[have]
@@ -459,6 +462,10 @@ def _encode(samples: int, path: str, theta: float, seed: int):
                 )
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32)), structs, mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "samples"])
+            release()
+        if cache_units <= CACHE_UNITS:
+            lat.clear()
+        release()
 
     return run
 
@@ -466,19 +473,21 @@ def _encode(samples: int, path: str, theta: float, seed: int):
 SAMPLES = "array<struct<ids: array<int>, log_prob: double, log_inclusion: double, round_trip: boolean>>"
 
 
-def encode_samples(docs: DataFrame, samples: int = 2, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, theta: float = 1.0, seed: int = 11) -> DataFrame:
+def encode_samples(docs: DataFrame, samples: int = 2, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, theta: float = 1.0, seed: int = 11, cache_units: int = CACHE_UNITS) -> DataFrame:
     """``docs`` with ``samples``: up to so many distinct segmentations of each whole text.
 
     A column of that name is replaced, further ones are kept.  A text has fewer samples if it has
     fewer segmentations: an empty one has one, the blank that every text begins with.  A null text
     has null samples.  Rows with equal ids and texts get equal samples; a null id counts as -1.
+    ``cache_units`` trades a worker's memory for time and changes no result; a cache of more than the
+    default is kept for the worker's next task.
     ``round_trip`` says whether decoding the ids gives the text again; it always does.
     """
     keep = [c for c in docs.columns if c.lower() != "samples"]
     key = F.col(id_col).cast("long")
     src = docs.select(key.alias("k"), F.col(text_col).alias("t"), *[F.col(c) for c in keep if c != text_col and c not in ("k", "t")], *[F.col(c).alias(f"{c}_own") for c in keep if c in ("k", "t") and c != text_col])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
-    out = split_hint(src).mapInArrow(_encode(samples, model, theta, seed), f"{ddl}, `samples` {SAMPLES}")
+    out = split_hint(src, 1 << 18).mapInArrow(_encode(samples, model, theta, seed, cache_units), f"{ddl}, `samples` {SAMPLES}")
     named = {text_col: F.col("t")} | {c: F.col(f"{c}_own") for c in keep if c in ("k", "t") and c != text_col}
     return out.select(*[named.get(c, F.col(c)).alias(c) for c in keep], "samples")
 
@@ -506,6 +515,6 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", text_col: str = "text", mode
 
 def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and sample: number of ids, scores, a hash of the ids, and the round trip."""
-    out = encode_samples(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = encode_samples(table(spark, sf_dir, "documents").select("doc_id", "text"), cache_units=500_000)
     rows = out.select("doc_id", F.posexplode("samples").alias("sample", "s"))
     return rows.select("doc_id", "sample", F.size("s.ids").alias("n_ids"), "s.log_prob", "s.log_inclusion", F.xxhash64("s.ids").alias("ids_hash"), "s.round_trip")
