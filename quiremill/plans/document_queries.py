@@ -1,7 +1,5 @@
 """Queries that build documents, align texts, treat images and run streams: tests hold most of them, not SQL."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from quiremill.functions import images as I
@@ -130,6 +128,6 @@ def stream_gate(spark, d):
     e = table(spark, d, "events")
     s = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(d)
     w = s.where(F.col("value").between(0, 100)).select(F.col("user_id").alias("page"), F.col("value").alias("conf"))
-    q = G.to_table(G.running_gate(w, 40.0), "stream_gate_out", "complete", tempfile.mkdtemp(prefix="quiremill-"))
+    q = G.to_table(G.running_gate(w, 40.0), "stream_gate_out", "complete", G.checkpoint_folder(spark))
     q.awaitTermination()
     return spark.table("stream_gate_out")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from quiremill.operators.quality import decision
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """A new folder for a stream's checkpoint, below ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quiremill-")
+    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+
+
 def read_words(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
     """A stream of new Parquet files; the checkpoint remembers what was read."""
     r = spark.readStream.schema(schema)
