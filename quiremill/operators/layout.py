@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +98,51 @@ def page_verdict(overlap: Column, orig_tokens: Column, dig_tokens: Column, lost_
     return F.when(fail, "FAIL").when(F.size(warnings) > 0, "WARN").otherwise("PASS"), warnings
 
 
+def _shared_words(passages: list, cells: int = 1 << 20):
+    """A function of Arrow batches (doc_id, words, n): one row a document and passage, some ``cells`` of them at once."""
+    vocabulary = pa.array(sorted({w for _, words in passages for w in words}), pa.string())
+    place = {w: i for i, w in enumerate(vocabulary.to_pylist())}
+    used = [np.array([place[w] for w in words], np.int64) for _, words in passages]
+    words = np.concatenate([*used, np.zeros(0, np.int64)])
+    holders = np.repeat(np.arange(len(used)), [len(u) for u in used])[np.argsort(words, kind="stable")]
+    first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=len(place)))])
+    ids, sizes, n = np.array([i for i, _ in passages], np.int64), np.array([len(u) for u in used], np.int32), len(passages)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, cells // max(1, n))
+            for at in range(0, batch.num_rows if n else 0, step):
+                part = batch.slice(at, step)
+                found = pc.index_in(part.column("words").flatten(), vocabulary)
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("words")).to_numpy(zero_copy_only=False))
+                known = found.is_valid().to_numpy(zero_copy_only=False)
+                w, row = found.drop_null().to_numpy().astype(np.int64), row[known]
+                times = first[w + 1] - first[w]
+                # The places of a word's passages in holders, for all words of the part one after another.
+                each = np.arange(times.sum()) + np.repeat(first[w] - np.cumsum(times) + times, times)
+                shared = np.bincount(np.repeat(row, times) * n + holders[each], minlength=part.num_rows * n).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(ids, part.num_rows)), pa.array(np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), n)), pa.array(np.tile(sizes, part.num_rows)), pa.array(np.repeat(part.column("n").to_numpy(), n)), pa.array(shared)],
+                    ["item_id", "doc_id", "item_tokens", "doc_tokens", "shared"],
+                )
+
+    return run
+
+
+def token_overlaps(passages: DataFrame, documents: DataFrame) -> DataFrame:
+    """Each passage with each document: their distinct tokens, those they share, and the Jaccard overlap.
+
+    Nothing blocks a pair, so weak and empty overlaps are there too.  Null texts have no tokens.  The
+    passages are held by every worker; of the documents only a batch.
+    """
+    tokens = F.array_distinct(X.concordance_tokens(F.coalesce("text", F.lit(""))))
+    held = [(r.item_id, r.words) for r in passages.select("item_id", tokens.alias("words")).collect()]
+    d = documents.select("doc_id", tokens.alias("words")).select("doc_id", "words", F.size("words").alias("n"))
+    p = d.mapInArrow(_shared_words(held), "item_id bigint, doc_id bigint, item_tokens int, doc_tokens int, shared int")
+    union = F.col("item_tokens") + F.col("doc_tokens") - F.col("shared")
+    return p.withColumn("overlap", F.when(union == 0, 1.0).otherwise(F.col("shared") / union))
+
+
 def concordance(pairs: DataFrame, page_difference: Column | None = None) -> DataFrame:
     """Counts of verdicts, mean overlap and the verdict over all."""
     page_difference = F.lit(0) if page_difference is None else page_difference
