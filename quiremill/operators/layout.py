@@ -98,35 +98,34 @@ def page_verdict(overlap: Column, orig_tokens: Column, dig_tokens: Column, lost_
     return F.when(fail, "FAIL").when(F.size(warnings) > 0, "WARN").otherwise("PASS"), warnings
 
 
-def _shared_words(passages: list, cells: int = 1 << 20):
-    """A function of Arrow batches (doc_id, words, n): one row a document and passage, some ``cells`` of them at once."""
-    vocabulary = pa.array(sorted({w for _, words in passages for w in words}), pa.string())
+def _shared_words(sets: list[list[str]]):
+    """A function of an Arrow list column of distinct words: per row and set, how many words they share."""
+    vocabulary = pa.array(sorted({w for words in sets for w in words}), pa.string())
     place = {w: i for i, w in enumerate(vocabulary.to_pylist())}
-    used = [np.array([place[w] for w in words], np.int64) for _, words in passages]
+    used = [np.array([place[w] for w in words], np.int64) for words in sets]
     words = np.concatenate([*used, np.zeros(0, np.int64)])
     holders = np.repeat(np.arange(len(used)), [len(u) for u in used])[np.argsort(words, kind="stable")]
     first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=len(place)))])
-    ids, sizes, n = np.array([i for i, _ in passages], np.int64), np.array([len(u) for u in used], np.int32), len(passages)
+    n = len(sets)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            step = max(1, cells // max(1, n))
-            for at in range(0, batch.num_rows if n else 0, step):
-                part = batch.slice(at, step)
-                found = pc.index_in(part.column("words").flatten(), vocabulary)
-                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("words")).to_numpy(zero_copy_only=False))
-                known = found.is_valid().to_numpy(zero_copy_only=False)
-                w, row = found.drop_null().to_numpy().astype(np.int64), row[known]
-                times = first[w + 1] - first[w]
-                # The places of a word's passages in holders, for all words of the part one after another.
-                each = np.arange(times.sum()) + np.repeat(first[w] - np.cumsum(times) + times, times)
-                shared = np.bincount(np.repeat(row, times) * n + holders[each], minlength=part.num_rows * n).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.tile(ids, part.num_rows)), pa.array(np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), n)), pa.array(np.tile(sizes, part.num_rows)), pa.array(np.repeat(part.column("n").to_numpy(), n)), pa.array(shared)],
-                    ["item_id", "doc_id", "item_tokens", "doc_tokens", "shared"],
-                )
-
-    return run
+    def count(column: pa.ListArray) -> np.ndarray:
+        found = pc.index_in(column.flatten(), vocabulary)
+        row = np.repeat(np.arange(len(column)), pc.list_value_length(column).to_numpy(zero_copy_only=False))
+        w, row = found.drop_null().to_numpy().astype(np.int64), row[found.is_valid().to_numpy(zero_copy_only=False)]
+        times = first[w + 1] - first[w]
+        # The places of a word's sets in holders, for all words one after another.
+        each = np.arange(times.sum()) + np.repeat(first[w] - np.cumsum(times) + times, times)
+        return np.bincount(np.repeat(row, times) * n + holders[each], minlength=len(column) * n).reshape(len(column), n)
+
+    return count
+
+
+def _parts(batches: Iterator[pa.RecordBatch], n: int, cells: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of so few rows that a row each for ``n`` others makes some ``cells`` rows."""
+    step = max(1, cells // max(1, n))
+    for batch in batches:
+        for at in range(0, batch.num_rows if n else 0, step):
+            yield batch.slice(at, step)
 
 
 def token_overlaps(passages: DataFrame, documents: DataFrame) -> DataFrame:
@@ -136,9 +135,19 @@ def token_overlaps(passages: DataFrame, documents: DataFrame) -> DataFrame:
     passages are held by every worker; of the documents only a batch.
     """
     tokens = F.array_distinct(X.concordance_tokens(F.coalesce("text", F.lit(""))))
-    held = [(r.item_id, r.words) for r in passages.select("item_id", tokens.alias("words")).collect()]
+    held = passages.select("item_id", tokens.alias("words")).collect()
+    ids, sets = np.array([r.item_id for r in held], np.int64), [r.words for r in held]
+    sizes, n = np.array([len(x) for x in sets], np.int32), len(sets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _shared_words(sets)
+        for part in _parts(batches, n):
+            shared = count(part.column("words")).ravel().astype(np.int32)
+            docs, lengths = (part.column(c).take(pa.array(np.repeat(np.arange(part.num_rows), n))) for c in ("doc_id", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(ids, part.num_rows)), docs, pa.array(np.tile(sizes, part.num_rows)), lengths, pa.array(shared)], ["item_id", "doc_id", "item_tokens", "doc_tokens", "shared"])
+
     d = documents.select("doc_id", tokens.alias("words")).select("doc_id", "words", F.size("words").alias("n"))
-    p = d.mapInArrow(_shared_words(held), "item_id bigint, doc_id bigint, item_tokens int, doc_tokens int, shared int")
+    p = d.mapInArrow(run, "item_id bigint, doc_id bigint, item_tokens int, doc_tokens int, shared int")
     union = F.col("item_tokens") + F.col("doc_tokens") - F.col("shared")
     return p.withColumn("overlap", F.when(union == 0, 1.0).otherwise(F.col("shared") / union))
 
@@ -158,6 +167,34 @@ def missing_references(expected: DataFrame, pages: DataFrame) -> DataFrame:
     return x.groupBy("job", "page").agg(F.sort_array(F.collect_list("ref")).alias("missing"))
 
 
+def missing_from_pages(references: DataFrame, pages: DataFrame) -> DataFrame:
+    """(job, page, missing): how many of a job's references (job, ref) each page (page, text) doesn't hold, where any.
+
+    Every job is held against every page, by the whole reference.  A page can only hold a reference
+    if the words between its first and its last blank are words of the page; only then the texts
+    are searched.  A null text holds none, a null reference isn't one.  The references are held by
+    every worker.
+    """
+    held = references.where("job is not null and ref is not null").select("job", "ref").collect()
+    refs = [r.ref for r in held]
+    sets = [sorted(set(x.split(" ")[1:-1])) for x in refs]
+    sizes, (jobs, job) = np.array([len(x) for x in sets], np.int64), np.unique(np.array([r.job for r in held], np.int64), return_inverse=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _shared_words(sets)
+        for part in _parts(batches, len(refs)):
+            texts, there = part.column("text"), np.zeros((part.num_rows, len(refs)), bool)
+            row, ref = np.nonzero(count(part.column("words")) == sizes)
+            there[row, ref] = [t is not None and refs[j] in t for t, j in zip(texts.take(pa.array(row)).to_pylist(), ref)]
+            row, ref = np.nonzero(~there)
+            missing = np.bincount(row * len(jobs) + job[ref], minlength=part.num_rows * len(jobs)).astype(np.int32)
+            at = np.nonzero(missing)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(jobs[at % len(jobs)]), part.column("page").take(pa.array(at // len(jobs))), pa.array(missing[at])], ["job", "page", "missing"])
+
+    words = F.array_distinct(F.split(F.coalesce("text", F.lit("")), " "))
+    return pages.select("page", "text", words.alias("words")).mapInArrow(run, "job bigint, page bigint, missing int")
+
+
 def fit_levels(pages: DataFrame, ladder: DataFrame) -> DataFrame:
     """The first level of a ladder (level, capacity) at which each page's content fits, else the last.
 

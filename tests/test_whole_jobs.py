@@ -31,3 +31,15 @@ def test_token_overlaps_by_hand(spark):
         (3, 7): (3, 3, 1, 0.2), (3, 8): (3, 0, 0, 0.0), (3, 9): (3, 1, 1, 0.333333),
     }
     assert L.token_overlaps(b.limit(0), d).count() == 0
+
+
+def test_page_parity(spark, sf):
+    sql = "SELECT item_id AS job, doc_id AS page, 1 AS missing FROM benchmark b, documents d WHERE NOT contains(d.text, b.text)"
+    oracle.same(QUERIES["page_parity"](spark, sf), sql, sf)
+
+
+def test_missing_from_pages_by_hand(spark):
+    r = spark.createDataFrame([(1, "a long reference"), (1, "short"), (2, "x"), (3, None)], "job long, ref string")
+    p = spark.createDataFrame([(41, "a long refuge, short"), (7, "." * 3000 + "a long reference"), (8, None), (9, "short x a long reference")], "page long, text string")
+    got = {tuple(x) for x in L.missing_from_pages(r, p).select("job", "page", "missing").collect()}
+    assert got == {(1, 41, 1), (2, 41, 1), (1, 7, 1), (2, 7, 1), (1, 8, 2), (2, 8, 1)}
