@@ -243,11 +243,11 @@ def set_word_confidence(title: Column, conf: Column) -> Column:
 
 
 def format_size(n: Column) -> Column:
-    """Bytes as B, KB or MB."""
+    """Bytes as B, KB with one place or MB with one or two; halves of the last place go to the even digit.  Null for null."""
     return (
         F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B")))
-        .when(n < 1024 * 1024, F.format_string("%.1f KB", n / 1024.0))
-        .otherwise(F.format_string("%.1f MB", n / (1024.0 * 1024.0)))
+        .when(n < 1024 * 1024, F.format_string("%.1f KB", F.bround(n / 1024.0, 1)))
+        .when(n.isNotNull(), F.concat(F.regexp_replace(F.format_string("%.2f", F.bround(n / (1024.0 * 1024.0), 2)), r"(\.\d)0$", "$1"), F.lit(" MB")))
     )
 
 

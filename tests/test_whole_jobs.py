@@ -43,3 +43,13 @@ def test_missing_from_pages_by_hand(spark):
     p = spark.createDataFrame([(41, "a long refuge, short"), (7, "." * 3000 + "a long reference"), (8, None), (9, "short x a long reference")], "page long, text string")
     got = {tuple(x) for x in L.missing_from_pages(r, p).select("job", "page", "missing").collect()}
     assert got == {(1, 41, 1), (2, 41, 1), (1, 7, 1), (2, 7, 1), (1, 8, 2), (2, 8, 1)}
+
+
+def test_format_sizes(spark, sf, tmp_path):
+    rows = [(1, 255), (2, 1024 + 256), (3, 1024 + 768), (4, 1 << 20), (5, (1 << 20) - 1), (6, 13 << 18), (7, 41 << 17), (8, 0), (9, None), (10, 1023)]
+    spark.createDataFrame(rows, "doc_id long, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.size for r in QUERIES["format_sizes"](spark, str(tmp_path)).collect()}
+    # as Python's round() has them: one place for KB, up to two for MB
+    assert got == {1: "255 B", 2: "1.2 KB", 3: "1.8 KB", 4: "1.0 MB", 5: "1024.0 KB", 6: "3.25 MB", 7: "5.12 MB", 8: "0 B", 9: None, 10: "1023 B"}
+    sql = "SELECT doc_id, CASE WHEN n_chars < 1024 THEN n_chars || ' B' ELSE printf('%.1f KB', n_chars / 1024.0) END AS size FROM documents"
+    oracle.same(QUERIES["format_sizes"](spark, sf), sql, sf)
