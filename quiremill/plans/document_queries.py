@@ -94,8 +94,8 @@ def canonical_align(spark, d):
 @query("windowed_align")
 def windowed_align(spark, d):
     canon, _ = _canon(spark, d)
-    roots = canon.select("job", "ord", F.lit(1).alias("class"), F.col("ord").cast("long").alias("id"), F.lit("").alias("root"), F.lit("").alias("meaning"), F.split_part("text", F.lit(" "), F.lit(1)).alias("iast_root"), F.substring("text", 1, 60).alias("iast_meaning"))
-    lines = canon.where("ord % 3 <> 0").select("job", (F.col("ord") / 7).cast("long").alias("page"), F.col("ord").alias("idx"), F.lit(1).alias("class"), F.substring("text", 1, 60).alias("text"))
+    roots = canon.select("job", "ord", F.lit(1).alias("class"), F.col("ord").cast("long").alias("id"), F.lit("").alias("root"), F.lit("").alias("meaning"), F.split_part("text", F.lit(" "), F.lit(1)).alias("iast_root"), F.col("text").alias("iast_meaning"))
+    lines = canon.select("job", (F.col("ord") / 7).cast("long").alias("page"), F.col("ord").alias("idx"), F.lit(1).alias("class"), F.when(F.col("ord") % 3 == 0, "lost").otherwise(F.col("text")).alias("text"))
     full = A.fill_unmatched(roots, A.align_windowed(lines, roots))
     return full.select("id", "page", "interpolated", F.round("match_confidence", 3).alias("match_confidence"))
 
