@@ -3,7 +3,8 @@
 A seed is a fixed mask over consecutive words: it looks at some places and ignores the others, so
 a match survives substitutions at ignored places.  With the two default masks every stretch of 15
 words with at most three substitutions holds a full match of one of them (all 455 patterns were
-tried).  Seeds of the benchmark are joined with seeds of all documents at every position; each hit
+tried).  An item shorter than the window is cut into one run of words more than it may have
+substitutions, so that one run is left whole in every match; these runs are its seeds.  Seeds of the benchmark are joined with seeds of all documents at every position; each hit
 fixes an item and an alignment, along which words are compared: a document is contaminated if some
 stretch of ``window`` item words (the whole item, if shorter) agrees with it in at least
 ``similarity`` of its places.
@@ -48,22 +49,39 @@ def _positions(df: DataFrame, keep: list[str], masks) -> DataFrame:
     return long.select(*keep, "h", "i", F.explode(_seeds("h", F.col("i"), masks)).alias("k")).where("k is not null")
 
 
+def _run_seeds(items: DataFrame, need: Column) -> tuple[DataFrame, list[tuple[int, ...]]]:
+    """Seeds (item, bh, b, bk) of items that need ``need`` equal words: runs of which a match leaves one whole; and their masks."""
+    n, parts = F.size("h"), F.size("h") - need + 1
+    at = lambda j: F.floor(j * n / parts).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.struct(at(j).alias("b"), (at(j + 1) - at(j)).alias("size")))
+    runs = items.select("item", "h", F.explode(runs).alias("r")).select("item", "h", "r.b", "r.size")
+    masks = [tuple(range(r["size"])) for r in runs.select("size").distinct().orderBy("size").collect()]
+    keys = [F.when(F.col("size") == len(m), _seeds("h", F.col("b"), masks)[j]) for j, m in enumerate(masks)]
+    return runs.select("item", F.col("h").alias("bh"), "b", (F.coalesce(*keys) if keys else F.lit(None).cast("long")).alias("bk")), masks
+
+
 def contaminated_alignments(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks=MASKS, window: int = 15, similarity: float = 0.8, max_broadcast_seeds: int = 500_000) -> DataFrame:
     """(doc, item, matched): ids and the most agreeing words on an alignment, once per pair."""
     items = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text)).alias("h")).distinct()
-    seeds = _positions(items, ["item"], masks).select(F.col("item"), F.col("h").alias("bh"), F.col("i").alias("b"), F.col("k").alias("bk"))
-    n = seeds.count()
+    long = _positions(items.where(F.size("h") >= window), ["item"], masks).select(F.col("item"), F.col("h").alias("bh"), F.col("i").alias("b"), F.col("k").alias("bk"))
+    need_all = F.greatest(F.ceil(F.lit(similarity) * F.size("h")), F.lit(1)).cast("int")
+    short, runs = _run_seeds(items.where((F.size("h") > 0) & (F.size("h") < window)), need_all)
     d = docs.select(F.col(id_col).alias("doc"), word_hashes(F.col(text_col)).alias("h"))
-    if n <= max_broadcast_seeds:
-        # one row per seed and item: equal seeds at several places of an item stay apart, they
-        # are different alignments
-        hits = _positions(d, ["doc"], masks).join(F.broadcast(seeds), F.col("k") == F.col("bk"))
-    else:
+
+    def meet(seeds: DataFrame, masks) -> DataFrame:
+        if seeds.count() <= max_broadcast_seeds:
+            # one row per seed and item: equal seeds at several places of an item stay apart, they
+            # are different alignments
+            return _positions(d, ["doc"], masks).join(F.broadcast(seeds), F.col("k") == F.col("bk")).select("doc", "h", "i", "item", "bh", "b")
         # without the document's words, which would travel with every place; they join the hits
         places = _positions(d, ["doc"], masks).select("doc", "i", "k")
         met = places.join(seeds.select("item", "b", "bk"), F.col("k") == F.col("bk")).select("doc", "item", (F.col("i") - F.col("b")).alias("i")).distinct()
         met = met.withColumnRenamed("doc", "hit_doc").join(items.select("item", F.col("h").alias("bh")), "item")
-        hits = met.join(d, F.col("hit_doc").eqNullSafe(F.col("doc"))).withColumn("b", F.lit(0))
+        return met.join(d, F.col("hit_doc").eqNullSafe(F.col("doc"))).select("doc", "h", "i", "item", "bh", F.lit(0).alias("b"))
+
+    hits = meet(long, masks)
+    if runs:
+        hits = hits.unionByName(meet(short, runs))
     # Along the alignment, place x of the item stands at place x + i - b of the document.  What is
     # needed of the document is cut out here, and through a generator, so that no lambda gets into
     # the join's condition: scan positions, masks and probe stay one compiled loop over ``h``.
@@ -85,8 +103,8 @@ def contaminated_alignments(docs: DataFrame, benchmark: DataFrame, id_col: str =
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """``docs`` with ``contaminated`` and ``items``, the sorted ids of the items found.
 
-    Columns of these names are replaced, further ones kept.  Null and empty texts, and items of
-    fewer words than the shorter mask spans (6), are never part of a match; an empty benchmark
+    Columns of these names are replaced, further ones kept.  Null and empty texts and
+    items without words are never part of a match; an empty benchmark
     leaves all documents clean.  Rows with equal ids share the verdict; a null id is matched too
     and rows with a null id share theirs.  Copies of a document are judged alike.
     """
