@@ -217,9 +217,13 @@ def embedding_links(vectors: DataFrame, d: int, id_col: str = "vec_id", vec_col:
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors link with those of their own length: it goes into the label, and zeros, which leave cosines as they are, fill up to the largest."""
     vectors = table(spark, sf_dir, "embeddings")
-    d = vectors.select(F.max(F.size("embedding"))).first()[0] or 0
-    return embedding_links(vectors, d=max(d, 1))
+    d = max(vectors.select(F.max(F.size("embedding"))).first()[0] or 0, 1)
+    x, size = F.col("embedding").cast("array<double>"), F.size("embedding")
+    filled = F.concat(x, F.array_repeat(F.lit(0.0), F.lit(d) - size))
+    label = F.when(F.col("label").isNotNull(), F.struct(F.col("label").alias("of"), size.alias("size")))
+    return embedding_links(vectors.select("vec_id", filled.alias("embedding"), label.alias("label")), d=d)
 
 
 SQL = """
