@@ -26,9 +26,7 @@ whatever batch, partition or attempt it is.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,28 +40,35 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Stands for a SPACE character of the text itself, which is encoded as bytes.
 _STAND_IN = "\ud800"
-_UNITS = re.compile(" +[^ ]*")
 _FALLBACK = -25.0
 #: Units whose lattices a worker keeps: some 0.6 KB each.
 CACHE_UNITS = 40_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
+_BY_UNIT, _BY_STEP = U(0xD1342543DE82EF95), U(0xAF251AF3B0F025B5)
 #: No Gumbel variable made from a 53-bit uniform is larger.
 _MOST = 37.0
 _models: dict[tuple, "Lattices"] = {}
+_tables = {"up": np.empty(0, U), "down": np.empty(0, U), "code": np.empty(0, U)}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    x = np.full(n, base & (2**64 - 1), U)
-    x[0] = 1
-    return np.multiply.accumulate(x)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base's powers and their inverses, at least ``n`` of them."""
+    if len(_tables["up"]) < n:
+        for name, base in (("up", _BASE), ("down", _INVERSE)):
+            x = np.full(max(n, 1 << 18), base & (2**64 - 1), U)
+            x[0] = 1
+            _tables[name] = np.multiply.accumulate(x)
+        _tables["code"] = mix(np.arange(1, 0x110001, dtype=U))
+    return _tables["up"], _tables["down"]
 
 
 def _hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Running sums from which the hash of any stretch follows, and the factors for its start."""
+    up, down = _powers(len(codes) + 1)
     run = np.zeros(len(codes) + 1, U)
-    np.cumsum(mix(codes.astype(U) + U(1)) * _powers(_BASE, len(codes)), out=run[1:])
-    return run, _powers(_INVERSE, len(codes) + 1)
+    np.cumsum(_tables["code"][codes] * up[: len(codes)], out=run[1:])
+    return run, down
 
 
 def _codes(text: str) -> np.ndarray:
@@ -86,6 +91,54 @@ class _Column:
         self.x = self.room[: n + len(more)]
 
 
+class _Numbers:
+    """Numbers by 64-bit hash: open addressing, at most a quarter full."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.key, self.no, self.used = np.zeros(1 << bits, U), np.full(1 << bits, -1, np.int32), np.zeros(1 << bits, bool)
+        self.held = 0
+
+    def put(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Add distinct hashes that aren't held yet."""
+        while 4 * (self.held + len(keys)) > len(self.no):
+            old, wider = self, _Numbers(self.bits + 2)
+            at = np.flatnonzero(old.used)
+            wider.put(old.key[at], old.no[at])
+            self.__dict__ = wider.__dict__
+        at, go = (keys >> U(64 - self.bits)).astype(np.int64), np.arange(len(keys))
+        while len(go):
+            free = go[~self.used[at[go]]]
+            self.no[at[free]] = numbers[free]  # of several in one place the last one stays
+            mine = free[self.no[at[free]] == numbers[free]]
+            self.key[at[mine]], self.used[at[mine]] = keys[mine], True
+            left = np.ones(len(keys), bool)
+            left[mine] = False
+            go = go[left[go]]
+            at[go] = (at[go] + 1) & (len(self.no) - 1)
+        self.held += len(keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of these hashes, -1 for none."""
+        at = (keys >> U(64 - self.bits)).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        go = np.flatnonzero(self.used[at])
+        at = at[go]
+        while len(go):
+            same = self.key[at] == keys[go]
+            out[go[same]] = self.no[at[same]]
+            at = (at[~same] + 1) & (len(self.no) - 1)
+            go = go[~same]
+            some = self.used[at]
+            at, go = at[some], go[some]
+        return out
+
+
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start[0], start[0] + 1, ...``, ``size[0]`` of them, then those of the next."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Lattices:
     """The vocabulary, and the lattices of the units seen lately."""
 
@@ -98,7 +151,7 @@ class Lattices:
         names = [model.id_to_piece(i) for i in range(size)]
         self.byte_id = np.zeros(256, np.int64)
         spell: list[bytes] = []
-        keys, ids, lens = [], [], []  # of the pieces that a lattice can hold
+        ids = []  # of the pieces that a lattice can hold
         rank = 0
         logp = np.full(size, -np.inf)
         for i, name in enumerate(names):
@@ -110,30 +163,26 @@ class Lattices:
             else:
                 logp[i] = -theta * np.log(rank + 10.0)
                 rank += 1
-                c = _codes(name)
-                run, _ = _hashes(c)
-                keys.append(run[-1])
                 ids.append(i)
-                lens.append(len(c))
                 spell.append(name.replace(SPACE, " ").encode())
         self.size = size
         usual = np.isfinite(logp)
         logp[usual] -= np.log(np.exp(logp[usual]).sum())
-        # open addressing, a quarter full: a look-up compares about one entry
-        self.keys, self.ids = np.zeros(1 << 17, U), np.full(1 << 17, -1)
-        for key, i in zip(keys, ids, strict=True):
-            at = int(key >> U(47))
-            while self.ids[at] >= 0:
-                at = (at + 1) & 0x1FFFF
-            self.keys[at], self.ids[at] = key, i
-        self.longest = max(lens)
-        self.weight = np.concatenate((logp, [_FALLBACK, -np.inf]))  # of pieces, of a character in bytes, of none
+        self.pieces = _Numbers(17)
+        size = np.array([len(names[i]) for i in ids])
+        end = np.cumsum(size)
+        run, down = _hashes(_codes("".join(names[i] for i in ids)))
+        self.pieces.put((run[end] - run[end - size]) * down[end - size], np.array(ids, np.int32))
+        self.longest = int(size.max())
+        self.weight = np.append(logp, _FALLBACK)  # of pieces, and of a character in bytes
+        #: Units of at most so many characters have no segmentation whose weight underflows.
+        self.plain = int(700 / -min(_FALLBACK, logp[usual].min()))
         self.spell = np.frombuffer(b"".join(spell), np.uint8)
         self.spell_at = np.concatenate(([0], np.cumsum([len(x) for x in spell])))
         self.clear()
 
     def clear(self) -> None:
-        self.unit: dict[str, int] = {}
+        self.unit = _Numbers(16)
         self.columns = {
             "start": _Column(np.int64),  # first node of each unit
             "first": _Column(np.int32),  # first edge of each node, and one more entry at the end
@@ -151,99 +200,124 @@ class Lattices:
         for name, c in self.columns.items():
             setattr(self, name, c.x)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Ids of the pieces of these hashes, -1 for none."""
-        at = (keys >> U(47)).astype(np.int64)
-        out = np.where(self.keys[at] == keys, self.ids[at], -1)
-        go = np.flatnonzero((self.keys[at] != keys) & (self.ids[at] >= 0))
-        while len(go):
-            at[go] = (at[go] + 1) & 0x1FFFF
-            same = self.keys[at[go]] == keys[go]
-            out[go[same]] = self.ids[at[go[same]]]
-            go = go[~same & (self.ids[at[go]] >= 0)]
-        return out
-
     def unit_ids(self, units: list[str]) -> np.ndarray:
-        look = lambda some: np.fromiter(map(self.unit.get, some, repeat(-1)), np.int64, len(some))
-        out = look(units)
-        if (out < 0).any():
-            if len(self.unit) > self.most:
+        """Numbers of units given without the blank in front."""
+        size = np.fromiter(map(len, units), np.int64, len(units)) + 1
+        end = np.cumsum(size)
+        return self.numbers(_codes("".join(SPACE + u for u in units)), end - size, end)
+
+    def numbers(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the units that stand in ``codes`` from ``start`` to ``end``; new ones get a lattice."""
+        run, down = _hashes(codes)
+        keys = (run[end] - run[start]) * down[start]
+        out = self.unit.find(keys)
+        at = np.flatnonzero(out < 0)
+        if len(at):
+            if self.unit.held > self.most:
                 self.clear()
-                out[:] = -1
-            at = np.flatnonzero(out < 0)
-            missing = [units[i] for i in at.tolist()]
-            self._add(list(dict.fromkeys(missing)))
-            out[at] = look(missing)
+                at = np.arange(len(keys))
+            _, new = np.unique(keys[at], return_index=True)
+            self._add(codes, start[at[new]], end[at[new]], keys[at[new]])
+            out[at] = self.unit.find(keys[at])
         return out
 
-    def _add(self, new: list[str]) -> None:
-        """Lattices of new units, by length, as the tables are as wide as the longest; some 15,000 characters and more at a time."""
-        size = np.fromiter(map(len, new), np.int64, len(new))
-        for least, most in ((0, 6), (6, 9), (9, 13), (13, 25), (25, 65), (65, 1 << 60)):
-            few = [new[i] for i in np.flatnonzero((size >= least) & (size < most)).tolist()]
-            step = max(1, max(15_000, self.most // 5) // most) if most < 1 << 60 else 1
-            for lo in range(0, len(few), step):
-                self._build(few[lo : lo + step])
-
-    def _build(self, new: list[str]) -> None:
-        size = np.array([len(u) + 1 for u in new])  # with the blank in front
-        codes = _codes(SPACE + SPACE.join(new))
-        n = len(codes)
+    def _add(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> None:
+        """Lattices of new units, those of like length together, some 30,000 characters at a time."""
+        size = end - start
+        order = np.argsort(size, kind="stable")
+        start, size, keys = start[order], size[order], keys[order]
+        run = np.cumsum(size)
+        lo, plain = 0, int(np.searchsorted(size, self.plain, "right"))
+        while lo < len(size):
+            hi = max(lo + 1, int(np.searchsorted(run, run[lo] - size[lo] + 30_000, "right")))
+            if lo < plain < hi:
+                hi = plain
+            self._build(codes[_ragged(start[lo:hi], size[lo:hi])], size[lo:hi], lo >= plain)
+            self.unit.put(keys[lo:hi], np.arange(len(self.start) - (hi - lo), len(self.start), dtype=np.int32))
+            lo = hi
+
+    def _build(self, codes: np.ndarray, size: np.ndarray, logs: bool) -> None:
+        """Edges of each node from the longest piece down; backward sums from the units' ends, as logarithms if ``logs``."""
+        n, units = len(codes), len(size)
         end = np.cumsum(size)
-        word = np.repeat(np.arange(len(new)), size)
         left = np.repeat(end, size) - np.arange(n)  # characters up to the unit's end
         run, down = _hashes(codes)
-        wide = int(min(self.longest, left.max()))
-        piece = np.full((n, wide), -1, np.int64)  # by place, and length from the longest down
-        for k in range(1, wide + 1):
-            at = np.flatnonzero(left >= k) if k > 1 else np.arange(n)
-            piece[at, wide - k] = self.find((run[at + k] - run[at]) * down[at])
-        bare = np.flatnonzero(piece[:, -1] < 0)
-        piece[bare, -1] = self.size + codes[bare].astype(np.int64)  # beyond the vocabulary: a character in bytes
-        w = self.weight[np.minimum(piece, self.size)]  # -1 is the last entry, -inf
-        # nodes of a unit: one before each character and one at its end
-        node = np.arange(n) + word
-        reach = np.arange(wide, 0, -1)
-        beta = np.zeros(n + len(new) + wide)
-        by_left = np.argsort(left, kind="stable")
-        cut = np.concatenate((np.searchsorted(left[by_left], np.arange(1, left.max() + 1)), [n]))
-        for a, b in zip(cut[:-1], cut[1:], strict=True):  # nearest to the unit's end first
-            at = by_left[a:b]
-            v = w[at] + beta[node[at][:, None] + reach]
-            top = v.max(1)
-            v -= top[:, None]
-            beta[node[at]] = top + np.log(np.exp(v).sum(1))
-        s, col = np.nonzero(piece >= 0)
-        p = piece[s, col]
-        to = node[s] + reach[col]
-        x = w[s, col] + beta[to] - beta[node[s]]
-        degree = np.zeros(n + len(new), np.int64)
-        degree[node] = np.bincount(s, minlength=n)
+        node = np.arange(n) + np.repeat(np.arange(units), size)  # of a unit: one before each character and one at its end
+        degree = np.zeros(n + units, np.int64)
+        found, at = [], np.arange(n)
+        for k in range(1, int(min(self.longest, left.max())) + 1):
+            at = at[left[at] >= k] if k > 1 else at
+            piece = self.pieces.find((run[at + k] - run[at]) * down[at])
+            if k == 1:
+                bare = np.flatnonzero(piece < 0)
+                piece[bare] = self.size + codes[bare].astype(np.int64)  # beyond the vocabulary: a character in bytes
+                hit = at
+            else:
+                hit = at[piece >= 0]
+                piece = piece[piece >= 0]
+            degree[node[hit]] += 1
+            found.append((k, hit, piece))
         first = np.concatenate(([0], np.cumsum(degree)))
-        q = np.exp(x)
-        run_q = np.cumsum(q)
-        cum = run_q - np.concatenate(([0.0], run_q))[first[node[s]]]
+        edges = int(first[-1])
+        src, to, p, gap, room = np.empty(edges, np.int64), np.empty(edges, np.int64), np.empty(edges, np.int64), np.empty(edges, np.int64), first[:-1].copy()
+        for k, hit, piece in reversed(found):
+            x = node[hit]
+            e = room[x]
+            room[x] = e + 1
+            src[e], to[e], p[e], gap[e] = x, x + k, piece, left[hit]
+        w = self.weight[np.minimum(p, self.size)]
+        # nearest to the unit's end first, each node's edges side by side
+        order = np.argsort(gap.astype(np.uint16) if gap.max(initial=0) < 1 << 16 else gap, kind="stable")
+        x, y, v = src[order], to[order], (w if logs else np.exp(w))[order]
+        heads = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+        cut = np.append(np.flatnonzero(np.concatenate(([True], np.diff(gap[order[heads]]) != 0))), len(heads))
+        edge_of, beta = np.append(heads, edges), np.full(n + units, 0.0 if logs else 1.0)
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            lo, hi = edge_of[a], edge_of[b]
+            at = heads[a:b] - lo
+            if logs:
+                sums = v[lo:hi] + beta[y[lo:hi]]
+                top = np.maximum.reduceat(sums, at)
+                beta[x[heads[a:b]]] = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, np.diff(np.append(at, hi - lo)))), at))
+            else:
+                beta[x[heads[a:b]]] = np.add.reduceat(v[lo:hi] * beta[y[lo:hi]], at)
+        if logs:
+            logq = w + beta[to] - beta[src]
+            q = np.exp(logq)
+        else:
+            beta = np.log(beta)
+            logq = w + beta[to] - beta[src]
+            q = np.exp(logq)
+        # sums of probabilities up to each edge of its node, by place at the node: no other unit has a part in them
+        cum, some = q.copy(), np.flatnonzero(degree > 1)
+        e = first[some]
+        while len(some):
+            cum[e + 1] += cum[e]
+            e += 1
+            go = e + 1 < first[some + 1]
+            some, e = some[go], e[go]
         cum[first[1:][degree > 0] - 1] = 2.0  # whatever the rounding, the last piece ends the search
-        final = np.zeros(n + len(new), bool)
-        final[end + np.arange(len(new))] = True
+        final = np.zeros(n + units, bool)
+        final[end + np.arange(units)] = True
         # the others' mass: 1 - q, or their sum where that would cancel
         rest = 1 - q
-        near = np.flatnonzero((rest < 1e-9) & (degree[node[s]] > 1))
+        near = np.flatnonzero((rest < 1e-9) & (degree[src] > 1))
         if len(near):
-            at = s[near]
-            v = np.exp(np.where(piece[at] >= 0, w[at] + beta[node[at][:, None] + reach], -np.inf) - beta[node[at]][:, None])
-            v[np.arange(len(at)), col[near]] = 0
-            rest[near] = v.sum(1)
+            others = q.copy()
+            others[near] = 0
+            whole = np.flatnonzero(degree)
+            mass = np.zeros(n + units)
+            mass[whole] = np.add.reduceat(others, first[whole])
+            rest[near] = mass[src[near]]
         with np.errstate(divide="ignore"):
-            rest = np.where(degree[node[s]] == 1, -np.inf, np.log(np.maximum(rest, 1e-300)))
-        edges, base = len(self.next), len(self.final)
+            rest = np.where(degree[src] == 1, -np.inf, np.log(np.maximum(rest, 1e-300)))
+        edge_base, base = len(self.next), len(self.final)
         grown = self.columns
-        grown["first"].add(edges + first[1:])
-        grown["start"].add(base + np.concatenate(([0], end[:-1])) + np.arange(len(new)))
-        for name, more in (("cum", cum), ("logq", x), ("rest", rest), ("next", base + to), ("piece", p), ("final", final)):
+        grown["first"].add(edge_base + first[1:])
+        grown["start"].add(base + end - size + np.arange(units))
+        for name, more in (("cum", cum), ("logq", logq), ("rest", rest), ("next", base + to), ("piece", p), ("final", final)):
             grown[name].add(more)
         self._share()
-        self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new)), strict=True))
 
     def out_ids(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Vocabulary ids, characters without piece as their bytes; and how many ids each has."""
@@ -275,38 +349,49 @@ def lattices(path: str = MODEL, theta: float = 1.0, cache_units: int = CACHE_UNI
     return _models[path, theta]
 
 
-def units_of(text: str) -> list[str]:
-    """What follows each blank, the one in front of the text included; several blanks begin one unit together.
+def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the texts, each with a blank in front; where units start and end in them; each text's first unit.
 
-    A line break stays within its unit, as no piece holds one.
+    A unit is one or more blanks and what follows up to the next; a line break stays within its
+    unit, as no piece holds one.
     """
-    if SPACE in text:
-        text = text.replace(SPACE, _STAND_IN)
-    if "  " not in text and text[:1] != " " and text[-1:] != " ":
-        return text.split(" ")
-    return [u[1:].replace(" ", SPACE) for u in _UNITS.findall(" " + text)]
+    codes = _codes("".join(" " + t for t in texts)).copy()
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    at = np.cumsum(size) - size
+    blank = codes == 0x20
+    first = blank.copy()
+    first[1:] &= ~blank[:-1]
+    first[at] = True
+    codes[codes == ord(SPACE)] = ord(_STAND_IN)
+    codes[blank] = ord(SPACE)
+    start = np.flatnonzero(first)
+    return codes, start, np.append(start[1:], len(codes)), np.append(np.searchsorted(start, at), len(start))
 
 
 def _uniform(seed: np.ndarray, stream: int, unit: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Uniforms in (0, 1) that are a function of their arguments."""
-    x = mix(seed + unit.astype(U) * U(0xD1342543DE82EF95) + step.astype(U) * U(0xAF251AF3B0F025B5) + U(stream * 0x9FB21C651E98DF25 & (2**64 - 1)))
+    return _spread(seed + unit.astype(U) * _BY_UNIT, stream, step)
+
+
+def _spread(base: np.ndarray, stream: int, step: np.ndarray) -> np.ndarray:
+    x = mix(base + (step.astype(U) * _BY_STEP + U(stream * 0x9FB21C651E98DF25 & (2**64 - 1))))
     return ((x >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def _gumbel_below(loc: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
+def _gumbel_below(loc: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel variables at ``loc``, conditioned on being below ``bound``."""
     with np.errstate(over="ignore"):
         return loc - np.log(np.exp(np.minimum(loc - bound, 700.0)) - np.log(u))
 
 
-def _walk(lat: Lattices, node: np.ndarray, step: np.ndarray, live: np.ndarray, seed: np.ndarray, unit_no: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Draw pieces from ``node`` to the end of each live unit: (unit index, step, edge) of all."""
-    us, ss, es = [], [], []
-    at = np.flatnonzero(live & ~lat.final[node])
-    cur, k = node[at], step[at]
+def _walk(lat: Lattices, at: np.ndarray, cur: np.ndarray, k: np.ndarray, base: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Draw pieces of units ``at``, from nodes ``cur`` and steps ``k`` to their ends: (unit, step, edge) of all."""
+    us, ss, es = [at[:0]], [k[:0]], [at[:0]]
+    go = ~lat.final[cur]
+    at, cur, k = at[go], cur[go], k[go]
     while len(at):
-        u = _uniform(seed[at], stream, unit_no[at], k)
-        e = lat.first[cur]
+        u = _spread(base[at], stream, k)
+        e = lat.first[cur].astype(np.int64)
         on = np.flatnonzero(u >= lat.cum[e])
         while len(on):
             e[on] += 1
@@ -317,119 +402,187 @@ def _walk(lat: Lattices, node: np.ndarray, step: np.ndarray, live: np.ndarray, s
         cur = lat.next[e]
         go = ~lat.final[cur]
         at, cur, k = at[go], cur[go], k[go] + 1
-    join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-    return join(us), join(ss), join(es)
+    return np.concatenate(us), np.concatenate(ss), np.concatenate(es)
 
 
-class _Path:
-    """One sampled segmentation of one text: its edges and the bounds of what it left open."""
+class _Round:
+    """One sampled segmentation of each of some texts: edges, and the bounds of what they left open.
 
-    __slots__ = ("edges", "unit", "step", "phi", "bound", "open", "drawn", "free", "gone", "stream")
+    ``text``: the texts' numbers; ``off``: their first places; ``edge``, ``unit``, ``step``: by
+    place; ``bound``: the samples' own bounds; ``free``: alternatives before these places were left
+    open by the samples they come from.
+    """
 
-    def __init__(self, edges, unit, step, bound, stream, lat, seed, free):
-        self.edges, self.unit, self.step, self.bound, self.stream = edges, unit, step, bound, stream
-        self.phi = np.concatenate(([0.0], np.cumsum(lat.logq[edges])))
-        self.free = free  # from this place on, alternatives were left open by this path
-        self.open = np.empty(0)
-        self.drawn = free
+    def __init__(self, lat, seeds, stream, text, off, edge, unit, step, bound, free):
+        self.lat, self.seeds, self.stream, self.text, self.off, self.edge, self.unit, self.step, self.bound = lat, seeds, stream, text, off, edge, unit, step, bound
+        logq = lat.logq[edge].astype(np.float64)
+        after = np.empty(len(edge))
+        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            np.cumsum(logq[a:b], out=after[a:b])
+        self.total = after[off[1:] - 1]
+        self.phi = np.empty(len(edge))
+        self.phi[1:] = after[:-1]
+        self.phi[off[:-1]] = 0.0
+        self.open = np.full(len(edge), -np.inf)
+        self.free = off[:-1] + free
+        self.drawn = self.free.copy()
+        self.best = np.full(len(text), -np.inf)
         self.gone: dict[int, list[int]] = {}
 
-    def draw(self, lat: Lattices, seed: int, least: float) -> None:
-        """Bounds of the alternatives at each place that can exceed ``least``, 256 places at a time."""
-        n = len(self.edges)
-        while self.drawn < n and self.phi[self.drawn] + _MOST > max(least, self.open.max(initial=-np.inf)):
-            j = np.arange(self.drawn, min(n, self.drawn + 256))
-            u = _uniform(np.full(len(j), seed, U), 1000 + self.stream, self.unit[j], self.step[j])
-            b = _gumbel_below(self.phi[j] + lat.rest[self.edges[j]], self.bound, u)
-            self.open = np.concatenate((self.open, b))
-            self.drawn += len(j)
-
-    def best(self) -> tuple[float, int]:
-        if not len(self.open):
-            return -np.inf, -1
-        i = int(self.open.argmax())
-        return float(self.open[i]), self.free + i
-
-
-def sample_texts(texts: list[str], keys: np.ndarray, lat: Lattices, samples: int, seed: int) -> list[list[tuple[np.ndarray, float, float]]]:
-    """For each text up to ``samples`` (pieces, log-probability, log inclusion), largest bound first."""
-    split = [units_of(t) for t in texts]
-    size = np.array([len(s) for s in split], np.int64)
-    unit_off = np.concatenate(([0], np.cumsum(size)))
-    wid = lat.unit_ids([u for s in split for u in s])
-    n = len(wid)
-    text_of = np.repeat(np.arange(len(texts)), size)
+    def draw(self, rows: np.ndarray) -> None:
+        """Bounds of the alternatives of these rows at each place that can exceed the best, 64 places and more at a time."""
+        most = 32
+        while len(rows):
+            most *= 2
+            rows = rows[self.drawn[rows] < self.off[rows + 1]]
+            rows = rows[self.phi[self.drawn[rows]] + _MOST > self.best[rows]]
+            if not len(rows):
+                return
+            size = np.minimum(self.off[rows + 1] - self.drawn[rows], most)
+            at = _ragged(self.drawn[rows], size)
+            u = _uniform(np.repeat(self.seeds[self.text[rows]], size), 1000 + self.stream, self.unit[at], self.step[at])
+            self.open[at] = _gumbel_below(self.phi[at] + self.lat.rest[self.edge[at]], np.repeat(self.bound[rows], size), u)
+            self.best[rows] = np.maximum(self.best[rows], np.maximum.reduceat(self.open[at], np.cumsum(size) - size))
+            self.drawn[rows] += size
+
+    def place(self, rows: np.ndarray) -> np.ndarray:
+        """The first place of each row whose bound is the best."""
+        size = self.drawn[rows] - self.free[rows]
+        at, row = _ragged(self.free[rows], size), np.repeat(np.arange(len(rows)), size)
+        top = self.open[at] == self.best[rows][row]
+        _, first = np.unique(row[top], return_index=True)
+        return at[top][first]
+
+    def lower(self, rows: np.ndarray, place: np.ndarray, bound: np.ndarray) -> None:
+        self.open[place] = bound
+        size = self.drawn[rows] - self.free[rows]
+        self.best[rows] = np.maximum.reduceat(self.open[_ragged(self.free[rows], size)], np.cumsum(size) - size)
+
+
+def _alternatives(lat: Lattices, r: _Round, place: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """At each place an edge that none of the samples took, and the bound of those still left."""
+    node = lat.first.searchsorted(r.edge[place].astype(np.int32), "right") - 1
+    low = lat.first[node].astype(np.int64)
+    size = lat.first[node + 1] - low
+    at = np.cumsum(size) - size
+    taken = [r.gone.setdefault(p, [e]) for p, e in zip(place.tolist(), r.edge[place].tolist(), strict=True)]
+    many = np.array([len(x) for x in taken])
+    mass = np.exp(lat.logq[_ragged(low, size)].astype(np.float64))
+    mass[np.repeat(at - low, many) + np.array([e for x in taken for e in x])] = 0
+    run = np.cumsum(mass)
+    under = run[at] - mass[at]
+    row = np.repeat(np.arange(len(place)), size)
+    seed = np.repeat(r.seeds[r.text], np.diff(r.off))[place] if len(place) > len(r.text) // 8 else r.seeds[r.text[np.searchsorted(r.off, place, "right") - 1]]
+    u = _uniform(seed, 2000 + k, r.unit[place], r.step[place])
+    want = under + u * (run[at + size - 1] - under)
+    far = np.flatnonzero((run >= want[row]) & (mass > 0))
+    _, first = np.unique(row[far], return_index=True)
+    pick = far[first]
+    new = low + pick - at
+    for x, e in zip(taken, new.tolist(), strict=True):
+        x.append(e)
+    mass[pick] = 0
+    left = np.add.reduceat(mass, at)
+    u = _uniform(seed, 3000 + k, r.unit[place], r.step[place])
+    open_ = _gumbel_below(r.phi[place] + np.log(np.maximum(left, 1e-300)), bound, u)
+    return new, np.where(many + 1 < size, open_, -np.inf)
+
+
+def _sample(texts: list[str], keys: np.ndarray, lat: Lattices, samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Samples, text by text: number of their text, log-probability, log inclusion, pieces of all and each one's first."""
+    codes, start, end, unit_off = _units(texts)
+    wid = lat.numbers(codes, start, end)
+    n, every = len(wid), np.arange(len(texts))
+    text_of = np.repeat(every, np.diff(unit_off))
     unit_no = np.arange(n) - unit_off[text_of]
     row_seed = mix(keys.astype(np.int64).view(U) * U(0xA24BAED4963EE407) + U(seed))
-    useed = row_seed[text_of]
-    start = lat.start[wid]
+    base = row_seed[text_of] + unit_no.astype(U) * _BY_UNIT
+    node = lat.start[wid]
 
-    def assemble(us, ss, es, texts_now) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Edges of each text in order, from what was drawn in any order; (edges, unit, step)."""
+    def joined(text, units, first_step, walked, heads, stream, bound, free) -> _Round:
+        """A round of heads (edges, units, steps, sizes), each followed by what was walked of ``units`` units from there on."""
+        us, ss, es = walked
         count = np.bincount(us, minlength=n)
-        # steps of a unit are consecutive; its first is the least
-        low = np.full(n, 1 << 60)
-        np.minimum.at(low, us, ss) if len(us) < 1000 else low.__setitem__(us[::-1], ss[::-1])
-        off = np.concatenate(([0], np.cumsum(count)))
-        place = off[us] + ss - low[us]
-        e, u, s = np.empty(len(us), np.int64), np.empty(len(us), np.int64), np.empty(len(us), np.int64)
-        e[place], u[place], s[place] = es, unit_no[us], ss
-        return {t: (e[off[unit_off[t]] : off[unit_off[t + 1]]], u[off[unit_off[t]] : off[unit_off[t + 1]]], s[off[unit_off[t]] : off[unit_off[t + 1]]]) for t in texts_now}
-
-    every = range(len(texts))
-    drawn = assemble(*_walk(lat, start, np.zeros(n, np.int64), np.ones(n, bool), useed, unit_no, 0), every)
-    root = -np.log(-np.log(_uniform(row_seed, 999, np.zeros(len(texts)), np.zeros(len(texts)))))
-    paths = [[_Path(*drawn[t], root[t], 0, lat, row_seed[t], 0)] for t in every]
-    kappa = np.full(len(texts), -np.inf)
-    going = list(every)
+        run = np.concatenate(([0], np.cumsum(count)))
+        edge, unit, step, size = heads
+        done = unit_off[text + 1]
+        off = np.concatenate(([0], np.cumsum(size + run[done] - run[done - units])))
+        whole = np.empty((3, off[-1]), np.int64)
+        whole[:, _ragged(off[:-1], size)] = edge, unit, step
+        to = np.zeros(n, np.int64)
+        at = _ragged(done - units, units)
+        to[at] = np.repeat(off[:-1] + size - run[done - units], units) + run[at]
+        to[done - units] -= first_step
+        place = to[us] + ss
+        whole[0, place], whole[1, place], whole[2, place] = es, unit_no[us], ss
+        return _Round(lat, row_seed, stream, text, off, *whole, bound, free)
+
+    none = np.empty(0, np.int64)
+    zero = np.zeros(len(texts), np.int64)
+    root = -np.log(-np.log(_uniform(row_seed, 999, zero, zero)))
+    walked = _walk(lat, np.arange(n), node, np.zeros(n, np.int64), base, 0)
+    rounds = [joined(every, np.diff(unit_off), zero, walked, (none, none, none, zero), 0, root, zero)]
+    kappa, going = np.full(len(texts), -np.inf), every
     for k in range(1, samples + 1):
-        picks = []
-        for t in going:
-            top = (-np.inf, -1, None)
-            for p in paths[t]:
-                p.draw(lat, row_seed[t], top[0])
-                b, j = p.best()
-                if b > top[0]:
-                    top = (b, j, p)
-            kappa[t] = top[0]
-            if top[2] is not None and k < samples:
-                picks.append((t, *top))
-        going = [x[0] for x in picks]
-        if not picks:
+        best, source = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
+        for i, r in enumerate(rounds):
+            rows = np.flatnonzero(np.isin(r.text, going)) if len(going) < len(r.text) else np.arange(len(r.text))
+            r.draw(rows)
+            more = rows[r.best[rows] > best[r.text[rows]]]
+            best[r.text[more]], source[r.text[more]] = r.best[more], i
+        kappa[going] = best[going]
+        going = going[best[going] > -np.inf]
+        if k == samples or not len(going):
             break
-        node, step, live = start.copy(), np.zeros(n, np.int64), np.zeros(n, bool)
-        heads = {}
-        for t, b, j, p in picks:
-            # the alternative at place j of path p: a piece that none of its samples took
-            e = p.edges[j]
-            cur = int(np.searchsorted(lat.first, e, "right") - 1)
-            gone = p.gone.setdefault(j, [int(e)])
-            left = np.array([x for x in range(lat.first[cur], lat.first[cur + 1]) if x not in gone])
-            mass = np.exp(lat.logq[left])
-            u = _uniform(row_seed[t : t + 1], 2000 + k, p.unit[j : j + 1], p.step[j : j + 1])[0]
-            e2 = int(left[min(np.searchsorted(np.cumsum(mass), u * mass.sum(), "right"), len(left) - 1)])
-            gone.append(e2)
-            rest = left[left != e2]
-            u = _uniform(row_seed[t : t + 1], 3000 + k, p.unit[j : j + 1], p.step[j : j + 1])
-            p.open[j - p.free] = _gumbel_below(np.array([p.phi[j] + np.log(max(np.exp(lat.logq[rest]).sum(), 1e-300))]), b, u)[0] if len(rest) else -np.inf
-            g = unit_off[t] + p.unit[j]
-            node[g], step[g] = lat.next[e2], p.step[j] + 1
-            live[g : unit_off[t + 1]] = True
-            heads[t] = (np.append(p.edges[:j], e2), p.unit[: j + 1], p.step[: j + 1], b, j)
-        drawn = assemble(*_walk(lat, node, step, live, useed, unit_no, k), going)
-        for t in going:
-            e, u, s, b, j = heads[t]
-            x = drawn[t]
-            paths[t].append(_Path(np.concatenate((e, x[0])), np.concatenate((u, x[1])), np.concatenate((s, x[2])), b, k, lat, row_seed[t], j + 1))
-    out = []
-    for t in every:
-        rows = []
-        for p in paths[t]:
-            phi = float(p.phi[-1])
-            d = phi - kappa[t]
-            score = 0.0 if d > 700 else d if d < -30 else float(np.log(-np.expm1(-np.exp(d))))
-            rows.append((lat.piece[p.edges].astype(np.int64), phi, score))
-        out.append(rows)
+        at, cur, steps, head = going * 0, going * 0, going * 0, going * 0
+        parts: list = [None] * len(rounds)
+        taken = going * 0
+        for i, r in enumerate(rounds):
+            mine = np.flatnonzero(source[going] == i)
+            if not len(mine):
+                continue
+            rows = np.searchsorted(r.text, going[mine])
+            place = r.place(rows)
+            new, open_ = _alternatives(lat, r, place, best[going[mine]], k)
+            r.lower(rows, place, open_)
+            at[mine], cur[mine], steps[mine], head[mine], taken[mine] = unit_off[going[mine]] + r.unit[place], lat.next[new], r.step[place] + 1, place - r.off[rows] + 1, new
+            parts[i] = (r, mine, r.off[rows])
+        off = np.concatenate(([0], np.cumsum(head)))
+        heads = np.empty((3, off[-1]), np.int64)
+        for part in parts:
+            if part:
+                r, mine, low = part
+                src, dst = _ragged(low, head[mine]), _ragged(off[:-1][mine], head[mine])
+                heads[:, dst] = r.edge[src], r.unit[src], r.step[src]
+        heads[0, off[1:] - 1] = taken
+        units = unit_off[going + 1] - at
+        live = _ragged(at, units)
+        begin, step = node[live], np.zeros(len(live), np.int64)
+        here = np.cumsum(units) - units
+        begin[here], step[here] = cur, steps
+        walked = _walk(lat, live, begin, step, base, k)
+        rounds.append(joined(going, units, steps, walked, (*heads, head), k, best[going], head))
+    text = np.concatenate([r.text for r in rounds])
+    order = np.argsort(text, kind="stable")
+    size = np.concatenate([np.diff(r.off) for r in rounds])
+    off = np.concatenate(([0], np.cumsum(size[order])))
+    place = np.empty(len(text), np.int64)
+    place[order] = off[:-1]
+    pieces = np.empty(off[-1], np.int64)
+    pieces[_ragged(place, size)] = lat.piece[np.concatenate([r.edge for r in rounds])]
+    phi = np.concatenate([r.total for r in rounds])
+    d = phi - kappa[text]
+    with np.errstate(over="ignore", divide="ignore"):
+        score = np.where(d > 700, 0.0, np.where(d < -30, d, np.log(-np.expm1(-np.exp(np.clip(d, -30, 700))))))
+    return text[order], phi[order], score[order], pieces, off
+
+
+def sample_texts(texts: list[str], keys: np.ndarray, lat: Lattices, samples: int, seed: int) -> list[list[tuple[np.ndarray, float, float]]]:
+    """For each text up to ``samples`` (pieces, log-probability, log inclusion), largest bound first."""
+    text, phi, score, pieces, off = _sample(texts, keys, lat, samples, seed)
+    out: list[list] = [[] for _ in texts]
+    for i, t in enumerate(text.tolist()):
+        out[t].append((pieces[off[i] : off[i + 1]], float(phi[i]), float(score[i])))
     return out
 
 
@@ -439,30 +592,28 @@ def _encode(samples: int, path: str, theta: float, seed: int, cache_units: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattices(path, theta, cache_units)
         for batch in batches:
-            for part in slices(batch, "t", 1 << 17):
+            for part in slices(batch, "t", 1 << 19):
                 texts = part.column(1).to_pylist()
-                have = [i for i, t in enumerate(texts) if t is not None]
-                keys = np.array([x if x is not None else -1 for x in part.column(0).to_pylist()], np.int64)[have]
-                got = sample_texts([texts[i] for i in have], keys, lat, samples, seed)
+                have = [t for t in texts if t is not None]
+                null = np.array([t is None for t in texts], bool)
+                keys = part.column(0).fill_null(-1).to_numpy()[~null]
                 each = np.zeros(len(texts), np.int64)
-                each[have] = [len(g) for g in got]
-                flat = [s for g in got for s in g]
-                pieces = np.concatenate([s[0] for s in flat]) if flat else np.empty(0, np.int64)
-                lens = np.array([len(s[0]) for s in flat], np.int64)
+                if have:
+                    text, phi, score, pieces, lens = _sample(have, keys, lat, samples, seed)
+                    each[~null] = np.bincount(text, minlength=len(have))
+                else:
+                    text, phi, score, pieces, lens = np.empty(0, np.int64), np.empty(0), np.empty(0), np.empty(0, np.int64), np.zeros(1, np.int64)
                 ids, wide = lat.out_ids(pieces)
-                run_w = np.concatenate(([0], np.cumsum(wide)))
-                off = run_w[np.concatenate(([0], np.cumsum(lens)))]
+                off = np.concatenate(([0], np.cumsum(wide)))[lens]
                 back, at = lat.decode(ids, off)
-                raw = back.tobytes()
-                src = [texts[i].encode() for i, g in zip(have, got, strict=True) for _ in g]
-                same = [raw[a:b] == x for a, b, x in zip(at[:-1], at[1:], src, strict=True)]
+                raw, src = back.tobytes(), [t.encode() for t in have]
+                same = [raw[a:b] == src[t] for a, b, t in zip(at[:-1].tolist(), at[1:].tolist(), text.tolist(), strict=True)]
                 structs = pa.StructArray.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32))), pa.array([s[1] for s in flat], pa.float64()), pa.array([s[2] for s in flat], pa.float64()), pa.array(same, pa.bool_())],
+                    [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32))), pa.array(phi), pa.array(score), pa.array(same, pa.bool_())],
                     ["ids", "log_prob", "log_inclusion", "round_trip"],
                 )
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32)), structs, mask=pa.array([t is None for t in texts]))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32)), structs, mask=pa.array(null))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "samples"])
-            release()
         if cache_units <= CACHE_UNITS:
             lat.clear()
         release()
