@@ -55,6 +55,34 @@ def forget(spark: SparkSession, *frames: DataFrame) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
+def named_vertices(sets: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
+    """``sets`` (d, *keys, ...), a row per distinct ``keys``, with a name ``u`` of its own for each row; and whether any isn't ``d``.
+
+    A row is named by its id ``d``.  Where several rows have one id, the first by ``keys`` has that name
+    and the others one by hash, tried until no two are equal.  No column of ``keys`` may be null.
+    """
+    key = F.struct(*keys)
+    shared = sets.groupBy("d").agg(F.min(key).alias("first_"), F.count("*").alias("many_")).where("many_ > 1").drop("many_")
+    shared = staged(shared, "shared")
+    if shared.isEmpty():
+        return sets.withColumn("u", F.col("d")), False
+    marked = sets.join(shared, "d", "left")
+    salt = 0
+    while True:
+        own = F.when(F.coalesce(key != F.col("first_"), F.lit(False)), F.xxhash64(F.lit(salt), "d", *keys)).otherwise(F.col("d"))
+        named = staged(marked.select(*sets.columns, own.alias("u")), "named")
+        if named.count() == named.select("u").distinct().count():
+            return named, True
+        forget(sets.sparkSession, named)
+        salt += 1
+
+
+def least_names(comp: DataFrame, named: DataFrame) -> DataFrame:
+    """``comp`` (node, component), components renamed by the smallest ``d`` of their vertices in ``named`` (u, d)."""
+    least = comp.join(named.select(F.col("u").alias("node"), "d"), "node").groupBy("component").agg(F.min("d").alias("least"))
+    return comp.join(least, "component").select("node", F.col("least").alias("component"))
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_LOWER)
 

@@ -1,7 +1,8 @@
 """N-gram Jaccard join by vertical partitioning.
 
-A document's set holds the 64-bit hashes of its distinct word n-grams.  Equal sets become one
-vertex.  All n-grams have one global order: frequent ones last, the others by hash.  A pair above
+A document's set holds the 64-bit hashes of its distinct word n-grams.  Each distinct set is one
+vertex, named by the smallest id that has it; an id that is the smallest of several sets names one
+of them, and the others get names by hash that are no id of another vertex.  All n-grams have one global order: frequent ones last, the others by hash.  A pair above
 the threshold shares an n-gram among the first ``n - ceil(t * n) + 1`` of either set, so these
 prefixes give the candidates.  The order is cut into fragments by ranges of the hash; for every
 candidate pair the overlap is counted in each fragment by itself and summed per pair, and the sum
@@ -18,7 +19,8 @@ reach of its pivot become a cluster: groups of near copies.  A cluster's medoid,
 to the majority of its members' n-grams, is compared with them; that links what is close to a
 common origin.  The members that are still in different components are compared in blocks of
 bitmaps, in which no pair is a row unless it may link.  What is left are pairs of one list that
-aren't of one cluster or component; all of them are compared, so no link is lost.
+aren't of one cluster or component; all of them are compared, those of long lists in blocks too, so
+no link is lost.  A cluster of many members is dealt over several tasks wherever it is joined.
 
 Comparing begins with a bitmap of each set (512 bytes) that bounds the difference of two sets from
 below; whole sets are made and shuffled only for pairs that link or nearly do.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import forget, split_hint, staged, table
+from quiremill.llm.common import forget, least_names, named_vertices, split_hint, staged, table
 from quiremill.llm.components import components
 from quiremill.llm.texthash import U, column_bytes, mix, release, shingles, slices, words
 
@@ -43,6 +45,9 @@ SHORT = 8
 #: Vertices within so many times the largest linking difference of a pivot are its cluster.
 REACH = 6
 BLOCK = 256
+#: Rows of one cluster that go to one task; lists of more vertices than ``LONG`` are compared in blocks.
+PART = 1024
+LONG = 32
 FRAGMENT_BITS = 3
 BITMAP_WORDS = 64
 #: A set of ids is broadcast only if it was counted and has at most so many (24 MB); else it is joined by shuffle.
@@ -161,7 +166,7 @@ def _late_prefixes(k: int, percent: int, shared, wide: bool = False):
 
 
 def _of_vertices(k: int, emit):
-    """Over (t, u, s1, s2): ``emit(u, n, keys)`` of the texts that stand for a vertex; other texts of its id are skipped."""
+    """Over (t, u, s1, s2): ``emit(u, n, keys)`` of the texts that have the vertex's set; other texts of its id are skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,8 +245,13 @@ def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _sum(parts):
+    """A cluster's partial counts as one row."""
+    return parts[["cl"]].head(1).assign(counts=[np.sum(np.stack(parts["counts"].to_numpy()), axis=0)])
+
+
 def _centre(parts):
-    """From a cluster's partial counts, one row per task at most: the bits that most members have."""
+    """From sums of a cluster's counts, 64 at most: the bits that most members have."""
     x = np.sum(np.stack(parts["counts"].to_numpy()), axis=0)
     bits = np.packbits((2 * x[:-1] > x[-1]).astype(np.uint8), bitorder="little").view(np.int64)
     return parts[["cl"]].head(1).assign(centre=[bits])
@@ -252,11 +262,12 @@ def _bits_of(col: pa.Array) -> np.ndarray:
 
 
 def _block_pairs(percent: int):
-    """Over (g, u, n, c, bits, side, diag), sorted by g: pairs of different components that may link."""
+    """Over (g, u, n, c, cl, bits, side), sorted by g: pairs that may link, of different components and not of one cluster ``cl``, if that isn't null."""
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
         g, u, n, c, side = (t.column(k).to_numpy() for k in ("g", "u", "n", "c", "side"))
+        loose, cl = t.column("cl").is_null().to_numpy(), t.column("cl").fill_null(0).to_numpy()
         bits = _bits_of(pa.concat_arrays(t.column("bits").chunks)).view(np.uint64)
         start = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
         for lo, hi in zip(start, np.append(start[1:], len(g)), strict=True):
@@ -264,7 +275,7 @@ def _block_pairs(percent: int):
             x = np.arange(lo, hi) if side[lo:hi].min() == side[lo:hi].max() else np.flatnonzero(side[lo:hi] == 0) + lo
             y = x if len(x) == hi - lo else np.flatnonzero(side[lo:hi] == 1) + lo
             for i in x.tolist():
-                other = y[(c[y] != c[i]) & ((u[y] > u[i]) if y is x else True)]
+                other = y[(c[y] != c[i]) & (loose[y] | loose[i] | (cl[y] != cl[i])) & ((u[y] > u[i]) if y is x else True)]
                 most = (100 - percent) * (n[other] + n[i])
                 other = other[np.abs(n[other] - n[i]) * (100 + percent) <= most]
                 if not len(other):
@@ -312,19 +323,32 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     Words are runs of characters that aren't ASCII white space, A-Z lower-cased.  A text of fewer
     than ``k`` words has its whole sequence as its only shingle; a null text or one without words
     has none, links with nothing and is its own component.  A null id is in no component.  Repeated
-    rows get equal results; an id with several texts links by each of those that stand for a
-    vertex.  Components are named by their smallest id.  Ids are integers; further columns don't matter.
+    rows get equal results; an id with several texts has a row for each, which links by its own text
+    only: rows of one id can be in different components.  Components are named by their smallest id.
+    Ids are integers of any sign; further columns don't matter.
     """
     spark = docs.sparkSession
     src = split_hint(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")))
     seen = staged(src.mapInArrow(_describe(k, percent), "d long, n long, s1 long, s2 long, probe array<long>"), "sets")
-    groups = seen.where("n > 0 and d is not null").groupBy("s1", "s2", "n").agg(F.min("d").alias("u"))
-    # an id with several texts stands for one of them
-    reps = groups.groupBy("u").agg(F.min(F.struct("s1", "s2", "n")).alias("s")).select("u", "s.s1", "s.s2", "s.n")
-    reps = staged(reps, "vertices")
-    extra = seen.where("n > 0 and d is not null").select("d", "s1", "s2").join(reps.select(F.col("u").alias("d"), "s1", "s2"), ["d", "s1", "s2"], "left_anti").select("d", "s1", "s2")
-    extra = _few(staged(extra.distinct(), "copies"))
-    single = seen.where("n > 0 and d is not null").join(extra, ["d", "s1", "s2"], "left_anti")
+    valid = seen.where("n > 0 and d is not null")
+    sets = staged(valid.groupBy("s1", "s2", "n").agg(F.min("d").alias("d")), "vertices")
+    reps, shared = named_vertices(sets, ["s1", "s2", "n"])
+    renamed = reps.where("u <> d").select("d", "s1", "s2", F.col("u").alias("name"))
+    extra = valid.select("d", "s1", "s2").join(reps.select("d", "s1", "s2"), ["d", "s1", "s2"], "left_anti")
+    extra = staged(extra.distinct(), "copies")
+    repeated = valid.count() > reps.count() + extra.count()
+    extra = _few(extra)
+
+    def of_vertices(rows: DataFrame) -> DataFrame:
+        """Of rows (d, s1, s2, ...) one for each vertex, with its name ``u``."""
+        rows = rows.join(extra, ["d", "s1", "s2"], "left_anti").where("d is not null")
+        if repeated:
+            rows = rows.dropDuplicates(["d", "s1", "s2"])
+        if not shared:
+            return rows.withColumn("u", F.col("d"))
+        return rows.join(renamed, ["d", "s1", "s2"], "left").withColumn("u", F.coalesce("name", "d"))
+
+    single = of_vertices(valid)
 
     def most_frequent(toks: DataFrame) -> np.ndarray:
         df = toks.groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= FREQUENT)
@@ -333,12 +357,12 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
 
     near_hand = most_frequent(single.select(F.explode("probe").alias("tok")))
     more = src.mapInArrow(_late_prefixes(k, percent, spark.sparkContext.broadcast(near_hand), wide=True), "d long, n long, s1 long, s2 long, prefix array<long>")
-    more = more.join(extra, ["d", "s1", "s2"], "left_anti").where("d is not null")
+    more = of_vertices(more)
     frequent = spark.sparkContext.broadcast(np.union1d(near_hand, most_frequent(more.select(F.explode("prefix").alias("tok")))))
 
-    usual = single.select(F.col("d").alias("u"), "n", "probe").mapInArrow(_prefixes(percent, frequent), "u long, n long, prefix array<long>")
+    usual = single.select("u", "n", "probe").mapInArrow(_prefixes(percent, frequent), "u long, n long, prefix array<long>")
     late = src.mapInArrow(_late_prefixes(k, percent, frequent), "d long, n long, s1 long, s2 long, prefix array<long>")
-    late = late.join(extra, ["d", "s1", "s2"], "left_anti").where("d is not null").select(F.col("d").alias("u"), "n", "prefix")
+    late = of_vertices(late).select("u", "n", "prefix")
     posts = staged(usual.union(late).select("u", F.explode("prefix").alias("tok")), "prefixes")
     many = posts.groupBy("tok").agg(F.count("*").alias("len")).where("len > 1")
     sizes = reps.select("u", "n")
@@ -346,8 +370,8 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     forget(spark, posts)
 
     def vertex_texts(ids: DataFrame) -> DataFrame:
-        need = _few(staged(ids.distinct().join(reps.select("u", "s1", "s2"), "u"), "need"))
-        return src.join(need, src.d == need.u).select("t", "u", "s1", "s2")
+        need = _few(staged(ids.distinct().join(reps.select("u", F.col("d").alias("of"), "s1", "s2"), "u"), "need"))
+        return src.join(need, src.d == need.of).select("t", "u", "s1", "s2")
 
     bitmaps = staged(vertex_texts(lists.select("u")).mapInArrow(_of_vertices(k, _bitmaps), "u long, bits array<long>").dropDuplicates(["u"]), "bitmaps")
 
@@ -372,43 +396,67 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     for _ in range(2):
         cluster = staged(cluster, "reach")
         cluster = cluster.join(cluster.select(F.col("u").alias("cl"), F.col("cl").alias("to")), "cl", "left").select("u", F.coalesce("to", "cl").alias("cl"))
-    cluster = staged(cluster.join(sizes, "u").join(bitmaps, "u").select("cl", "u", "n", "bits"), "clusters")
+    # of a large cluster's rows some PART stand together; its own row goes to each of these parts
+    cluster = staged(cluster, "reach")
+    large = cluster.groupBy("cl").agg(F.count("*").alias("size")).where(F.col("size") > PART).select("cl", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
+    large = _few(staged(large, "large"))
+    parts = F.coalesce("parts", F.lit(1))
+
+    def everywhere(rows: DataFrame) -> DataFrame:
+        return rows.join(large, "cl", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+
+    cluster = cluster.join(sizes, "u").join(bitmaps, "u").join(large, "cl", "left")
+    cluster = staged(cluster.select("cl", F.pmod(F.xxhash64("u"), parts).cast("int").alias("part"), "u", "n", "bits"), "clusters")
     counts = cluster.select("cl", "bits").mapInArrow(_majority, "cl long, counts array<int>")
+    counts = counts.groupBy("cl", F.pmod(F.spark_partition_id(), F.lit(64))).applyInPandas(_sum, "cl long, counts array<int>")
     centre = counts.groupBy("cl").applyInPandas(_centre, "cl long, centre array<long>")
     apart = F.aggregate(F.zip_with("bits", "centre", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    medoid = cluster.join(centre, "cl").groupBy("cl").agg(F.min(F.struct(apart.alias("apart"), "u", "n")).alias("m"))
-    star = cluster.select("cl", "u", "n").join(medoid.select("cl", F.col("m.u").alias("mu"), F.col("m.n").alias("mn")), "cl").where("u <> mu").where(_sizes_fit(percent, "n", "mn"))
+    medoid = cluster.join(everywhere(centre), ["cl", "part"]).groupBy("cl").agg(F.min(F.struct(apart.alias("apart"), "u", "n")).alias("m"))
+    medoid = everywhere(medoid.select("cl", F.col("m.u").alias("mu"), F.col("m.n").alias("mn")))
+    star = cluster.select("cl", "part", "u", "n").join(medoid, ["cl", "part"]).where("u <> mu").where(_sizes_fit(percent, "n", "mn"))
     first = F.col("u") < F.col("mu")
     star = star.select(F.least("u", "mu").alias("a"), F.greatest("u", "mu").alias("b"), F.when(first, F.col("n")).otherwise(F.col("mn")).alias("na"), F.when(first, F.col("mn")).otherwise(F.col("n")).alias("nb"))
     links = staged(links.union(links_of(_differ(star, bitmaps).where(_may_link(percent)))), "links")
     comp = components(links, "a", "b")
 
-    # within clusters, what is in different components, in blocks
+    def in_blocks(rows: DataFrame, *group: str) -> DataFrame:
+        """Pairs that may link, within groups of rows (size, u, n, c, cl, bits): each pair of blocks is compared in one task."""
+        dealt = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("x", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        g = F.xxhash64(*group, F.least("x", "y"), F.greatest("x", "y"))
+        dealt = dealt.select(g.alias("g"), "u", "n", "c", "cl", "bits", (F.col("x") > F.col("y")).cast("int").alias("side"))
+        tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return split_hint(dealt.repartition(tasks, "g").sortWithinPartitions("g")).mapInArrow(_block_pairs(percent), "a long, b long, na long, nb long")
+
+    # within clusters, what is in different components
     named = cluster.join(comp.withColumnRenamed("node", "u"), "u", "left").withColumn("c", F.coalesce("component", "u"))
     parted = named.groupBy("cl").agg(F.count("*").alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    dealt = named.join(parted.select("cl", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "cl").withColumn("x", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    g = F.xxhash64("cl", F.least("x", "y"), F.greatest("x", "y"))
-    dealt = dealt.select(g.alias("g"), "u", "n", "c", "bits", (F.col("x") > F.col("y")).cast("int").alias("side"))
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = split_hint(dealt.repartition(tasks, "g").sortWithinPartitions("g")).mapInArrow(_block_pairs(percent), "a long, b long, na long, nb long")
+    named = named.join(everywhere(parted.select("cl", "size")), ["cl", "part"])
+    found = in_blocks(named.select("size", "u", "n", "c", F.lit(None).cast("long").alias("cl"), "bits", F.col("cl").alias("of")), "of")
     links = staged(links.union(links_of(found)), "links")
     comp = components(links, "a", "b")
 
     # pairs of a list that aren't of one cluster or component
     own = lists.join(comp.withColumnRenamed("node", "u"), "u", "left").join(cluster.select("u", "cl"), "u", "left")
-    own = own.select("tok", "u", "n", F.coalesce("component", "u").alias("c"), F.coalesce("cl", -F.col("u") - 1).alias("cl"))
-    mixed = own.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("cl").alias("lo2"), F.max("cl").alias("hi2")).where("lo <> hi and lo2 <> hi2")
+    own = own.select("tok", "u", "n", "len", F.coalesce("component", "u").alias("c"), "cl")
+    mixed = own.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("cl").alias("lo2"), F.max("cl").alias("hi2"), F.bool_or(F.col("cl").isNull()).alias("loose")).where("lo <> hi and (loose or lo2 <> hi2)")
     rest = staged(own.join(mixed.select("tok"), "tok"), "mixed")
-    x = rest.select("tok", F.col("u").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("cl").alias("cla"))
-    y = rest.select("tok", F.col("u").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("cl").alias("clb"))
-    left = x.join(y, "tok").where("a < b and ca <> cb and cla <> clb").where(_sizes_fit(percent, "na", "nb")).select("a", "b", "na", "nb").distinct()
-    more = links_of(_differ(left, bitmaps).where(_may_link(percent)))
+    x = rest.where(F.col("len") <= LONG).select("tok", F.col("u").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("cl").alias("cla"))
+    y = x.select("tok", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("ca").alias("cb"), F.col("cla").alias("clb"))
+    left = x.join(y, "tok").where("a < b and ca <> cb and coalesce(cla <> clb, true)").where(_sizes_fit(percent, "na", "nb")).select("a", "b", "na", "nb").distinct()
+    left = _differ(left, bitmaps).where(_may_link(percent)).select("a", "b", "na", "nb")
+    long = rest.where(F.col("len") > LONG)
+    if not long.isEmpty():
+        long = long.join(bitmaps, "u").select(F.col("len").alias("size"), "u", "n", "c", "cl", "bits", "tok")
+        left = left.union(in_blocks(long, "tok"))
+    more = links_of(left)
     if not more.isEmpty():
         comp = components(links.union(more), "a", "b")
-    vertex = seen.select("d", "n", "s1", "s2").join(reps.select("s1", "s2", "n", "u"), ["s1", "s2", "n"], "left")
+    if shared:
+        comp = least_names(comp, reps)
+    vertex = seen.select("d", "n", "s1", "s2").join(reps.select("s1", "s2", "n", "u", F.col("d").alias("own")), ["s1", "s2", "n"], "left")
     out = vertex.join(comp.withColumnRenamed("node", "u"), "u", "left")
-    comp_id = F.when(F.col("d").isNotNull(), F.coalesce("component", "u", "d"))
+    comp_id = F.when(F.col("d").isNotNull(), F.coalesce("component", "own", "d"))
     return out.select(F.col("d").alias(id_col), F.col("n").alias("n_shingles"), comp_id.alias("component_id"))
 
 
