@@ -150,13 +150,47 @@ def test_embedding_brute_force(spark):
 
 def test_code_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(0)
-    x = rng.standard_normal((300, 64))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    errors, bounds = [], []
+    x = embedding_dedup.unit(rng.standard_normal((300, 64)))
+    off = ~np.eye(300, dtype=bool)
+    errors = []
     for seed in range(20):
-        r = embedding_dedup.rotations(64, 1, seed)[0]
-        est, bound = embedding_dedup._estimate(x @ r.T, x @ r.T, 64, 4.0, lambda p, q: p @ q.T)
-        errors.append((est - x @ x.T)[~np.eye(300, dtype=bool)])
-        bounds.append(np.broadcast_to(bound, (300, 300))[~np.eye(300, dtype=bool)])
+        codes = embedding_dedup.Codes(64, 40, 20, seed)
+        a, b, _, _ = codes.decode(*codes.encode(x))
+        errors.append((a @ b.T - x @ x.T)[off])
     assert abs(np.mean(errors)) < 1e-3
-    assert (np.abs(errors) <= bounds).mean() > 0.9999
+    # pairs at the threshold are below it by more than the slack as rarely as eps = 3 says
+    y = embedding_dedup.unit(0.98 * x + np.sqrt(1 - 0.98**2) * embedding_dedup.unit(rng.standard_normal((300, 64)) * [1.0] * 64))
+    short, pairs = 0, 0
+    for seed in range(20):
+        codes = embedding_dedup.Codes(64, 40, 20, seed)
+        a, _, ea, _ = codes.decode(*codes.encode(x))
+        _, b, _, eb = codes.decode(*codes.encode(y))
+        cos = np.einsum("ij,ij->i", x, y)
+        at = cos >= 0.98
+        short += int((np.einsum("ij,ij->i", a, b)[at] + codes.slack(ea, eb, 0.98, 3.0)[at] < 0.98).sum())
+        pairs += int(at.sum())
+    assert pairs > 1000 and short / pairs < 2 * np.exp(-4.5)
+
+
+def test_bounds_decide_what_is_computed_again():
+    """Of all pairs of one group, few are open; all that link are."""
+    rng = np.random.default_rng(5)
+    x = embedding_dedup.unit(rng.standard_normal((400, 64)))
+    x[200:] = embedding_dedup.unit(x[:200] + rng.uniform(0, 0.08, (200, 1)) * rng.standard_normal((200, 64)))
+    codes = embedding_dedup.Codes(64, 40, 20, 20)
+    got = embedding_dedup._Decoded(codes, *codes.encode(x), np.zeros(400, np.int64), np.zeros(400, np.int32), np.zeros(400, bool), 0.98, 6.0)
+    (_, open_), = got.large()
+    exact = x @ x.T >= 0.98
+    np.fill_diagonal(exact, False)
+    assert exact.sum() > 50 and (open_ | ~exact).all()
+    assert open_.sum() < 2 * 200 + 10
+    assert (embedding_dedup.linked(x, open_, 0.98) == exact).all()
+    assert (embedding_dedup.linked(x, np.ones_like(open_) & ~np.eye(400, dtype=bool), 0.98) == exact).all()
+
+
+def test_embedding_lengths_sizes_and_shared_ids(spark):
+    big, small = [1e200, 1e199, 0.0], [1e-200, 1e-201, 0.0]
+    rows = [(1, big), (2, small), (3, [1.0, 0.1, 0.0]), (4, [1.0, 0.1]), (5, [10.0, 1.0]), (6, [0.0, 0.0, 1.0]), (6, [0.0, 1.0, 0.0]), (7, [0.0, 2.0, 0.0]), (-9, [0.0, 0.0, 3.0]), (8, [2.0]), (10, [3.0]), (11, [])]
+    got = linked(spark, [(i, v, 1, 0, "x") for i, v in rows], None)
+    want = {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (2, -9), 7: (1, -9), -9: (1, -9), 8: (1, 8), 10: (1, 8), 11: (0, 11)}
+    assert got == sorted([(i, n, c, i == c) for i, (n, c) in want.items()], key=str)
