@@ -9,6 +9,7 @@ from __future__ import annotations
 import difflib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,51 +138,90 @@ def _noise(w: str) -> bool:
     return not w or bool(_REPEAT.search(w)) or ".." in w or not any(c.isalpha() for c in w) or bool(mixed)
 
 
+_RULE = re.compile(r"[.\-_+=,;:~*^]+")
+_LEADER = re.compile(r"([^.\s]+?)\.{2,}(.*)")
+_FOLIO = re.compile(r"(?i)[0-9ivxlcdm]+")
+#: A token less similar than this to every word of the page is nothing of the page.
+_ALIEN = 0.6
+
+
+class _Words:
+    """The words of a page's better text, and how tokens compare with them."""
+
+    def __init__(self, text: str, least: float):
+        self.words, self.least = text.split(), least
+        self.lower = [w.lower() for w in self.words]
+
+    @staticmethod
+    def likeness(a: str, b: str) -> float:
+        return difflib.SequenceMatcher(None, a.lower(), b.lower()).ratio()
+
+    def nearest(self, token: str) -> tuple[float, str]:
+        """The largest likeness to a word, and the first word that has it."""
+        ratios = [self.likeness(token, w) for w in self.lower]
+        top = max(ratios, default=0.0)
+        return top, self.words[ratios.index(top)] if ratios else ""
+
+    def strays(self, tokens: list[str]) -> dict[str, str]:
+        """Deletions of the tokens that are nothing of the page."""
+        return {t: "" for t in tokens if self.nearest(t)[0] < _ALIEN}
+
+    def by_itself(self, token: str) -> dict[str, str]:
+        """What a token shows without its neighbours: a dotted leader is its word and folio, noise is deleted."""
+        if leader := _LEADER.fullmatch(token):
+            ratio, word = self.nearest(leader[1])
+            parts = [word if ratio >= _ALIEN else "", leader[2] if _FOLIO.fullmatch(leader[2]) else ""]
+            return {token: " ".join(filter(None, parts))}
+        return self.strays([token]) if _noise(token) else {}
+
+    def one_for_one(self, old: list[str], new: list[str]) -> dict[str, str]:
+        """A word read wrongly; the token without its punctuation is corrected too."""
+        pairs = {(_EDGES.sub("", old[0]), _EDGES.sub("", new[0])), (old[0], new[0])}
+        a, b = _EDGES.sub("", old[0]), _EDGES.sub("", new[0])
+        if min(len(a), len(b)) <= 2:  # too short to be similar: only another case
+            return {old[0]: new[0]} if a != b and a.lower() == b.lower() else {}
+        alike = self.likeness(a, b) if a != b else self.likeness(old[0], new[0])
+        return {x: y for x, y in pairs if x != y} if alike >= self.least else {}
+
+    def more_for_fewer(self, old: list[str], new: list[str]) -> dict[str, str]:
+        """Extra tokens: each word takes the token most like it, and strays among the others go."""
+        table = np.array([[self.likeness(_EDGES.sub("", t), _EDGES.sub("", w)) for t in old] for w in new])
+        table[table < max(self.least, 1e-9)] = -1
+        out, left = {}, set(range(len(old)))
+        for ratios, w in zip(table, new, strict=True):
+            ratios[[i for i in range(len(old)) if i not in left]] = -1
+            if not _RULE.fullmatch(w) and ratios.max() > 0:
+                left.remove(int(ratios.argmax()))
+                out[old[int(ratios.argmax())]] = w
+        return out | self.strays([old[i] for i in sorted(left)])
+
+    def one_for_more(self, old: list[str], new: list[str]) -> dict[str, str]:
+        """Words run together."""
+        a, phrase = _EDGES.sub("", old[0]), " ".join(new)
+        return {a: phrase} if a.lower() == _EDGES.sub("", phrase).replace(" ", "").lower() else {}
+
+
 def align_tokens(tokens: list[str], text: str, least: float = 0.5) -> dict[str, str]:
     """Corrections of a page's OCR tokens by its better text; an empty string deletes a token.
 
-    Dotted leaders and noise are settled token by token, all else by an alignment of both
-    sequences: single words that are similar, extra tokens that resemble nothing, merged words.
+    Dotted leaders and noise are settled token by token.  The stretches in which both sequences
+    differ are settled by a rule for their shape; later rules replace earlier corrections.
     """
-    words = text.split()
-    low = [w.lower() for w in words]
-    sim = lambda a, b: difflib.SequenceMatcher(None, a.lower(), b.lower()).ratio()
-    unlike = lambda t: max((difflib.SequenceMatcher(None, t.lower(), w).ratio() for w in low), default=0.0) < 0.6
-    bare = lambda t: _EDGES.sub("", t)
+    page = _Words(text, least)
     out: dict[str, str] = {}
     for t in tokens:
-        if m := re.fullmatch(r"([^.\s]+?)\.{2,}(.*)", t):
-            best = max(((sim(m[1], w), -i) for i, w in enumerate(words)), default=(0.0, 0))
-            word = words[-best[1]] if best[0] >= 0.6 else ""
-            number = m[2] if re.fullmatch(r"(?i)[0-9ivxlcdm]+", m[2]) else ""
-            out[t] = f"{word} {number}".strip()
-        elif _noise(t) and unlike(t):
-            out[t] = ""
-    for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, [t.lower() for t in tokens], low).get_opcodes():
-        old, new = tokens[i1:i2], words[j1:j2]
-        if tag == "delete":
-            out.update((t, "") for t in old if unlike(t))
-        elif tag == "replace" and len(old) == len(new) == 1:
-            (t,), (w,) = old, new
-            a, b = bare(t), bare(w)
-            if min(len(a), len(b)) <= 2:
-                if a.lower() == b.lower() and a != b:
-                    out[t] = w
-            elif a != b and sim(a, b) >= least:
-                out[a], out[t] = b, w
-            elif a == b and t != w and sim(t, w) >= least:
-                out[t] = w
-        elif tag == "replace" and len(old) > len(new):
-            free = dict(enumerate(old))
-            for w in new:
-                if re.fullmatch(r"[.\-_+=,;:~*^]+", w):
-                    continue
-                s, i = max(((sim(bare(t), bare(w)), -i) for i, t in free.items()), default=(0.0, 0))
-                if free and s >= least and s > 0:
-                    out[free.pop(-i)] = w
-            out.update((t, "") for t in free.values() if unlike(t))
-        elif tag == "replace" and len(old) == 1 and bare(old[0]).lower() == bare(" ".join(new)).replace(" ", "").lower():
-            out[bare(old[0])] = " ".join(new)
+        out |= page.by_itself(t)
+    for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, [t.lower() for t in tokens], page.lower).get_opcodes():
+        old, new = tokens[i1:i2], page.words[j1:j2]
+        match tag, len(old), len(new):
+            case "delete", _, _:
+                out |= page.strays(old)
+            case "replace", 1, 1:
+                out |= page.one_for_one(old, new)
+            case "replace", n, m if n > m:
+                out |= page.more_for_fewer(old, new)
+            case "replace", 1, _:
+                out |= page.one_for_more(old, new)
     return out
 
 
@@ -193,9 +233,11 @@ def token_corrections(tokens: pd.Series, text: pd.Series) -> pd.Series:
 def correct_words(words: DataFrame, corrections: DataFrame) -> DataFrame:
     """Words with corrections (scope id, index or replace; key; value): by id, else index, else text.
 
-    The first that changes the word counts; several values of a key: the one that sorts last.
+    The first that changes the word counts; of several values of a key the one of largest ``written``,
+    if there is such a column, else the one that sorts last.
     """
-    c = corrections.groupBy("scope", "key").agg(F.max("value").alias("value"))
+    last = F.max(F.struct("written", "value"))["value"] if "written" in corrections.columns else F.max("value")
+    c = corrections.groupBy("scope", "key").agg(last.alias("value"))
     out = words
     for scope, key in (("id", F.col("id")), ("index", F.col("idx").cast("string")), ("replace", F.col("text"))):
         side = c.where(F.col("scope") == scope).select(F.col("key").alias(f"_k_{scope}"), F.col("value").alias(f"_v_{scope}"))

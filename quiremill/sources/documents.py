@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -162,41 +164,61 @@ def vision_blocks(pages: DataFrame, sideheads: DataFrame | None = None) -> DataF
 _ITEM = re.compile(X.LIST_ITEM)
 
 
+_HEADING = re.compile(r"(#+)\s+(.+)")
+
+
+def _line_kind(line: str) -> str:
+    if line.startswith("#"):
+        return "heading"
+    if line.startswith("|") and line.endswith("|"):
+        return "row"
+    return "item" if _ITEM.match(line) else "text" if line else ""
+
+
+def _glued(a: str, b: str) -> str:
+    """Two lines of a paragraph as one; a hyphen between letters goes."""
+    return a[:-1] + b if a[-1:] == "-" and a[-2:-1].isalpha() and b[0].isalpha() else f"{a} {b}"
+
+
+def _block(kind: str, lines: list[str]) -> tuple[str, str]:
+    if kind == "heading":
+        m = _HEADING.fullmatch(lines[0])
+        return (f"h{len(m[1])}", m[2].strip()) if m else ("h1", lines[0].lstrip("#").strip())
+    return ("table_row" if kind == "row" else "p"), reduce(_glued, lines)
+
+
 def parse_markdown(text: str, sideheads: dict[str, str] | None = None) -> list[tuple[str, str]]:
     """(type, text) of the blocks of a Markdown page.
 
-    Headings, table rows and list items are single lines, other lines run on as a paragraph; one to
-    four lines whose letters and digits equal a side-head's key are that side-head.
+    Lines are classified one by one and blocks are islands of them: each run of text lines is a
+    paragraph, any other line a block.  One to four lines whose letters and digits equal a
+    side-head's key are that side-head, the fewest that do; one of four lines doesn't end a paragraph.
     """
     lines = [x.strip() for x in text.splitlines()]
-    known = sideheads or {}
-    key = lambda i, k: re.sub("[^a-zA-Z0-9]", "", " ".join(re.sub(r"^#+\s*", "", x) for x in lines[i : i + k])).lower()
-    row = lambda x: x.startswith("|") and x.endswith("|")
-    head_at = lambda i, most: next((k for k in range(1, most + 1) if i + k <= len(lines) and key(i, k) in known), 0) if known else 0
-    out: list[tuple[str, str]] = []
-    i = 0
-    while i < len(lines):
-        line = lines[i]
-        if not line:
-            i += 1
-        elif k := head_at(i, 4):
-            out.append(("sidehead", known[key(i, k)]))
-            i += k
-        elif line.startswith("#"):
-            m = re.fullmatch(r"(#+)\s+(.+)", line)
-            out.append((f"h{len(m[1])}", m[2].strip()) if m else ("h1", line.lstrip("#").strip()))
-            i += 1
-        elif row(line) or _ITEM.match(line):
-            out.append(("table_row" if row(line) else "p", line))
-            i += 1
-        else:
-            body = line
-            i += 1
-            while i < len(lines) and lines[i] and not (lines[i].startswith("#") or row(lines[i]) or _ITEM.match(lines[i]) or head_at(i, 3)):
-                glued = body.endswith("-") and body[-2:-1].isalpha() and lines[i][0].isalpha()
-                body = body[:-1] + lines[i] if glued else f"{body} {lines[i]}"
-                i += 1
-            out.append(("p", body))
+    letters = [re.sub("[^a-zA-Z0-9]", "", x).lower() for x in lines]
+    spans: dict[int, int] = {}  # first line of a possible side-head: its number of lines
+    if sideheads:
+        for size in (4, 3, 2, 1):
+            spans |= {i: size for i in range(len(lines) - size + 1) if lines[i] and "".join(letters[i : i + size]) in sideheads}
+    kinds = [_line_kind(x) for x in lines]
+    island: list[int] = []  # of each line the first line of its block
+    for i, kind in enumerate(kinds):
+        last = island[-1] if i else 0
+        if i and kinds[last] == "head":
+            if i < last + spans[last]:
+                island.append(last)
+                continue
+        runs_on = i > 0 and kind == "text" == kinds[i - 1] and kinds[last] == "text"
+        if i in spans and not (runs_on and spans[i] == 4):
+            kinds[i], runs_on = "head", False
+        island.append(last if runs_on else i)
+    out = []
+    for first, group in groupby(range(len(lines)), island.__getitem__):
+        rows = list(group)
+        if kinds[first] == "head":
+            out.append(("sidehead", sideheads["".join(letters[i] for i in rows)]))
+        elif kinds[first]:
+            out.append(_block(kinds[first], [lines[i] for i in rows]))
     return out
 
 
