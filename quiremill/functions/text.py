@@ -112,19 +112,23 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
+#: What goes from Markdown, in this order, and what stays of it.  Lines end at "\n" only.
+MARKDOWN = (
+    (r"(?s)\A---\n.*?\n---\n", ""),
+    (r"(?s)```.*?```", " "),
+    (r"`([^`]*)`", "$1"),
+    (r"(?dm)^#+\s*", ""),
+    (r"(?dm)^\|?[\s:|-]*-{3,}[\s:|-]*$", " "),
+    (r"\|", " "),
+    (r"!\[[^\]]*\]\([^)]*\)", " "),
+    (r"\[([^\]]*)\]\([^)]*\)", "$1"),
+    (r"\*+|__+", ""),
+)
+
+
 def clean_markdown(c: Column) -> Column:
     """Text of Markdown: no front matter, code, heading marks, pipes, emphasis or link targets."""
-    for pattern, to in (
-        (r"(?s)\A---\n.*?\n---\n", ""),
-        (r"(?s)```.*?```", " "),
-        (r"`([^`]*)`", "$1"),
-        (r"(?m)^#+\s*", ""),
-        (r"(?m)^\|?[\s:|-]*-{3,}[\s:|-]*$", " "),
-        (r"\|", " "),
-        (r"!\[[^\]]*\]\([^)]*\)", " "),
-        (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-        (r"\*+|__+", ""),
-    ):
+    for pattern, to in MARKDOWN:
         c = F.regexp_replace(c, pattern, to)
     return c
 

@@ -86,7 +86,7 @@ def _canon(spark, d):
 def canonical_align(spark, d):
     canon, keys = _canon(spark, d)
     page = (F.col("ord") / 5).cast("long")
-    blocks = canon.select("job", page.alias("page"), F.col("ord").alias("idx"), F.lit("h2").alias("type"), F.when(F.col("ord") % 4 == 3, "lost").otherwise(F.col("text")).alias("text"))
+    blocks = canon.select("job", page.alias("page"), F.col("ord").alias("idx"), F.lit("h2").alias("type"), F.when(F.col("ord") % 4 == 3, F.reverse("text")).otherwise(F.col("text")).alias("text"))
     a = A.align_canonical(S.entries(blocks), canon, keys)
     return A.coverage(a, canon)
 
@@ -95,7 +95,7 @@ def canonical_align(spark, d):
 def windowed_align(spark, d):
     canon, _ = _canon(spark, d)
     roots = canon.select("job", "ord", F.lit(1).alias("class"), F.col("ord").cast("long").alias("id"), F.lit("").alias("root"), F.lit("").alias("meaning"), F.split_part("text", F.lit(" "), F.lit(1)).alias("iast_root"), F.col("text").alias("iast_meaning"))
-    lines = canon.select("job", (F.col("ord") / 7).cast("long").alias("page"), F.col("ord").alias("idx"), F.lit(1).alias("class"), F.when(F.col("ord") % 3 == 0, "lost").otherwise(F.col("text")).alias("text"))
+    lines = canon.select("job", (F.col("ord") / 7).cast("long").alias("page"), F.col("ord").alias("idx"), F.lit(1).alias("class"), F.when(F.col("ord") % 3 == 0, F.reverse("text")).otherwise(F.col("text")).alias("text"))
     full = A.fill_unmatched(roots, A.align_windowed(lines, roots))
     return full.select("id", "page", "interpolated", F.round("match_confidence", 3).alias("match_confidence"))
 

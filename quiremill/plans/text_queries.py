@@ -159,12 +159,15 @@ def html_block_counts(spark, d):
     return D.html_blocks(table(spark, d, "pages"), "page_id", "html").groupBy("page_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
-@query(
-    "markdown_strip",
-    r"""SELECT conv_id, turn, md5(regexp_replace(regexp_replace(regexp_replace('# ' || role || chr(10) || '**' || text || '**', '(?m)^#+\s*', '', 'g'), '\|', ' ', 'g'), '\*+|__+', '', 'g')) AS h FROM conversations WHERE NOT regexp_matches(text, '[`\[\]]|---|^\s*#|\n\s*#')""",
-)
+def _markdown_sql(text: str) -> str:
+    for pattern, to in X.MARKDOWN:
+        text = f"regexp_replace({text}, '{pattern.replace('(?dm)', '(?m)')}', '{to.replace('$', chr(92))}', 'g')"
+    return text
+
+
+@query("markdown_strip", f"SELECT conv_id, turn, md5({_markdown_sql("'# ' || role || chr(10) || '**' || text || '**'")}) AS h FROM conversations")
 def markdown_strip(spark, d):
-    t = table(spark, d, "conversations").where(~F.col("text").rlike(r"[`\[\]]|---|^\s*#|\n\s*#"))
+    t = table(spark, d, "conversations")
     return t.select("conv_id", "turn", F.md5(X.clean_markdown(F.concat(F.lit("# "), "role", F.lit("\n**"), "text", F.lit("**")))).alias("h"))
 
 
