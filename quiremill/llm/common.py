@@ -100,9 +100,20 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The columns of ``df`` but those of these names, compared without case as Spark resolves them."""
+    gone = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
 def split_hint(df: DataFrame, target_bytes: int = 1 << 20) -> DataFrame:
-    """``df`` with Arrow batches bounded by size as well as by rows, whatever the length of texts."""
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "268435456")) > 8 * target_bytes:
+    """``df``; Arrow batches of its session are bounded by size as well as by rows from here on.
+
+    The bound is a setting of the session, as no plan has one of its own; a lower one stays.
+    """
+    spark = df.sparkSession
+    conf = spark.conf
+    now = conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "268435456")
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) <= 8 * target_bytes:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * target_bytes))
     return df

@@ -9,8 +9,8 @@ fixes an item and an alignment, along which words are compared: a document is co
 stretch of ``window`` item words (the whole item, if shorter) agrees with it in at least
 ``similarity`` of its places.
 
-The benchmark's seeds are broadcast if their number, counted first, is at most
-``max_broadcast_seeds`` (some 50 MB), and are joined by shuffle if not.  The scan, the masks, the
+The benchmark's seeds, each with its item's words, are broadcast if, counted first, they are at most
+``max_broadcast_seeds`` and ``max_broadcast_bytes``, and are joined by shuffle if not.  The scan, the masks, the
 probe of the broadcast seeds and the comparison are one stage without a shuffle; what is
 shuffled is one small row per contaminated alignment, then joined with the ids.
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import table
+from quiremill.llm.common import others, table
 
 MASKS = ((0, 1, 3, 4, 5), (0, 2, 3, 6, 8))
 
@@ -60,7 +60,7 @@ def _run_seeds(items: DataFrame, need: Column) -> tuple[DataFrame, list[tuple[in
     return runs.select("item", F.col("h").alias("bh"), "b", (F.coalesce(*keys) if keys else F.lit(None).cast("long")).alias("bk")), masks
 
 
-def contaminated_alignments(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks=MASKS, window: int = 15, similarity: float = 0.8, max_broadcast_seeds: int = 500_000) -> DataFrame:
+def contaminated_alignments(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks=MASKS, window: int = 15, similarity: float = 0.8, max_broadcast_seeds: int = 500_000, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """(doc, item, matched): ids and the most agreeing words on an alignment, once per pair."""
     items = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text)).alias("h")).distinct()
     long = _positions(items.where(F.size("h") >= window), ["item"], masks).select(F.col("item"), F.col("h").alias("bh"), F.col("i").alias("b"), F.col("k").alias("bk"))
@@ -69,7 +69,8 @@ def contaminated_alignments(docs: DataFrame, benchmark: DataFrame, id_col: str =
     d = docs.select(F.col(id_col).alias("doc"), word_hashes(F.col(text_col)).alias("h"))
 
     def meet(seeds: DataFrame, masks) -> DataFrame:
-        if seeds.count() <= max_broadcast_seeds:
+        many, size = seeds.agg(F.count("*"), F.coalesce(F.sum(8 * F.size("bh") + 64), F.lit(0))).first()
+        if many <= max_broadcast_seeds and size <= max_broadcast_bytes:
             # one row per seed and item: equal seeds at several places of an item stay apart, they
             # are different alignments
             return _positions(d, ["doc"], masks).join(F.broadcast(seeds), F.col("k") == F.col("bk")).select("doc", "h", "i", "item", "bh", "b")
@@ -109,9 +110,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     and rows with a null id share theirs.  Copies of a document are judged alike.
     """
     found = contaminated_alignments(docs, benchmark, id_col, **how).groupBy("doc").agg(F.sort_array(F.collect_set("item")).alias("items_"))
-    keep = [F.col(c) for c in docs.columns if c not in ("contaminated", "items")]
-    joined = docs.select(F.struct(F.lit(1).alias("_"), *keep).alias("row")).join(found, F.col(f"row.{id_col}").eqNullSafe(F.col("doc")), "left")
-    names = [c for c in docs.columns if c not in ("contaminated", "items")]
+    names = others(docs, "contaminated", "items")
+    joined = docs.select(F.struct(F.lit(1).alias("_"), *names).alias("row")).join(found, F.col(f"row.{id_col}").eqNullSafe(F.col("doc")), "left")
     empty = F.array().cast(found.schema["items_"].dataType)
     return joined.select(*[F.col("row").getField(c).alias(c) for c in names], F.col("items_").isNotNull().alias("contaminated"), F.coalesce("items_", empty).alias("items"))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import least_names, named_vertices, staged, table
+from quiremill.llm.common import forget, least_names, named_vertices, staged, table
 from quiremill.llm.components import components
 
 BLOCK = 256
@@ -363,6 +363,7 @@ def embedding_links(vectors: DataFrame, d: int | None = None, id_col: str = "vec
     open_ = staged(grouped(dealt).mapInArrow(_open_rows(*decide), "g long, u long, band int, side boolean, open long"), "open")
     found = grouped(open_.join(reps.select("u", "m", "x"), "u"), "m", "x")
     found = staged(found.mapInArrow(_group_links(*decide), "u long, v long, n long"), "links")
+    forget(spark, band, codes, open_)
     counts = found.where("n is not null").groupBy("u").agg(F.sum("n").alias("n"))
     edges = found.where("v is not null").select("u", "v")
     # an id with several vectors joins them

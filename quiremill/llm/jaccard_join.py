@@ -380,7 +380,9 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
         ids = near.select(F.col("a").alias("u")).union(near.select("b"))
         sets = vertex_texts(ids).mapInArrow(_of_vertices(k, _fragments), "u long, f int, toks array<long>")
         sets = staged(sets.dropDuplicates(["u", "f"]), "fragments")
-        return staged(_links(near, sets, percent), "links")
+        found = staged(_links(near, sets, percent), "links")
+        forget(spark, near, sets)
+        return found
 
     # each list's pivot against the list
     p = lists.groupBy("tok").agg(F.min(F.struct("u", "n")).alias("p"))
@@ -452,6 +454,7 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     more = links_of(left)
     if not more.isEmpty():
         comp = components(links.union(more), "a", "b")
+    forget(spark, lists, bitmaps, met, cluster, large, rest, links, more)
     if shared:
         comp = least_names(comp, reps)
     vertex = seen.select("d", "n", "s1", "s2").join(reps.select("s1", "s2", "n", "u", F.col("d").alias("own")), ["s1", "s2", "n"], "left")

@@ -2,10 +2,11 @@
 
 Training counts n-grams of one to three characters in a bounded sample of labelled rows: up to
 ``per_lang`` expected rows of each language, chosen by a hash of the id.  The counts are summed by
-(language, bucket), a table of at most ``2**bits * max_langs`` rows whatever the corpus, and give a
+(language, bucket), a table of at most ``2**bits`` rows a language whatever the corpus, and give a
 matrix of log-probabilities that is broadcast to all tasks (1 MB for four languages).  Scoring
 takes whole texts: each text is a sparse row of bucket counts, kept as a list of buckets, and the
-product with the matrix is a gather and a segmented sum over a batch.
+product with the matrix is a gather and a segmented sum over a batch, in pieces of 8 MB at most
+however long a text is and however many languages there are.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import free_name, split_hint, table
+from quiremill.llm.common import free_name, others, split_hint, table
 from quiremill.llm.texthash import release, slices
 
 UNKNOWN = "und"
+#: Bytes of the matrix that are gathered at a time.
+PIECE = 8 << 20
 _letters: list[np.ndarray] = []
 
 
@@ -79,14 +82,13 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bits: int = 16, per_lang: int = 4000, max_langs: int = 200) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bits: int = 16, per_lang: int = 4000) -> tuple[list[str], np.ndarray]:
     """(languages, log-probabilities [bucket, language]) from rows where ``train`` holds and ``lang_col`` isn't null.
 
     ``per_lang``: expected rows of each language in the sample, the bound on what is fitted on.
-    ``max_langs``: only so many languages, the most frequent, are learned.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_langs).collect()
+    sizes = rows.groupBy("l").count().collect()
     if not sizes:
         return [], np.zeros((1 << bits, 0), np.float32)
     share = F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], float(per_lang / r["count"]))]), F.col("l"))
@@ -101,6 +103,22 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     return names, np.log(x / x.sum(0)).astype(np.float32)
 
 
+def _sums(m: np.ndarray, grams: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``m`` over each text's n-grams, [text, language]; pieces begin at a text's start or at fixed steps from it."""
+    step = max(256, PIECE // (4 * max(1, m.shape[1])))
+    pieces = -(-np.diff(off) // step)
+    own = np.repeat(np.arange(len(pieces)), pieces)
+    start = off[own] + step * (np.arange(len(own)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    out = np.zeros((len(pieces), m.shape[1]))
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(start, start[lo] + step, "left")))
+        stop = min(start[hi] if hi < len(start) else off[-1], off[own[hi - 1] + 1])
+        np.add.at(out, own[lo:hi], np.add.reduceat(np.take(m, grams[start[lo] : stop], axis=0), start[lo:hi] - start[lo], axis=0, dtype=np.float64))
+        lo = hi
+    return out
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``docs`` with the language of each whole text and its posterior probability.
 
@@ -110,7 +128,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """
     names, logs = model
     bits = int(np.log2(len(logs)))
-    keep = [c for c in docs.columns if c not in (pred_col, score_col)]
+    keep = others(docs, pred_col, score_col)
     src = docs.select(*keep)
     t, p, s = text_col, free_name(src, "lang_pred_"), free_name(src, "score_")
     shared = docs.sparkSession.sparkContext.broadcast(logs)
@@ -124,7 +142,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 best, score = np.full(part.num_rows, len(names)), np.zeros(part.num_rows)
                 some = np.flatnonzero((letters > 0) & (len(names) > 0))
                 if len(some):
-                    sums = np.add.reduceat(np.take(m, grams, axis=0), off[some], axis=0, dtype=np.float64)
+                    sums = _sums(m, grams, off)[some]
                     best[some] = sums.argmax(1)
                     sums -= sums.max(1, keepdims=True)
                     score[some] = 1 / np.exp(sums).sum(1)

@@ -1,9 +1,11 @@
 """Line dedup: overlapping windows of three lines, found again anywhere in the corpus.
 
 Lines that hold more than blanks are numbered within their document; each run of three such lines
-is hashed to 128 bits.  The first occurrence of a window, by (doc_id, place), stays; every later
+is hashed to 128 bits.  The first occurrence of a window, by (doc_id, place), covers nothing; every later
 one marks its lines as covered, and the union of covered lines is cut from the text.  A line is
 only cut if an equal line stays earlier in the corpus: cuts always point to an earlier window.
+Windows overlap, so a line of a first occurrence is cut too where a later window covers it: of
+five equal lines in a row one stays.
 
 Only window hashes and places are shuffled by window; texts are shuffled once, by document.  The
 first place of a window is a partial aggregate, so a window in a third of all documents costs a
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import hash128, table
+from quiremill.llm.common import hash128, others, table
 
 _BLANKS = " \t\r"
 
@@ -56,7 +58,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before all others; equal ids with different texts are ordered by a hash of the text.  Empty
     tables give empty results; further columns are kept.
     """
-    rest = [c for c in docs.columns if c not in (id_col, text_col, "n_lines", "n_removed")]
+    rest = others(docs, id_col, text_col, "n_lines", "n_removed")
     src = docs.select(F.col(id_col).alias("d"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"), F.struct(F.lit(1).alias("_"), *rest).alias("rest"))
     wins = _windows(src, window)
     place = F.struct("d", "t", "i")

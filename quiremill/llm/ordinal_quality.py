@@ -16,11 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import free_name, split_hint, table
+from quiremill.llm.common import free_name, others, split_hint, table
 from quiremill.llm.texthash import U, column_bytes, mix, slices, words
 
-#: Features of less than one in so many of the sampled documents are left out.
-RARE = 600
 #: Steps of the shape features.
 _STEPS = np.array([0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9])
 
@@ -92,9 +90,10 @@ def fit_ordinal(x: np.ndarray, off: np.ndarray, grade: np.ndarray, grades: int,
     return w, th
 
 
-def fit(docs: DataFrame, ratings: DataFrame, grade_col: str, id_col: str = "doc_id", text_col: str = "text", grades: int = 3, bits: int = 18, max_rows: int = 12_000) -> tuple[np.ndarray, np.ndarray] | None:
+def fit(docs: DataFrame, ratings: DataFrame, grade_col: str, id_col: str = "doc_id", text_col: str = "text", grades: int = 3, bits: int = 18, max_rows: int = 12_000, rare: int = 600) -> tuple[np.ndarray, np.ndarray] | None:
     """Fit on about ``max_rows`` rated documents, chosen by a hash of the id; None without any.
 
+    ``rare``: features of less than one in so many of these documents are left out.
     ``ratings`` has one integer grade from 0 to ``grades - 1`` per id; rows with a null are skipped.
     """
     r = ratings.where(F.col(grade_col).between(0, grades - 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(grade_col).cast("int").alias("g"))
@@ -116,7 +115,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grade_col: str, id_col: str = "doc_
     off = col.offsets.to_numpy().astype(np.int64)
     # a feature of a few documents says which document it is, not of what grade: it is left out
     x, rows = col.values.to_numpy(), np.repeat(np.arange(got.num_rows), np.diff(off))
-    often = np.bincount(x, minlength=1 << bits) >= max(1, got.num_rows // RARE)
+    often = np.bincount(x, minlength=1 << bits) >= max(1, got.num_rows // rare)
     off = np.concatenate(([0], np.cumsum(np.bincount(rows[often[x]], minlength=got.num_rows))))
     return fit_ordinal(x[often[x]], off, got.column("g").to_numpy(), grades, bits)
 
@@ -127,7 +126,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, text_col
     Columns of these names are replaced.  Null and empty texts are scored by their shape features;
     without a model both columns are null.
     """
-    keep = [c for c in docs.columns if c not in ("expected_grade", "tail_prob")]
+    keep = others(docs, "expected_grade", "tail_prob")
     src = docs.select(*keep)
     if model is None:
         return src.select("*", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_prob"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import free_name, split_hint, table
+from quiremill.llm.common import free_name, others, split_hint, table
 from quiremill.llm.texthash import U, mix, release, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -41,7 +41,7 @@ SPACE = "▁"
 #: Stands for a SPACE character of the text itself, which is encoded as bytes.
 _STAND_IN = "\ud800"
 _FALLBACK = -25.0
-#: Units whose lattices a worker keeps: some 0.6 KB each.
+#: Units whose lattices a worker keeps: some 0.6 KB each.  A slice of texts can add its own to so many.
 CACHE_UNITS = 40_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -634,13 +634,13 @@ def encode_samples(docs: DataFrame, samples: int = 2, id_col: str = "doc_id", te
     default is kept for the worker's next task.
     ``round_trip`` says whether decoding the ids gives the text again; it always does.
     """
-    keep = [c for c in docs.columns if c.lower() != "samples"]
-    key = F.col(id_col).cast("long")
-    src = docs.select(key.alias("k"), F.col(text_col).alias("t"), *[F.col(c) for c in keep if c != text_col and c not in ("k", "t")], *[F.col(c).alias(f"{c}_own") for c in keep if c in ("k", "t") and c != text_col])
+    keep = others(docs, "samples")
+    # rows travel with the text and the key under names of their own
+    rest = {c: f"c{i}" for i, c in enumerate(keep) if c != text_col}
+    src = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(name) for c, name in rest.items()])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
     out = split_hint(src, 1 << 18).mapInArrow(_encode(samples, model, theta, seed, cache_units), f"{ddl}, `samples` {SAMPLES}")
-    named = {text_col: F.col("t")} | {c: F.col(f"{c}_own") for c in keep if c in ("k", "t") and c != text_col}
-    return out.select(*[named.get(c, F.col(c)).alias(c) for c in keep], "samples")
+    return out.select(*[F.col(rest.get(c, "t")).alias(c) for c in keep], "samples")
 
 
 def decode_ids(df: DataFrame, ids_col: str = "ids", text_col: str = "text", model: str = MODEL) -> DataFrame:

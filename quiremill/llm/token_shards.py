@@ -8,8 +8,9 @@
    permutation of exactly 0 .. N-1: the slot.  Nothing is sorted or sampled to shuffle the corpus.
 3. Slots are cut into ranges, one partition and one file per range, so sequences are shuffled once,
    compressed, straight to their place.  A shard is a header and records of fixed stride: the
-   sequence at a slot is at a known offset, a reader resumes at any slot by a seek, and a writer
-   that runs again keeps the shards that are whole.
+   sequence at a slot is at a known offset, and a reader resumes at any slot by a seek.  A writer
+   that runs again in a folder takes the sequences that are complete and keeps each shard whose size
+   and header (key, number of slots, marks of sequences and vocabulary) are as they would be.
 
 Each step reads a staged table, so a lost executor repeats tasks, not the encoding of the corpus.
 """
@@ -17,6 +18,7 @@ Each step reads a staged table, so a lost executor repeats tasks, not the encodi
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -34,7 +36,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_OF_TEXT = 50256
 MAGIC = b"QMSHARD1"
-HEADER = "<8sIIQQ32x"
+#: Magic, ids a record, bytes an id, first slot, slots, key, slots of all shards, marks of the sequences and of the vocabulary.
+HEADER = "<8sIIQQQQQ8s"
+#: At most so many partitions write shards; one writes several in a row if there are more.
+WRITERS = 20_000
 HEADER_SIZE = struct.calcsize(HEADER)
 _encoders: dict[str, object] = {}
 
@@ -115,6 +120,8 @@ def _pack(vocabulary: str, seq_len: int, end: int):
                 if not text:
                     continue
                 ids = encoder.encode_to_numpy(text)
+                if len(ids) and ids.max() > 0xFFFF:
+                    raise ValueError(f"id {ids.max()} doesn't fit two bytes")
                 parts.append(np.append(ids, end).astype(np.uint16))
                 held += len(ids) + 1
                 owners.append((held, doc))
@@ -129,17 +136,19 @@ def _pack(vocabulary: str, seq_len: int, end: int):
 def encode_sequences(docs: DataFrame, folder: str, id_col: str, text_col: str, vocabulary: str, seq_len: int, end: int) -> DataFrame:
     rows = split_hint(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")))
     out = rows.mapInArrow(_pack(vocabulary, seq_len, end), "tokens binary, n_tokens int, doc_ids array<long>")
-    out.write.option("compression", "zstd").parquet(folder)
+    files, root = fs.FileSystem.from_uri(folder)
+    if files.get_file_info(f"{root}/_SUCCESS").type == fs.FileType.NotFound:
+        out.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema(out.schema).parquet(folder)
 
 
-def with_slots(seqs: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """Staged sequences with their ``slot``, ids compressed; and how many there are."""
+def with_slots(seqs: DataFrame, key: int) -> tuple[DataFrame, int, int]:
+    """Staged sequences with their ``slot``, ids compressed; how many there are; and a mark of their files."""
     named = seqs.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     files = named.groupBy("file").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     offsets = files.select("file", before.alias("before"), "n")
-    n_files, total = offsets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_files, total, mark = offsets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bit_xor(F.xxhash64("file", "before")), F.lit(0))).first()
     # one row per file: a broadcast only while that is a few MB
     joined = named.join(F.broadcast(offsets) if n_files <= 50_000 else offsets, "file").select((F.col("before") + F.col("row")).alias("i"), "tokens", "n_tokens", "doc_ids")
 
@@ -149,47 +158,68 @@ def with_slots(seqs: DataFrame, key: int) -> tuple[DataFrame, int]:
             slot = permute(batch.column(0).to_numpy().astype(np.uint64), total, key).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array([squeeze(x) for x in batch.column(1).to_pylist()], pa.binary()), batch.column(2), batch.column(3)], ["slot", "z", "n_tokens", "doc_ids"])
 
-    return split_hint(joined).mapInArrow(run, "slot long, z binary, n_tokens int, doc_ids array<long>"), int(total)
+    return split_hint(joined).mapInArrow(run, "slot long, z binary, n_tokens int, doc_ids array<long>"), int(total), int(mark) & (2**64 - 1)
 
 
 def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def _write(folder: str, seq_len: int, per_shard: int, total: int):
+class _Shards:
+    """Takes records in the order of slots and writes the shards that aren't whole yet."""
+
+    def __init__(self, folder: str, seq_len: int, per_shard: int, total: int, marks: tuple[int, int, bytes], attempt: int):
+        self.files, self.root = fs.FileSystem.from_uri(folder)
+        self.seq_len, self.per_shard, self.total, self.marks, self.attempt = seq_len, per_shard, total, marks, attempt
+        self.out, self.next, self.end = None, -1, -1
+        self.files.create_dir(self.root, recursive=True)
+
+    def _begin(self, shard: int) -> None:
+        self.next = shard * self.per_shard
+        count = min(self.per_shard, self.total - self.next)
+        self.end, self.name = self.next + count, f"{self.root}/{shard_name(shard)}"
+        key, mark, vocabulary = self.marks
+        header = struct.pack(HEADER, MAGIC, self.seq_len, 2, self.next, count, key & (2**64 - 1), self.total, mark, vocabulary)
+        if self.files.get_file_info(self.name).size == HEADER_SIZE + count * 2 * self.seq_len:
+            with self.files.open_input_file(self.name) as f:
+                if f.read(HEADER_SIZE) == header:
+                    return
+        self.temp = f"{self.name}.{self.attempt}.tmp"
+        self.out = self.files.open_output_stream(self.temp, compression=None)
+        self.out.write(header)
+
+    def add(self, slot: int, record: bytes) -> None:
+        if self.next == self.end:
+            self._begin(slot // self.per_shard)
+        if slot != self.next:
+            raise ValueError(f"slot {self.next} is missing before {slot}")
+        if self.out:
+            self.out.write(record)
+        self.next += 1
+        if self.next == self.end and self.out:
+            self.out.close()
+            self.files.move(self.temp, self.name)
+            self.out = None
+
+    def close(self) -> None:
+        if self.next != self.end:
+            raise ValueError(f"slot {self.next} is missing")
+
+
+def _write(folder: str, seq_len: int, per_shard: int, total: int, marks: tuple[int, int, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        files, root = fs.FileSystem.from_uri(folder)
+        shards = _Shards(folder, seq_len, per_shard, total, marks, TaskContext.get().taskAttemptId())
         open_up = zstandard.ZstdDecompressor().decompress
-        out, temp, name, nxt = None, "", "", None
         for batch in batches:
-            slots = batch.column(0).to_pylist()
-            crc = []
-            for slot, z in zip(slots, batch.column(1).to_pylist(), strict=True):
+            at, sums = batch.column(0).to_numpy(), []
+            for slot, z in zip(at.tolist(), batch.column(1).to_pylist(), strict=True):
                 record = open_up(z)
-                crc.append(int(np.frombuffer(record, np.uint16).astype(np.int64).sum()))
-                if nxt is None:
-                    shard = slot // per_shard
-                    count = min(per_shard, total - shard * per_shard)
-                    name = f"{root}/{shard_name(shard)}"
-                    size = HEADER_SIZE + count * 2 * seq_len
-                    files.create_dir(root, recursive=True)
-                    if files.get_file_info(name).size != size:
-                        temp = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
-                        out = files.open_output_stream(temp, compression=None)
-                        out.write(struct.pack(HEADER, MAGIC, seq_len, 2, shard * per_shard, count))
-                    nxt = shard * per_shard
-                if slot != nxt:
-                    raise ValueError(f"slot {nxt} is missing before {slot}")
-                nxt += 1
-                if out:
-                    out.write(record)
-            at = np.array(slots, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(at // per_shard), pa.array(HEADER_SIZE + at % per_shard * 2 * seq_len), batch.column(2), batch.column(3), pa.array(crc, pa.int64())], ["slot", "shard", "byte_offset", "n_tokens", "doc_ids", "id_sum"])
-        if out:
-            out.close()
-            files.move(temp, name)
+                sums.append(int(np.frombuffer(record, np.uint16).astype(np.int64).sum()))
+                shards.add(slot, record)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(at // per_shard), pa.array(HEADER_SIZE + at % per_shard * 2 * seq_len), batch.column(2), batch.column(3), pa.array(sums, pa.int64())], ["slot", "shard", "byte_offset", "n_tokens", "doc_ids", "id_sum"])
+        shards.close()
 
     return run
 
@@ -201,16 +231,30 @@ def write_shards(docs: DataFrame, folder: str, key: int, id_col: str = "doc_id",
     ``doc_ids`` (documents in the sequence, in order) and ``id_sum`` (sum of the stored ids).
     Documents with a null or empty text are in no sequence; a null id is kept as null; repeated
     rows are encoded as often as they occur.  Only a task's last sequence is filled up, with
-    ``end``.  No documents give no shards.  Ids have two bytes: vocabularies up to 65,536.
+    ``end``.  No documents give no shards.  Ids have two bytes: one over 65,535 is an error.
+
+    A folder belongs to one corpus, vocabulary, ``seq_len`` and ``end``; with others it is an error.
+    A second call goes on where the first one stopped; with another key it replaces the shards.
     """
     spark = docs.sparkSession
+    about = hashlib.md5(f"{vocabulary}|{seq_len}|{end}".encode()).hexdigest()
+    files, root = fs.FileSystem.from_uri(folder)
+    files.create_dir(root, recursive=True)
+    if files.get_file_info(f"{root}/parameters").type == fs.FileType.NotFound:
+        with files.open_output_stream(f"{root}/parameters", compression=None) as f:
+            f.write(about.encode())
+    with files.open_input_stream(f"{root}/parameters", compression=None) as f:
+        if f.read().decode() != about:
+            raise ValueError(f"{folder} was written with another vocabulary, length or end")
     seqs = encode_sequences(docs, f"{folder}/sequences", id_col, text_col, vocabulary, seq_len, end)
-    placed, total = with_slots(seqs, key)
+    placed, total, mark = with_slots(seqs, key)
     per_shard = max(1, shard_bytes // (2 * seq_len))
     shards = max(1, -(-total // per_shard))
-    ranged = placed.repartitionById(shards, (F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
-    rows = ranged.mapInArrow(_write(f"{folder}/shards", seq_len, per_shard, total), "slot long, shard long, byte_offset long, n_tokens int, doc_ids array<long>, id_sum long")
-    rows.write.parquet(f"{folder}/index")
+    in_a_row = -(-shards // WRITERS)
+    ranged = placed.repartitionById(-(-shards // in_a_row), (F.col("slot") / (per_shard * in_a_row)).cast("int")).sortWithinPartitions("slot")
+    write = _write(f"{folder}/shards", seq_len, per_shard, total, (key, mark, bytes.fromhex(about)[:8]))
+    rows = ranged.mapInArrow(write, "slot long, shard long, byte_offset long, n_tokens int, doc_ids array<long>, id_sum long")
+    rows.write.mode("overwrite").parquet(f"{folder}/index")
     return spark.read.schema(rows.schema).parquet(f"{folder}/index")
 
 
@@ -224,7 +268,7 @@ def read_slots(folder: str, start: int, stop: int) -> Iterator[tuple[int, np.nda
             with files.open_input_file(f"{root}/{shard_name(0)}") as f:
                 per_shard = struct.unpack(HEADER, f.read(HEADER_SIZE))[4]
         with files.open_input_file(f"{root}/{shard_name(slot // per_shard)}") as f:
-            magic, seq_len, width, first, count = struct.unpack(HEADER, f.read(HEADER_SIZE))
+            magic, seq_len, width, first, count, *_ = struct.unpack(HEADER, f.read(HEADER_SIZE))
             if magic != MAGIC:
                 raise ValueError("not a shard")
             f.seek(HEADER_SIZE + (slot - first) * seq_len * width)

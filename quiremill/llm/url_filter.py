@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import ascii_lower, table
+from quiremill.llm.common import ascii_lower, others, table
 from quiremill.llm.components import components
 
 MAX_RULES = 500
@@ -81,7 +81,7 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: s
     the node (host, path and query) that sorts first.
     """
     new = ("host", "path", "rule", "verdict", "component")
-    keep = [c for c in pages.columns if c not in new]
+    keep = others(pages, *new)
     edges = None
     if html_col:
         edges = link_edges(pages, url_col, html_col)

@@ -101,7 +101,10 @@ class ArchiveWriter:
 def parse_record(raw: bytes, where: str = "") -> tuple[dict[str, str], bytes]:
     """(fields by lower-case name, block); WarcError if version, fields or lengths are wrong."""
     head, sep, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8").split("\r\n")
+    try:
+        lines = head.decode("utf-8").split("\r\n")
+    except UnicodeDecodeError as e:
+        raise WarcError(f"{where}: the header isn't UTF-8") from e
     if not sep or lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise WarcError(f"{where}: no WARC header")
     fields = {}
@@ -169,8 +172,9 @@ def _writer(folder: str, date: str, roll: int):
 
         def close() -> None:
             nonlocal w
-            name = f"{root}/part-{ctx.partitionId():06d}-{len(paths):04d}.warc.zst"
-            temp = f"{name}.{ctx.taskAttemptId()}.tmp"
+            # by attempt: the manifest names those of the attempt that counts, and no other one replaces them
+            name = f"{root}/part-{ctx.partitionId():06d}-{len(paths):04d}-{ctx.taskAttemptId()}.warc.zst"
+            temp = f"{name}.tmp"
             with files.open_output_stream(temp, compression=None) as out:
                 out.write(w.finish())
             files.move(temp, name)
@@ -238,7 +242,10 @@ def read_warc(paths: DataFrame, path_col: str = "path") -> DataFrame:
                         head, sep, payload = block.partition(b"\r\n\r\n")
                         if not block.startswith(b"HTTP/"):
                             head, payload = b"", block
-                        n = next((int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
+                        told = next((x.partition(b":")[2].strip() for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
+                        if told is not None and not told.isdigit():
+                            raise WarcError(f"{path} at {at}: content-length {told!r}")
+                        n = None if told is None else int(told)
                         kind, digest = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
                         if kind == "response" and (n is not None and n != len(payload) or digest and digest != base32_sha1(payload)):
                             raise WarcError(f"{path} at {at}: payload doesn't fit its length or digest")
