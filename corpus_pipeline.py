@@ -43,13 +43,29 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``row`` number, rows equal in id and text being one; numbers follow id and text."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = docs.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *rest)).alias("rest"))
+    one = one.sort("doc_id", F.xxhash64("text"), "text").select("doc_id", "text", *[F.col("rest").getField(c).alias(c) for c in rest])
+    return staged(one.select(F.monotonically_increasing_id().alias("row"), *docs.columns), "rows")
+
+
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document of smallest id stays; of repeated ids one row."""
-    found = jaccard_components(docs.select("doc_id", "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
-    found = staged(found, "components")
-    out = _without(docs, found.groupBy("doc_id").agg(F.min("component_id").alias("c")).where("c < doc_id").select("doc_id"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return out if repeated.isEmpty() else out.where("doc_id is null").union(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    """Of each group of near copies, the document of smallest id stays.
+
+    Where an id occurs more than once, each of its texts is a document: of rows equal in id and text
+    one stays, and of near copies under one id the first by a hash of the text.  Rows with a null id
+    link with nothing and stay.
+    """
+    named = docs.where("doc_id is not null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        found = staged(jaccard_components(docs.select("doc_id", "text"), SHINGLE_WORDS, SIMILAR_PERCENT), "components")
+        return _without(docs, found.where("component_id < doc_id").select("doc_id"))
+    rows = _apart(named)
+    found = staged(jaccard_components(rows, SHINGLE_WORDS, SIMILAR_PERCENT, id_col="row"), "components")
+    stay = rows.join(found.where("component_id < row").select("row"), "row", "left_anti").select(*docs.columns)
+    return stay.union(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
