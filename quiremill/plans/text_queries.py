@@ -122,10 +122,10 @@ def roman_numerals(spark, d):
 
 @query(
     "format_sizes",
-    """SELECT doc_id, CASE WHEN n_chars < 1024 THEN n_chars || ' B' ELSE printf('%.1f KB', n_chars / 1024.0) END AS size FROM documents WHERE n_chars < 1048576 AND n_chars % 256 <> 0""",
+    """SELECT doc_id, CASE WHEN n_chars < 1024 THEN n_chars || ' B' WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024.0)
+  ELSE regexp_replace(printf('%.2f', n_chars / 1048576.0), '0$', '') || ' MB' END AS size FROM documents""",
 )
 def format_sizes(spark, d):
-    """All documents.  The registered SQL still leaves ties and sizes of 1 MiB and more out."""
     return table(spark, d, "documents").select("doc_id", X.format_size(F.col("n_chars")).alias("size"))
 
 
