@@ -123,18 +123,6 @@ def route_columns(blocks: DataFrame, gap: float = 0.1) -> DataFrame:
     return blocks.withColumn("column", F.when(spans, 0).when(mid < F.col("page_w") / 2, 1).otherwise(2))
 
 
-def classify_page(page_text: Column, n_blocks: Column) -> Column:
-    """toc, imprint, lesson, title or body, from a page's joined text."""
-    t = F.lower(page_text)
-    return (
-        F.when(t.rlike(r"^\s*(table of )?contents\b|^\s*inhalt"), "toc")
-        .when(t.rlike(r"copyright|©|isbn|all rights reserved|printed in"), "imprint")
-        .when(t.rlike(r"^\s*(lesson|lektion|chapter|kapitel)\s+\S+"), "lesson")
-        .when((n_blocks <= 6) & (F.length(page_text) < 250), "title")
-        .otherwise("body")
-    )
-
-
 def security_scan(files: DataFrame, rules: DataFrame, allow: str | None = None) -> DataFrame:
     """(file, line, rule, severity, matched): first match of each rule per line.
 

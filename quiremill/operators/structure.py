@@ -182,16 +182,6 @@ def merge_toc_lines(lines: DataFrame, by: list[str], order: str = "idx") -> Data
     return g.groupBy(*by, "_item").agg(F.min(order).alias(order), text.alias("text")).drop("_item")
 
 
-def body_start(pages: DataFrame, within: int = 30) -> DataFrame:
-    """(job, body_start): the first lesson page of the first ``within``, else the page behind the last of contents, else 1.
-
-    ``pages``: (job, page, kind), kinds as ``cleaning.classify_page`` gives them.
-    """
-    p = pages.where(F.col("page") <= within)
-    a = p.groupBy("job").agg(F.min(F.when(F.col("kind") == "lesson", F.col("page"))).alias("lesson"), F.max(F.when(F.col("kind") == "toc", F.col("page"))).alias("toc"))
-    return a.select("job", F.coalesce("lesson", F.col("toc") + 1, F.lit(1)).alias("body_start"))
-
-
 def text_boxes(words: DataFrame, images: DataFrame) -> DataFrame:
     """Images (job, page, ...) with the box of their page's words, null without words."""
     box = words.groupBy("job", "page").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))

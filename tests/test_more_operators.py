@@ -16,9 +16,7 @@ def test_accumulate_and_toc_lines(spark):
     assert [r.text for r in S.merge_toc_lines(t, ["job"]).orderBy("idx").collect()] == ["A long title 7", "B 9", "tail"]
 
 
-def test_body_start_and_boxes(spark):
-    p = spark.createDataFrame([("a", 1, "title"), ("a", 2, "toc"), ("a", 3, "toc"), ("b", 5, "lesson"), ("c", 1, "body"), ("d", 40, "lesson"), ("d", 1, "body")], "job string, page int, kind string")
-    assert {tuple(r) for r in S.body_start(p).collect()} == {("a", 4), ("b", 5), ("c", 1), ("d", 1)}
+def test_boxes_and_crops(spark):
     w = spark.createDataFrame([("a", 1, 3, 4, 9, 8), ("a", 1, 1, 5, 4, 9)], "job string, page int, x0 int, y0 int, x1 int, y1 int")
     i = spark.createDataFrame([("a", 1), ("a", 2)], "job string, page int")
     assert [tuple(r)[2:] for r in S.text_boxes(w, i).orderBy("page").collect()] == [(1, 4, 9, 9), (None,) * 4]
