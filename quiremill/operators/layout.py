@@ -43,12 +43,112 @@ def multicolumn_pages(blocks: DataFrame, by: list[str]) -> DataFrame:
     return a.select(*by, ((F.col("n") >= 6) & (F.col("l") >= 3) & (F.col("r") >= 3)).alias("is_multicolumn"))
 
 
-def layout_profile(blocks: DataFrame, by: list[str]) -> DataFrame:
-    """Medians over pages: margins on each side, inner and outer by the page's parity, extent."""
-    pages = blocks.groupBy(*by, "page").agg(F.min("x0").alias("left"), (F.max("page_w") - F.max("x1")).alias("right"), F.min("y0").alias("top"), (F.max("page_h") - F.max("y1")).alias("bottom"))
-    even = F.pmod("page", F.lit(2)) == 0
-    pages = pages.withColumns({"inside": F.when(even, F.col("right")).otherwise(F.col("left")), "outside": F.when(even, F.col("left")).otherwise(F.col("right"))})
-    return pages.groupBy(*by).agg(*[F.median(c).alias(c) for c in ("left", "right", "top", "inside", "outside")], index_percentile(F.col("bottom"), 0.2).alias("bottom"), F.count("*").alias("pages"))
+def _typography(spans: DataFrame, lines: DataFrame, on: DataFrame, job: str, greatest_size: float, greatest_gap: float) -> DataFrame:
+    """(job, font_size, leading): medians of type sizes from 6 up and of gaps from 0.5 up, on the pages of ``on``."""
+    keys = [job, "page"]
+    size = spans.join(on.select(*keys), keys, "left_semi").where((F.length(X.strip(F.col("text"))) >= 3) & F.col("size").between(6.0, greatest_size))
+    gap = F.lead("y0").over(Window.partitionBy(*keys, "block").orderBy("line")) - F.col("y1")
+    gaps = lines.join(on.select(*keys), keys, "left_semi").select(job, gap.alias("_gap")).where(F.col("_gap").between(0.5, greatest_gap))
+    a = size.groupBy(job).agg(F.bround(F.median("size"), 1).alias("font_size"))
+    return a.join(gaps.groupBy(job).agg(F.bround(F.median("_gap"), 1).alias("leading")), job, "full_outer")
+
+
+def _within(c: Column, extent: Column, share: float) -> Column:
+    """A margin of 18 points and more, and of a share of the page at most."""
+    return F.greatest(F.lit(18.0), F.least(c, extent * share))
+
+
+def layout_calibration(pages: DataFrame, blocks: DataFrame, spans: DataFrame, lines: DataFrame, job: str = "job") -> DataFrame:
+    """A row per job: page size, margins, font size and leading as its printed pages have them.
+
+    ``pages``: (job, page, page_w, page_h), pages from 0; ``blocks``: (job, page, x0, y0, x1, y1,
+    text); ``spans``: (job, page, size, text); ``lines``: (job, page, block, line, y0, y1).  Pages 10
+    to 59 count, or all of a job where that leaves fewer than five; margins come from pages of three
+    longer blocks and more.  Medians, but the bottom takes the element at a fifth, as short pages
+    end chapters; margins keep to 18 points and 40 % of the page.  Where the type area is 600 points
+    high on a page of 750, small type and narrow leading are set to 15 and 9.5.  Ties of the first
+    decimal go to the even digit.  A job without such pages has no row.
+    """
+    keys = [job, "page"]
+    first = F.least(F.lit(10), F.greatest(F.lit(0), F.col("_n") - 1))
+    end = F.least(F.lit(60), F.col("_n"))
+    few = end - first < 5
+    p = pages.withColumn("_n", F.count("*").over(Window.partitionBy(job)))
+    p = p.where(few | ((F.col("page") >= first) & (F.col("page") < end))).select(*keys, "page_w", "page_h")
+    size = p.groupBy(job).agg(F.bround(F.median("page_w"), 1).alias("width"), F.bround(F.median("page_h"), 1).alias("height"))
+    box = blocks.where(F.length(X.strip(F.col("text"))) > 5).groupBy(*keys).agg(F.count("*").alias("_blocks"), *[f(c).alias(c) for f, c in ((F.min, "x0"), (F.max, "x1"), (F.min, "y0"), (F.max, "y1"))])
+    sampled = p.join(box.where("_blocks >= 3"), keys)
+    right, even = F.col("page_w") - F.col("x1"), F.col("page") % 2 == 0
+    full = lines.groupBy(*keys).agg(F.count("*").alias("_lines"))
+    height = F.col("y1") - F.col("y0")
+    m = sampled.join(full, keys, "left").withColumns({"_right": right, "_bottom": F.col("page_h") - F.col("y1"), "_inside": F.when(even, F.col("x0")).otherwise(right), "_outside": F.when(even, right).otherwise(F.col("x0")), "_area": F.when((F.col("_lines") >= 12) & (height > F.col("page_h") * 0.4), height)})
+    medians = {"left": "x0", "right": "_right", "top": "y0", "inside": "_inside", "outside": "_outside"}
+    m = m.groupBy(job).agg(*[F.bround(F.median(c), 1).alias(k) for k, c in medians.items()], F.bround(index_percentile(F.col("_bottom"), 0.2), 1).alias("bottom"), F.median("_area").alias("_area"))
+    out = m.join(size, job).join(_typography(spans, lines, sampled, job, 48.0, 30.0), job, "left")
+    extent = {k: "height" if k in ("top", "bottom") else "width" for k in (*medians, "bottom")}
+    out = out.withColumns({k: F.bround(_within(F.col(k), F.col(e), 0.4), 1) for k, e in extent.items()})
+    tall = F.coalesce((F.col("_area") >= 600) & (F.col("height") >= 750), F.lit(False))
+    grown = lambda c, least, to: F.when(tall & F.coalesce(F.col(c) < least, F.lit(True)), to).otherwise(F.col(c))
+    return out.select(job, "width", "height", *extent, (F.abs(F.col("inside") - F.col("outside")) >= 4.0).alias("is_asymmetric"), grown("font_size", 14.5, 15.0).alias("font_size"), grown("leading", 8.0, 9.5).alias("leading"))
+
+
+def sidehead_blocks(blocks: DataFrame, by: list[str], header: float = 85.0, footer: float = 750.0) -> DataFrame:
+    """Content blocks between header and footer with ``is_sidehead``: short ones at the left edge.
+
+    ``blocks`` has block_type, box, text and page_w; blocks under 18 x 6.5 points or three characters are left out.
+    """
+    t = F.length(X.strip(F.regexp_replace("text", r"\s+", " ")))
+    ok = (F.col("block_type") == 0) & (F.length(X.strip(F.col("text"))) >= 2) & (F.col("y0") >= header) & (F.col("y1") <= footer)
+    big = (F.col("x1") - F.col("x0") >= 18.0) & (F.col("y1") - F.col("y0") >= 6.5) & (t >= 3)
+    side = (F.col("x0") < F.col("page_w") * 0.28) & (F.col("x1") < F.col("page_w") * 0.35) & (t <= 80)
+    return blocks.where(ok & big).withColumn("is_sidehead", side)
+
+
+def layout_profile(pages: DataFrame, blocks: DataFrame, spans: DataFrame, lines: DataFrame, job: str = "job") -> DataFrame:
+    """A row per job: macro layout, margins, zones and type of its pages.
+
+    Inputs as of ``layout_calibration``, ``blocks`` with block_type as well.  The size is that of the
+    first page.  Margins are medians over all blocks of the body, inside and outside over pages by
+    their parity, within 18 points and 45 % of the page.  A job without blocks of its body has the
+    margins of an empty page: 50 points at the sides, 55 at top and bottom.  The marginal zone is
+    null unless side-heads make the layout.
+    """
+    keys = [job, "page"]
+    size = pages.groupBy(job).agg(F.count("*").alias("total_pages"), F.min_by("page_w", "page").alias("page_w"), F.min_by("page_h", "page").alias("page_h"))
+    b = sidehead_blocks(blocks.drop("page_w", "page_h").join(size.select(job, "page_w"), job), keys)
+    main, side = ~F.col("is_sidehead"), F.col("is_sidehead")
+    mid = F.when(main & (F.col("x1") - F.col("x0") < F.col("page_w") * 0.42), (F.col("x0") + F.col("x1")) / 2)
+    half = F.col("page_w") * 0.5
+    per_page = b.groupBy(*keys).agg(
+        F.count_if(side).alias("_side"), F.count_if(main).alias("_main"), F.count_if(mid < half).alias("_l"), F.count_if(mid >= half).alias("_r"),
+        F.min(F.when(main, F.col("x0"))).alias("_x0"), (F.max("page_w") - F.max(F.when(main, F.col("x1")))).alias("_out"),
+    )
+    marginal = (F.col("_side") > 0) & (F.col("_main") >= 2)
+    even = F.col("page") % 2 == 0
+    per_page = per_page.withColumns({"_marginal": marginal, "_multi": (F.col("_l") + F.col("_r") >= 6) & (F.col("_l") >= 3) & (F.col("_r") >= 3), "_in": F.when(even, F.col("_x0")).otherwise(F.col("_out")), "_ex": F.when(even, F.col("_out")).otherwise(F.col("_x0"))})
+    shares = per_page.groupBy(job).agg(F.count_if("_marginal").alias("pages_with_marginalia"), F.count_if("_multi").alias("pages_with_multicolumn"), F.median("_in").alias("_in"), F.median("_ex").alias("_ex"))
+    of = lambda c, which: F.median(F.when(which, F.col(c)))
+    heads = side & F.col("_marginal")
+    body = b.join(per_page.select(*keys, "_marginal"), keys).groupBy(job).agg(*[of(c, main).alias(f"_{c}") for c in ("x0", "x1", "y0", "y1")], of("x0", heads).alias("_m0"), of("x1", heads).alias("_m1"))
+    x = size.join(shares, job, "left").join(body, job, "left").join(_typography(spans, lines, per_page.where("_main > 0"), job, 24.0, 25.0), job, "left")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("pages_with_marginalia", "pages_with_multicolumn")}
+    w, h = F.col("page_w"), F.col("page_h")
+    x = x.withColumns(counts).withColumns({
+        "left": _within(F.coalesce("_x0", F.lit(50.0)), w, 0.45), "right": _within(w - F.coalesce("_x1", w - 50.0), w, 0.45),
+        "top": _within(F.coalesce("_y0", F.lit(55.0)), h, 0.45), "bottom": _within(h - F.coalesce("_y1", h - 55.0), h, 0.45),
+        "_m0": F.coalesce("_m0", F.lit(45.0)), "_m1": F.coalesce("_m1", F.lit(150.0)),
+        "marginalia_ratio": F.col("pages_with_marginalia") / F.col("total_pages"), "multicolumn_ratio": F.col("pages_with_multicolumn") / F.col("total_pages"),
+    })
+    x = x.withColumns({"inside": _within(F.coalesce("_in", "left"), w, 0.45), "outside": _within(F.coalesce("_ex", "right"), w, 0.45)})
+    layout = F.when(F.col("multicolumn_ratio") >= 0.25, "multicolumn").when(F.col("marginalia_ratio") >= 0.08, "marginalia").otherwise("single")
+    tenth = lambda c: F.bround(c, 1)
+    zone = F.struct(tenth(F.col("_m0")).alias("x0"), tenth(F.col("_m1")).alias("x1"), tenth(F.col("_m1") - F.col("_m0")).alias("width"), tenth(F.col("left") - F.col("_m1")).alias("gutter"))
+    text = F.struct(tenth(F.col("left")).alias("x0"), tenth(w - F.col("right")).alias("x1"), tenth(w - F.col("right") - F.col("left")).alias("width"))
+    return x.select(
+        job, "total_pages", tenth(w).alias("width"), tenth(h).alias("height"), layout.alias("macro_layout"), "pages_with_marginalia", F.bround("marginalia_ratio", 3).alias("marginalia_ratio"),
+        "pages_with_multicolumn", F.bround("multicolumn_ratio", 3).alias("multicolumn_ratio"), *[tenth(F.col(c)).alias(c) for c in ("left", "right", "inside", "outside", "top", "bottom")],
+        (F.abs(F.col("inside") - F.col("outside")) >= 4.0).alias("is_asymmetric"), "font_size", "leading", F.when(layout == "marginalia", zone).alias("marginal_zone"), text.alias("body_zone"),
+    )
 
 
 def scan_margins(pages: DataFrame, by: list[str]) -> DataFrame:
@@ -69,10 +169,39 @@ def word_collisions(words: DataFrame, by: list[str], step: float = 1.5, most: fl
     return words.withColumn("line", line).withColumns({"next_x0": F.lead("x0").over(w), "next_x1": F.lead("x1").over(w)}).where(lap > most)
 
 
-def layout_audit(words: DataFrame, pages: DataFrame, by: list[str], min_clash_pairs: int = 2) -> DataFrame:
-    """Per page its clashes and whether it is at fault; pages without words count as clean."""
+def layout_audit(words: DataFrame, pages: DataFrame, by: list[str], min_clash_pairs: int = 2, blocks: DataFrame | None = None, spans: DataFrame | None = None, least_width: float = 0.25, least_size: float = 5.5) -> DataFrame:
+    """Per page its clashes and whether it is at fault; pages without words count as clean.
+
+    With ``blocks`` (by, x0, x1, text; ``pages`` then has page_w) text narrower than a share of the page
+    is a fault of pages of 25 words and more, with ``spans`` (by, size, text) the smallest type of
+    pages of 15 words and more.  A page with several faults is one faulty page.
+    """
     c = word_collisions(words, by).groupBy(*by).agg(F.count("*").alias("clashes"))
-    return pages.select(*by).distinct().join(c, by, "left").withColumn("clashes", F.coalesce("clashes", F.lit(0))).withColumn("faulty", F.col("clashes") >= min_clash_pairs)
+    measures = [] if blocks is None else ["page_w"]
+    a = pages.select(*by, *measures).dropDuplicates(by).join(c, by, "left").withColumn("clashes", F.coalesce("clashes", F.lit(0)))
+    faulty = F.col("clashes") >= min_clash_pairs
+    if blocks is None and spans is None:
+        return a.withColumn("faulty", faulty)
+    a = a.join(words.groupBy(*by).agg(F.count("*").alias("words")), by, "left").withColumn("words", F.coalesce("words", F.lit(0)))
+    if blocks is not None:
+        extent = blocks.where(F.length(X.strip(F.col("text"))) > 8).groupBy(*by).agg((F.max("x1") - F.min("x0")).alias("text_w"))
+        share = F.when(F.col("page_w") > 0, F.col("text_w") / F.col("page_w")).otherwise(1.0)
+        a = a.join(extent, by, "left").withColumn("narrow", F.coalesce((F.col("words") >= 25) & F.col("text_w").isNotNull() & (share < least_width), F.lit(False)))
+        faulty = faulty | F.col("narrow")
+    if spans is not None:
+        least = spans.where(X.strip(F.col("text")) != "").groupBy(*by).agg(F.min("size").alias("min_size"))
+        a = a.join(least, by, "left").withColumn("tiny", F.coalesce((F.col("words") >= 15) & (F.col("min_size") < least_size), F.lit(False)))
+        faulty = faulty | F.col("tiny")
+    return a.withColumn("faulty", faulty)
+
+
+def audit_summary(audit: DataFrame, reference_pages: int | None = None, min_clash_pairs: int = 2) -> DataFrame:
+    """Counts of pages by fault over a whole ``layout_audit``, the share of clean pages in percent (100 without pages) and whether the page counts agree."""
+    pages, faulty = F.count("*"), F.count_if("faulty")
+    score = F.when(pages == 0, 100.0).otherwise(F.bround((pages - faulty) / pages * 100, 2))
+    counts = [F.count_if(F.col("clashes") >= min_clash_pairs).alias("collisions")] + [F.count_if(c).alias(f"{c}_pages") for c in ("narrow", "tiny") if c in audit.columns]
+    agree = F.lit(True) if reference_pages is None else pages == reference_pages
+    return audit.agg(pages.alias("pages"), (pages - faulty).alias("clean_pages"), score.alias("quality_percent"), *counts, agree.alias("concordance_ok"))
 
 
 def clean_share(audit: DataFrame) -> DataFrame:

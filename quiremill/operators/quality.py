@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,16 +23,20 @@ def quality_gate(words: DataFrame, threshold: float, pages: DataFrame | None = N
     """One row per page: count, mean, least, greatest, five lowest confidences, decision.
 
     The mean is rounded to three places before it is held against the threshold.  ``pages`` adds
-    pages without words, which fail with mean 0 and a note.  The five lowest come from a bounded
-    aggregate: a histogram of distinct confidences isn't kept, only each page's own array.
+    pages without words, which fail with mean 0 and a note.  The five lowest are ranked within the
+    page and cut before and after the shuffle, so no task holds a page's confidences.
     """
+    rank = F.row_number().over(Window.partitionBy(page).orderBy(conf))
+    lowest = words.where(F.col(conf).isNotNull()).select(page, conf).withColumn("_rank", rank).where("_rank <= 5")
+    lowest = lowest.groupBy(F.col(page).alias("_page")).agg(F.sort_array(F.collect_list(conf)).alias("low_samples"))
     agg = words.groupBy(page).agg(
         F.count(conf).alias("word_count"),
         F.round(F.avg(conf), 3).alias("mean_confidence"),
         F.min(conf).alias("min_confidence"),
         F.max(conf).alias("max_confidence"),
-        F.slice(F.sort_array(F.collect_list(conf)), 1, 5).alias("low_samples"),
     )
+    agg = agg.join(lowest, F.col(page).eqNullSafe(F.col("_page")), "left").drop("_page")
+    agg = agg.withColumn("low_samples", F.coalesce("low_samples", F.array().cast(lowest.schema["low_samples"].dataType)))
     if pages is not None:
         agg = pages.select(page).distinct().join(agg, page, "left").withColumns(
             {"word_count": F.coalesce("word_count", F.lit(0)), "mean_confidence": F.coalesce("mean_confidence", F.lit(0.0)), "low_samples": F.coalesce("low_samples", F.array().cast("array<double>"))}
