@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quiremill.functions import text as X
 from quiremill.operators.quality import quality_tier
 
 COST_PER_PAGE = 0.004
@@ -19,7 +20,10 @@ ESTIMATES = [
     ("correction", 2.0, 0.3, 3.0, 12.0),
     ("report", 1.0, 0.1, 1.5, 8.0),
 ]
-LANGUAGE = r"^[a-z]{3}(?:_[a-z]+)?(?:\+[a-z]{3}(?:_[a-z]+)?)*$"
+# What a language code, a typesetting mode and a paper size can be.
+LANGUAGE = r"^[A-Za-z0-9+_-]{2,32}$"
+TYPESET_MODES = ("reconstructed_1to1", "scholarly_reflow", "dictionary_grid", "paginated", "1to1")
+PAPERS = ("iso-b5", "b5", "a4", "a5", "us-letter")
 #: Suffix of an artefact and what it is for, in the order in which they are tried.
 PURPOSES = [("_sandwich.pdf", "facsimile with text layer"), ("_digital.pdf", "typeset edition"), (".pdf", "document"), (".tei.xml", "TEI edition"), (".xml", "markup"), (".epub", "e-book"), (".book.json", "document model"), (".json", "data"), (".md", "text"), (".hocr", "layout"), (".txt", "plain text")]
 
@@ -71,19 +75,37 @@ def valid_job_name(c: Column) -> Column:
 
 
 def valid_run_id(c: Column) -> Column:
-    return F.coalesce(c.rlike(r"^[A-Za-z0-9_-]{1,64}$"), F.lit(False))
+    return F.coalesce(c.rlike(r"^[A-Za-z0-9_.-]{1,64}$"), F.lit(False))
 
 
-def valid_language(c: Column, default: str = "eng") -> Column:
-    return F.when(c.rlike(LANGUAGE), c).otherwise(default)
+def valid_language(c: Column, default: str = "deu+eng") -> Column:
+    """The stripped code, or the default for what can't be one."""
+    code = X.strip(c)
+    return F.when(code.rlike(LANGUAGE), code).otherwise(default)
+
+
+def _whole_number(c: Column, most: int) -> Column:
+    text = X.strip(c.cast("string"))
+    return F.coalesce(text.rlike(r"^[+-]?\d+$") & text.try_cast("long").between(0, most), F.lit(False))
 
 
 def valid_threshold(c: Column) -> Column:
-    return F.coalesce(c.try_cast("double").between(0, 100), F.lit(False))
+    return _whole_number(c, 100)
 
 
 def valid_limit(c: Column) -> Column:
-    return F.coalesce(c.try_cast("int").between(0, 100000), F.lit(False))
+    return _whole_number(c, 100_000)
+
+
+def valid_mode(c: Column) -> Column:
+    """The stripped typesetting mode, or an empty string."""
+    return F.when(X.strip(c).isin(*TYPESET_MODES), X.strip(c)).otherwise("")
+
+
+def valid_paper(c: Column) -> Column:
+    """The stripped paper size in lower case, or an empty string."""
+    paper = F.lower(X.strip(c))
+    return F.when(paper.isin(*PAPERS), paper).otherwise("")
 
 
 def merged_options(*layers: Column) -> Column:

@@ -29,9 +29,9 @@ def centre_of_mass(mid: Column, weight: Column, width: Column) -> Column:
 
 
 def macro_layout(pages: DataFrame, by: list[str]) -> DataFrame:
-    """multicolumn, marginalia or single, by the share of pages that are so."""
+    """multi_column_grid, marginal_sideheads or single_column, by the share of pages that are so."""
     a = pages.groupBy(*by).agg(F.avg(F.col("is_multicolumn").cast("double")).alias("multi"), F.avg(F.col("has_marginalia").cast("double")).alias("marginal"))
-    return a.withColumn("macro_layout", F.when(F.col("multi") >= 0.25, "multicolumn").when(F.col("marginal") >= 0.08, "marginalia").otherwise("single"))
+    return a.withColumn("macro_layout", F.when(F.col("multi") >= 0.25, "multi_column_grid").when(F.col("marginal") >= 0.08, "marginal_sideheads").otherwise("single_column"))
 
 
 def multicolumn_pages(blocks: DataFrame, by: list[str]) -> DataFrame:
@@ -140,14 +140,14 @@ def layout_profile(pages: DataFrame, blocks: DataFrame, spans: DataFrame, lines:
         "marginalia_ratio": F.col("pages_with_marginalia") / F.col("total_pages"), "multicolumn_ratio": F.col("pages_with_multicolumn") / F.col("total_pages"),
     })
     x = x.withColumns({"inside": _within(F.coalesce("_in", "left"), w, 0.45), "outside": _within(F.coalesce("_ex", "right"), w, 0.45)})
-    layout = F.when(F.col("multicolumn_ratio") >= 0.25, "multicolumn").when(F.col("marginalia_ratio") >= 0.08, "marginalia").otherwise("single")
+    layout = F.when(F.col("multicolumn_ratio") >= 0.25, "multi_column_grid").when(F.col("marginalia_ratio") >= 0.08, "marginal_sideheads").otherwise("single_column")
     tenth = lambda c: F.bround(c, 1)
     zone = F.struct(tenth(F.col("_m0")).alias("x0"), tenth(F.col("_m1")).alias("x1"), tenth(F.col("_m1") - F.col("_m0")).alias("width"), tenth(F.col("left") - F.col("_m1")).alias("gutter"))
     text = F.struct(tenth(F.col("left")).alias("x0"), tenth(w - F.col("right")).alias("x1"), tenth(w - F.col("right") - F.col("left")).alias("width"))
     return x.select(
         job, "total_pages", tenth(w).alias("width"), tenth(h).alias("height"), layout.alias("macro_layout"), "pages_with_marginalia", F.bround("marginalia_ratio", 3).alias("marginalia_ratio"),
         "pages_with_multicolumn", F.bround("multicolumn_ratio", 3).alias("multicolumn_ratio"), *[tenth(F.col(c)).alias(c) for c in ("left", "right", "inside", "outside", "top", "bottom")],
-        (F.abs(F.col("inside") - F.col("outside")) >= 4.0).alias("is_asymmetric"), "font_size", "leading", F.when(layout == "marginalia", zone).alias("marginal_zone"), text.alias("body_zone"),
+        (F.abs(F.col("inside") - F.col("outside")) >= 4.0).alias("is_asymmetric"), "font_size", "leading", F.when(layout == "marginal_sideheads", zone).alias("marginal_zone"), text.alias("body_zone"),
     )
 
 

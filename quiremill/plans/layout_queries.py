@@ -49,7 +49,7 @@ def layout_medians(spark, d):
 
 @query(
     "macro_vote",
-    """SELECT segment, round(multi, 9) AS multi, round(marginal, 9) AS marginal, CASE WHEN multi >= 0.25 THEN 'multicolumn' WHEN marginal >= 0.08 THEN 'marginalia' ELSE 'single' END AS macro_layout
+    """SELECT segment, round(multi, 9) AS multi, round(marginal, 9) AS marginal, CASE WHEN multi >= 0.25 THEN 'multi_column_grid' WHEN marginal >= 0.08 THEN 'marginal_sideheads' ELSE 'single_column' END AS macro_layout
 FROM (SELECT c_mktsegment AS segment, avg((c_acctbal > 7500)::INT) AS multi, avg((c_acctbal < 0)::INT) AS marginal FROM customer GROUP BY 1)""",
 )
 def macro_vote(spark, d):

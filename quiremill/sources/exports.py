@@ -15,7 +15,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,22 +201,64 @@ def audit_markdown(pages: DataFrame) -> DataFrame:
     return body.select("job", F.concat(F.lit("# Layout audit\n\n| page | status | overlap |\n|---|---|---|\n"), "t", F.lit("\n")).alias("content"))
 
 
-def report_markdown(report: DataFrame, decisions: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(job, content): summary, pages, outliers and files of a job as Markdown."""
-    num = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    page = F.concat(F.lit("| "), F.col("page").cast("string"), F.lit(" | "), num("mean_confidence"), F.lit(" | "), F.col("decision"), F.lit(" |"))
-    pages = decisions.groupBy("job").agg(F.array_join(_ordered(["page"], page), "\n").alias("pages_t"), F.array_join(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("mean_confidence", "page"))), lambda x: F.concat(F.lit("- page "), x["page"].cast("string"), F.lit(": "), x["mean_confidence"].cast("string"))), 1, 5), "\n").alias("worst"))
-    file = F.concat(F.lit("| "), F.col("file"), F.lit(" | "), X.format_size(F.col("size")), F.lit(" | "), F.col("purpose"), F.lit(" |"))
-    files = inventory.groupBy("job").agg(F.array_join(_ordered(["file"], file), "\n").alias("files_t"))
-    x = report.join(pages, "job", "left").join(files, "job", "left")
-    return x.select(
-        "job",
-        F.concat(
-            F.lit("# Report "), "job", F.lit("\n\n## Summary\n\n- pages: "), num("pages"), F.lit("\n- mean confidence: "), num("mean_confidence"), F.lit("\n- tier: "), "tier", F.lit("\n- cost: "), F.format_number("cost", 3),
-            F.lit(" USD\n\n## Pages\n\n| page | confidence | decision |\n|---|---|---|\n"), F.coalesce("pages_t", F.lit("")), F.lit("\n\n## Outliers\n\n"), F.coalesce("worst", F.lit("")),
-            F.lit("\n\n## Files\n\n| file | size | purpose |\n|---|---|---|\n"), F.coalesce("files_t", F.lit("")), F.lit("\n"),
-        ).alias("content"),
+def _table(*heads: str) -> str:
+    return f"| {' | '.join(heads)} |\n|{'---|' * len(heads)}\n"
+
+
+def _row(*cells) -> Column:
+    return F.concat(F.lit("| "), *[x for c in cells for x in (F.coalesce(c.cast("string"), F.lit("-")), F.lit(" | "))][:-1], F.lit(" |"))
+
+
+#: Pipeline steps of the report, and the suffix of the file that shows that one is done.
+STEPS = [("Intake", None), ("Preprocessing", None), ("Recognition and gate", None), ("Fallback", None), ("Facsimile with text layer", ".sandwich.pdf"), ("TEI edition", ".tei.xml"), ("Typeset edition", ".digital.pdf"), ("Aligned text layer", ".aligned.pdf"), ("Restored facsimile", ".perfect_sandwich.pdf"), ("E-book", ".epub")]
+
+
+def report_markdown(report: DataFrame, decisions: DataFrame, inventory: DataFrame, metadata: DataFrame | None = None, threshold: float = 85.0) -> DataFrame:
+    """(job, content): a job's closing report as Markdown in five sections.
+
+    Summary (counts, range of confidences, tier), master data from ``metadata`` (job, columns...),
+    the steps with what they left behind, a table of pages with those under the threshold, and the
+    files with size and purpose.  Missing values are a dash; jobs without pages or files have empty tables.
+    """
+    low = F.coalesce(F.col("mean_confidence") < threshold, F.lit(False))
+    fallback = F.col("decision") == "fallback"
+    status = F.when(~low, "good").when(fallback, "corrected").otherwise("weak")
+    page = _row(F.col("page"), F.round("mean_confidence", 1), F.col("decision"), F.when(fallback, "fallback text").otherwise("local text"), status)
+    outlier = F.when(low, F.concat(F.lit("- page "), F.col("page").cast("string"), F.lit(": "), F.round("mean_confidence", 1).cast("string"), F.lit(" ("), F.when(fallback, "fallback text").otherwise("left as recognised"), F.lit(")")))
+    pages = decisions.groupBy("job").agg(
+        F.array_join(_ordered(["page"], page), "\n").alias("_pages"), F.array_join(_ordered(["page"], outlier), "\n").alias("_outliers"), F.count_if(low).alias("_low"), F.count_if(~fallback).alias("_passed"),
+        F.count_if(fallback).alias("_fallback"), F.round(F.min("mean_confidence"), 2).alias("_min"), F.round(F.max("mean_confidence"), 2).alias("_max"),
+    )
+    suffix = F.regexp_extract("file", r"(\.[^.]*)$", 1)
+    files = inventory.groupBy("job").agg(
+        F.array_join(_ordered(["file"], _row(F.col("file"), suffix, X.format_size(F.col("size")), F.col("purpose"))), "\n").alias("_files"), F.count("*").alias("_n_files"),
+        *[F.min(F.when(F.col("file").endswith(s), F.struct("file", "size"))).alias(f"_step{i}") for i, (_, s) in enumerate(STEPS) if s],
     )
+    x = report.join(pages, "job", "left").join(files, "job", "left")
+    master = F.lit("")
+    if metadata is not None:
+        about = [c for c in metadata.columns if c != "job"]
+        x = x.join(metadata.select("job", F.concat_ws("\n", *[_row(F.lit(c), F.col(c)) for c in about]).alias("_about")), "job", "left")
+        master = F.coalesce("_about", F.lit(""))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    n, passed, fell = F.col("pages"), zero("_passed"), zero("_fallback")
+    percent = F.round(F.when(n == 0, 0.0).otherwise(100.0 * passed / n), 1)
+    summary = [
+        _row(F.lit("Pages"), n), _row(F.lit("Passed"), F.concat(passed.cast("string"), F.lit(" of "), n.cast("string"), F.lit(" ("), percent.cast("string"), F.lit(f" %), threshold {threshold:g}"))),
+        _row(F.lit("Fallback pages"), fell), _row(F.lit("Mean confidence"), F.concat(F.col("mean_confidence").cast("string"), F.coalesce(F.concat(F.lit(", from "), F.col("_min").cast("string"), F.lit(" to "), F.col("_max").cast("string")), F.lit("")))),
+        _row(F.lit("Cost"), F.concat(F.format_number("cost", 3), F.lit(" USD"))), _row(F.lit("Files"), zero("_n_files")), _row(F.lit("Tier"), F.col("tier")),
+    ]
+    counts = {0: F.concat(n.cast("string"), F.lit(" pages")), 1: F.lit("done"), 2: F.concat(passed.cast("string"), F.lit(" passed, "), fell.cast("string"), F.lit(" below")), 3: F.when(fell == 0, "not needed").otherwise(F.concat(fell.cast("string"), F.lit(" pages, "), F.format_number("cost", 3), F.lit(" USD")))}
+    made = lambda i: F.coalesce(F.concat(F.col(f"_step{i}.file"), F.lit(", "), X.format_size(F.col(f"_step{i}.size"))), F.lit("not made"))
+    steps = [F.concat(F.lit(f"{i + 1}. {name}: "), counts[i] if i in counts else made(i)) for i, (name, _) in enumerate(STEPS)]
+    outliers = F.when(zero("_low") == 0, "None.").otherwise(F.concat(F.col("_low").cast("string"), F.lit(f" pages under {threshold:g}:\n\n"), F.col("_outliers")))
+    parts = [
+        F.concat(F.lit("# Report "), "job"), F.concat(F.lit("## 1. Summary\n\n" + _table("Measure", "Value")), F.concat_ws("\n", *summary)),
+        F.concat(F.lit("## 2. Master data\n\n" + _table("Property", "Value")), master), F.concat(F.lit("## 3. Steps\n\n"), F.concat_ws("\n", *steps)),
+        F.concat(F.lit("## 4. Pages\n\n" + _table("Page", "Confidence", "Decision", "Text", "Status")), F.coalesce("_pages", F.lit("")), F.lit("\n\n### Outliers\n\n"), outliers),
+        F.concat(F.lit("## 5. Files\n\n" + _table("File", "Format", "Size", "Purpose")), F.coalesce("_files", F.lit(""))),
+    ]
+    return x.select("job", F.concat(F.concat_ws("\n\n", *parts), F.lit("\n")).alias("content"))
 
 
 def append_decisions(decisions: DataFrame, path: str) -> None:
@@ -245,35 +287,80 @@ def corrected_hocr(text: pd.Series, corrections: pd.Series) -> pd.Series:
     return pd.Series([one(t, dict(c) if c is not None else {}) for t, c in zip(text, corrections, strict=True)])
 
 
-_HEX = re.compile(rb"<([0-9A-Fa-f\s]+)>(\s*Tj)")
+# Strings of a content stream: a hexadecimal one, or the sign that opens a literal one.
+_STRING = re.compile(rb"<([^>]*)>|\(")
+_PARENS = re.compile(rb"\\.|[()]", re.S)
+_ESCAPE = re.compile(rb"\\([0-7]{1,3}|.)", re.S)
+# Escapes of PDF literals.
+_UNESCAPED = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+_ESCAPED = str.maketrans({"(": "\\(", ")": "\\)", "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t"})
 
 
-def correct_stream(data: bytes, mapping: dict[str, str]) -> tuple[bytes, int]:
-    """A PDF content stream with the hex strings of a mapping's tokens replaced, and the number of hits."""
-    if len(data) > LONGEST_STREAM or not mapping:
-        return data, 0
-    hits = 0
+def _hex_text(body: bytes) -> str | None:
+    """The text of a hexadecimal string in UTF-16BE, if it is one."""
+    try:
+        raw = bytes.fromhex(body.decode("ascii"))
+        return raw.decode("utf-16-be") if len(raw) >= 2 else None
+    except (ValueError, UnicodeDecodeError):
+        return None
+
+
+def literal_text(body: bytes) -> str:
+    """The text of a PDF literal (without its parentheses) in Latin-1."""
 
     def one(m: re.Match) -> bytes:
-        nonlocal hits
-        try:
-            token = bytes.fromhex(m[1].decode()).decode("utf-16-be")
-        except (ValueError, UnicodeDecodeError):
-            return m[0]
-        new, n = replace_tokens(token, mapping)
-        hits += n
-        return b"<" + new.encode("utf-16-be").hex().upper().encode() + b">" + m[2] if n else m[0]
+        return bytes([int(m[1], 8) & 255]) if m[1][:1] in b"01234567" else _UNESCAPED.get(m[1], m[1])
+
+    return _ESCAPE.sub(one, body).decode("latin-1")
+
+
+def literal_bytes(text: str) -> bytes:
+    """A text as the inside of a PDF literal; what Latin-1 lacks becomes a question mark."""
+    return text.translate(_ESCAPED).encode("latin-1", "replace")
+
 
-    return _HEX.sub(one, data), hits
+def _strings_of(data: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
+    """(start, end, body, literal) of the strings of a content stream; a literal that isn't closed ends with the data."""
+    at = 0
+    while m := _STRING.search(data, at):
+        if m[1] is not None:
+            at = m.end()
+            yield m.start(), at, m[1], False
+            continue
+        depth, end, at = 1, len(data), len(data)
+        for p in _PARENS.finditer(data, m.end()):
+            depth += {b"(": 1, b")": -1}.get(p[0], 0)
+            if not depth:
+                end, at = p.start(), p.end()
+                break
+        yield m.start(), at, data[m.end() : end], True
+
+
+def correct_stream(data: bytes, mapping: dict[str, str]) -> tuple[bytes, int]:
+    """A PDF content stream with its strings' tokens replaced by a mapping, and the number of hits.
+
+    Hexadecimal strings in UTF-16BE and literals in Latin-1, alone or in arrays; strings without a
+    hit keep their bytes.  Streams over ``LONGEST_STREAM`` bytes stay as they are.
+    """
+    if len(data) > LONGEST_STREAM or not mapping:
+        return data, 0
+    out, at, hits = [], 0, 0
+    for start, end, body, literal in _strings_of(data):
+        text = literal_text(body) if literal else _hex_text(body)
+        new, n = replace_tokens(text, mapping)
+        if n:
+            out += [data[at:start], b"(" + literal_bytes(new) + b")" if literal else b"<" + new.encode("utf-16-be").hex().upper().encode() + b">"]
+            at, hits = end, hits + n
+    return b"".join(out) + data[at:], hits
 
 
 def correct_streams(streams: DataFrame, mappings: DataFrame) -> DataFrame:
-    """PDF streams (job, page, label, data binary) with their page's mapping applied; adds ``hits``."""
+    """PDF streams (job, page, label, data binary) with their page's mapping applied; adds ``hits`` and ``skipped``, whether the stream was too long.  Null data stay null."""
     src = streams.select("job", "page", "label", "data").join(mappings.select("job", "page", "mapping"), ["job", "page"], "left")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            done = [correct_stream(d, dict(m) if m is not None else {}) for d, m in zip(f["data"], f["mapping"], strict=True)]
-            yield f[["job", "page", "label"]].assign(data=[d for d, _ in done], hits=[n for _, n in done])
+            done = [correct_stream(d, dict(m) if m is not None else {}) if d is not None else (None, 0) for d, m in zip(f["data"], f["mapping"], strict=True)]
+            yield f[["job", "page", "label"]].assign(data=[d for d, _ in done], hits=[n for _, n in done], skipped=[d is not None and len(d) > LONGEST_STREAM for d, _ in done])
 
-    return src.mapInPandas(run, "job string, page int, label string, data binary, hits int")
+    return src.mapInPandas(run, "job string, page int, label string, data binary, hits int, skipped boolean")

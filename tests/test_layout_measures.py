@@ -63,9 +63,9 @@ def test_profile(spark):
     lines = spark.createDataFrame([("a", 0, 0, 0, 0.0, 10.0), ("a", 0, 0, 1, 13.0, 20.0), ("a", 0, 1, 0, 60.0, 70.0)], LINES)
     got = {r.job: r for r in L.layout_profile(pages, blocks, spans, lines).collect()}
     r = got["a"]
-    assert (r.macro_layout, r.pages_with_marginalia, r.marginalia_ratio, r.pages_with_multicolumn) == ("marginalia", 1, 0.25, 0)
+    assert (r.macro_layout, r.pages_with_marginalia, r.marginalia_ratio, r.pages_with_multicolumn) == ("marginal_sideheads", 1, 0.25, 0)
     assert (r.left, r.right, r.inside, r.outside, r.is_asymmetric, r.top, r.bottom) == (120.0, 60.0, 90.0, 90.0, False, 150.0, 360.0)
     assert (r.font_size, r.leading) == (12.0, 3.0)
     assert tuple(r.marginal_zone) == (40.0, 100.0, 60.0, 20.0) and tuple(r.body_zone) == (120.0, 340.0, 220.0)
     e = got["e"]
-    assert (e.macro_layout, e.left, e.right, e.top, e.bottom, e.font_size, e.marginal_zone) == ("single", 50.0, 50.0, 55.0, 55.0, None, None)
+    assert (e.macro_layout, e.left, e.right, e.top, e.bottom, e.font_size, e.marginal_zone) == ("single_column", 50.0, 50.0, 55.0, 55.0, None, None)

@@ -156,9 +156,16 @@ def test_access(spark):
 
 
 def test_validators(spark):
-    x = spark.createDataFrame([("ok-1", "deu+eng", "85", "10"), ("../x", "Deutsch!", "101", "-1"), (None, None, None, None)], "j string, l string, t string, n string")
-    got = x.select(J.valid_job_name(F.col("j")), J.valid_language(F.col("l")), J.valid_threshold(F.col("t")), J.valid_limit(F.col("n"))).collect()
-    assert [tuple(r) for r in got] == [(True, "deu+eng", True, True), (False, "eng", False, False), (False, "eng", False, False)]
+    rows = [("ok-1", " deu+eng ", "85", "10", "paginated", " A4 "), ("../x", "Deutsch!", "101", "-1", "grid", "a3"), (None, None, None, None, None, None), ("a.b", "x", "85.5", "+7", "", "")]
+    x = spark.createDataFrame(rows, "j string, l string, t string, n string, m string, p string")
+    checks = (J.valid_job_name, J.valid_language, J.valid_threshold, J.valid_limit, J.valid_mode, J.valid_paper)
+    got = x.select(*[f(F.col(c)) for f, c in zip(checks, "jltnmp", strict=True)], J.valid_run_id(F.col("j"))).collect()
+    assert [tuple(r) for r in got] == [
+        (True, "deu+eng", True, True, "paginated", "a4", True),
+        (False, "deu+eng", False, False, "", "", False),
+        (False, "deu+eng", False, False, "", "", False),
+        (True, "deu+eng", False, True, "", "", True),
+    ]
 
 
 def test_security(spark):

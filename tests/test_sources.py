@@ -164,6 +164,21 @@ def test_corrected_layers(spark):
     out, n = E.correct_stream(stream, {"teh": "the"})
     assert n == 1 and "the ".encode("utf-16-be").hex().upper().encode() in out
     assert E.correct_stream(b"x" * (E.LONGEST_STREAM + 1), {"teh": "the"})[1] == 0
+    fix = {"teh": "the", "naïve": "na(ive", "x": "\u0915"}
+    for before, after, hits in [
+        (rb"[(teh) -120 (a \(teh\) b)] TJ", rb"[(the) -120 (a \(the\) b)] TJ", 2),
+        (rb"(keep \050 \b) Tj (na\357ve) Tj", rb"(keep \050 \b) Tj (na\(ive) Tj", 1),
+        (b"<</A(teh)>> (x) Tj", b"<</A(teh)>> (?) Tj", 1),
+        (b"(out (teh) in) Tj (teh", rb"(out \(the\) in) Tj (the)", 2),
+        (b"[<" + "teh".encode("utf-16-be").hex().encode() + b"> 3 <zz> <41>] TJ", b"[<" + "the".encode("utf-16-be").hex().upper().encode() + b"> 3 <zz> <41>] TJ", 1),
+    ]:
+        assert E.correct_stream(before, fix) == (after, hits)
+    assert E.literal_text(rb"\101\n\)\q") == "A\n)q" and E.literal_text(E.literal_bytes("(a\\b)\t")) == "(a\\b)\t"
+    rows = [("j", 1, "a", bytearray(b"(teh)")), ("j", 1, "b", None), ("j", 2, "c", bytearray(E.LONGEST_STREAM + 1))]
+    streams = spark.createDataFrame(rows, "job string, page int, label string, data binary")
+    maps = spark.createDataFrame([("j", 1, {"teh": "the"})], "job string, page int, mapping map<string,string>")
+    got = {r.label: (r.hits, r.skipped, None if r.data is None else bytes(r.data)[:5]) for r in E.correct_streams(streams, maps).collect()}
+    assert got == {"a": (1, False, b"(the)"), "b": (0, False, None), "c": (0, True, bytes(5))}
     s = spark.createDataFrame([("j", 1, bytearray(stream))], "job string, page int, data binary").select("job", "page", F.decode("data", "UTF-8").alias("data"))
     assert D.pdf_stream_tokens(s).first().token == "teh "
 
@@ -173,6 +188,12 @@ def test_reports(spark):
     decisions = spark.createDataFrame([("j", 1, 90.0, "pass"), ("j", 2, 70.0, "fallback")], "job string, page int, mean_confidence double, decision string")
     files = spark.createDataFrame([("j", "a.pdf", 2048, "document")], "job string, file string, size long, purpose string")
     text = E.report_markdown(report, decisions, files).first().content
-    assert "- tier: B" in text and "| 2 | 70.0 | fallback |" in text and "- page 2: 70.0\n- page 1: 90.0" in text and "| a.pdf | 2.0 KB | document |" in text
+    assert "| Tier | B |" in text and "| 2 | 70.0 | fallback | fallback text | corrected |" in text and "| a.pdf | .pdf | 2.0 KB | document |" in text
+    assert "1 pages under 85:\n\n- page 2: 70.0 (fallback text)\n" in text and "| Passed | 1 of 2 (50.0 %), threshold 85 |" in text and "| Mean confidence | 80.0, from 70.0 to 90.0 |" in text
+    assert [x for x in text.split("\n") if x.startswith("#")] == ["# Report j", "## 1. Summary", "## 2. Master data", "## 3. Steps", "## 4. Pages", "### Outliers", "## 5. Files"]
+    made = spark.createDataFrame([("j", "j.epub", 1024, "e-book")], "job string, file string, size long, purpose string")
+    about = spark.createDataFrame([("j", "A Book", None)], "job string, title string, year string")
+    text = E.report_markdown(report, decisions.where("false"), made, about, threshold=60.0).first().content
+    assert "| title | A Book |\n| year | - |" in text and "10. E-book: j.epub, 1.0 KB\n" in text and "5. Facsimile with text layer: not made\n" in text and "### Outliers\n\nNone.\n" in text
     pages = spark.createDataFrame([("j", 1, "PASS", 0.9)], "job string, page int, status string, overlap double")
     assert "| 1 | PASS | 0.900 |" in E.audit_markdown(pages).first().content
