@@ -1,5 +1,6 @@
 """Layout queries: ``lineitem`` stands for words with boxes, an order for a page."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quiremill.operators import layout as L
@@ -132,3 +133,54 @@ def page_parity(spark, d):
 def fit_levels(spark, d):
     p = table(spark, d, "orders").select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("page"), F.col("o_totalprice").alias("need"))
     return L.fit_levels(p, spark.createDataFrame([(0, 50000.0), (1, 150000.0), (2, 300000.0)], "level int, capacity double"))
+
+
+@query(
+    "layout_faults",
+    """WITH w AS (SELECT l_partkey AS page, round_even(l_quantity / 1.5, 0) * 1.5 AS line, l_extendedprice AS x0, l_extendedprice + l_quantity * 100 AS x1, 5.4 + l_extendedprice / 10000 AS size FROM lineitem),
+n AS (SELECT *, lead(x0) OVER o AS nx0, lead(x1) OVER o AS nx1 FROM w WINDOW o AS (PARTITION BY page, line ORDER BY x0, x1)),
+c AS (SELECT page, count(*) AS words, count(*) FILTER (least(x1, nx1) - nx0 > 3.0) AS clashes, max(x1) - min(x0) AS text_w, min(size) AS min_size FROM n GROUP BY page),
+a AS (SELECT p_partkey AS page, coalesce(clashes, 0) AS clashes, coalesce(words >= 25 AND text_w / (250000 + p_retailprice * 100) < 0.25, false) AS narrow, coalesce(words >= 15 AND min_size < 5.5, false) AS tiny
+  FROM part LEFT JOIN c ON c.page = p_partkey)
+SELECT *, clashes >= 2 OR narrow OR tiny AS faulty FROM a""",
+)
+def layout_faults(spark, d):
+    w = table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("page"), F.col("l_quantity").alias("y0"), F.col("l_extendedprice").alias("x0"), (F.col("l_extendedprice") + F.col("l_quantity") * 100).alias("x1"),
+        (F.lit(5.4) + F.col("l_extendedprice") / 10000).alias("size"), F.lit("a line of text").alias("text"),
+    )
+    pages = table(spark, d, "part").select(F.col("p_partkey").alias("page"), (F.lit(250000) + F.col("p_retailprice") * 100).alias("page_w"))
+    return L.layout_audit(w, pages, ["page"], blocks=w, spans=w).select("page", "clashes", "narrow", "tiny", "faulty")
+
+
+_BOOK = """p AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY key) - 1 AS page, count(*) OVER (PARTITION BY job) AS n FROM (SELECT o_custkey // 40 AS job, o_orderkey AS key, 500.0 + o_orderkey % 7 AS page_w, 800.0 + o_custkey % 5 AS page_h FROM orders)),
+s AS (SELECT *, least(60, n) - least(10, greatest(0, n - 1)) < 5 AS few FROM p),
+t AS (SELECT * FROM s WHERE few OR (page >= least(10, greatest(0, n - 1)) AND page < least(60, n))),
+b AS (SELECT l_orderkey AS key, count(*) AS n_blocks, min(l_quantity) AS x0, max(400.0 + l_linenumber) AS x1, min(40.0 + l_linenumber * 10) AS y0, max(46.0 + l_linenumber * 10 + l_quantity) AS y1 FROM lineitem GROUP BY 1)"""
+
+
+@query(
+    "layout_calibration",
+    f"""WITH {_BOOK},
+m AS (SELECT t.*, x0 AS l, page_w - x1 AS r, y0 AS top, page_h - y1 AS bottom FROM t JOIN b USING (key) WHERE n_blocks >= 3),
+g AS (SELECT job, round_even(median(l), 1) AS l, round_even(median(r), 1) AS r, round_even(median(top), 1) AS top, round_even(list_sort(list(bottom))[floor(count(*) * 0.2)::INT + 1], 1) AS bottom,
+  round_even(median(CASE WHEN page % 2 = 0 THEN l ELSE r END), 1) AS i, round_even(median(CASE WHEN page % 2 = 0 THEN r ELSE l END), 1) AS o FROM m GROUP BY job),
+z AS (SELECT job, round_even(median(page_w), 1) AS width, round_even(median(page_h), 1) AS height FROM t GROUP BY job),
+f AS (SELECT job, round_even(median(8.0 + l_linenumber), 1) AS font_size FROM m JOIN lineitem ON l_orderkey = key GROUP BY job),
+v AS (SELECT job, round_even(median(gap), 1) AS "leading" FROM (SELECT m.job, lead(40.0 + l_linenumber * 10 + l_quantity / 10) OVER (PARTITION BY m.job, m.page ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - (40.0 + l_linenumber * 10 + 6) AS gap FROM m JOIN lineitem ON l_orderkey = key) WHERE gap BETWEEN 0.5 AND 30 GROUP BY job),
+k AS (SELECT job, width, height, round_even(greatest(18.0, least(l, width * 0.4)), 1) AS "left", round_even(greatest(18.0, least(r, width * 0.4)), 1) AS "right", round_even(greatest(18.0, least(top, height * 0.4)), 1) AS top,
+  round_even(greatest(18.0, least(i, width * 0.4)), 1) AS inside, round_even(greatest(18.0, least(o, width * 0.4)), 1) AS outside, round_even(greatest(18.0, least(bottom, height * 0.4)), 1) AS bottom FROM g JOIN z USING (job))
+SELECT k.*, abs(inside - outside) >= 4.0 AS is_asymmetric, font_size, "leading" FROM k LEFT JOIN f USING (job) LEFT JOIN v USING (job)""",
+)
+def layout_calibration(spark, d):
+    w = Window.partitionBy("job").orderBy("o_orderkey")
+    o = table(spark, d, "orders").withColumn("job", F.expr("o_custkey div 40")).withColumn("page", F.row_number().over(w) - 1)
+    pages = o.select("job", "page", (F.lit(500.0) + F.col("o_orderkey") % 7).alias("page_w"), (F.lit(800.0) + F.col("o_custkey") % 5).alias("page_h"))
+    place = F.lit(40.0) + F.col("l_linenumber") * 10
+    order = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+    t = table(spark, d, "lineitem").withColumn("line", order).join(o.select("job", "page", "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    text = F.lit("line of text").alias("text")
+    blocks = t.select("job", "page", F.col("l_quantity").alias("x0"), (F.lit(400.0) + F.col("l_linenumber")).alias("x1"), place.alias("y0"), (place + 6 + F.col("l_quantity")).alias("y1"), text)
+    spans = t.select("job", "page", (F.lit(8.0) + F.col("l_linenumber")).alias("size"), text)
+    lines = t.select("job", "page", F.lit(0).alias("block"), "line", (place + F.col("l_quantity") / 10).alias("y0"), (place + 6).alias("y1"))
+    return L.layout_calibration(pages, blocks, spans, lines)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quiremill.functions import text as X
+from quiremill.operators import front_matter
 from quiremill.operators import structure as S
 from quiremill.plans.quality_queries import table
 from quiremill.plans.registry import query
@@ -190,3 +191,20 @@ def dim_decode(spark, d):
     c, n, r = (table(spark, d, t) for t in ("customer", "nation", "region"))
     x = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select("c_custkey", "n_name", "r_name", F.col("c_mktsegment").alias("segment"))
     return M.decode_codes(x, {"segment": {"BUILDING": "construction", "MACHINERY": "engineering"}})
+
+
+_FRONT = """WITH p AS (SELECT doc_id // 8 AS job, doc_id % 8 + 1 AS page, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS body FROM documents),
+q AS (SELECT *, lower(text) AS l, lower(body) AS b FROM p),
+e AS (SELECT job, page, upper(body) IN ('CONTENTS', 'TABLE OF CONTENTS', 'INHALT') OR contains(b, 'table of contents') AS opens,
+  contains(b, 'contents') OR len(list_filter(string_split(body, chr(10)), lambda x: regexp_matches(regexp_replace(x, '\\s+$', ''), '([1-9]|[1-9]0|[1-3]00)$'))) >= 3 AS runs_on,
+  (page <= 4 AND length(text) <= 400 AND NOT regexp_matches(l, 'contents|isbn|copyright|all rights reserved|also available at') AND (contains(l, 'ouen') OR contains(l, 'eaux')))
+    OR regexp_matches(b, 'isbn|all rights reserved|first edition|first published|printed in') OR (page <= 3 AND length(body) < 300) AS other FROM q),
+f AS (SELECT *, coalesce(last_value(CASE WHEN opens THEN true WHEN NOT runs_on THEN false END IGNORE NULLS) OVER (PARTITION BY job ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS within FROM e)
+SELECT job, (coalesce(max(page) FILTER (opens OR CASE WHEN within THEN runs_on ELSE other END), 0) + 1)::INT AS body_start FROM f GROUP BY job"""
+
+
+@query("body_start", _FRONT)
+def body_start(spark, d):
+    t = table(spark, d, "documents").select(F.expr("doc_id div 8").alias("job"), (F.col("doc_id") % 8 + 1).alias("page"), F.lit(0).alias("idx"), "text")
+    meta = t.select("job").distinct().select("job", F.lit("Ouen The Eaux (sketches)").alias("title"), F.lit(None).cast("string").alias("author"))
+    return front_matter.body_start(t, meta)
