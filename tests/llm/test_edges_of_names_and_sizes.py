@@ -56,7 +56,7 @@ def test_ordinal_fit_against_plain_descent():
     eta = np.array([true[r].sum() for r in rows]) + rng.logistic(size=400)
     grade = (eta > -0.5).astype(int) + (eta > 1.0)
     x, off = np.concatenate(rows), np.concatenate(([0], np.cumsum([len(r) for r in rows])))
-    w, th = ordinal_quality.fit_ordinal(x, off, grade, 3, 3, epochs=600, batch=100, l1=0.0, rate=0.3)
+    w, th = ordinal_quality.fit_ordinal(x, off, grade, 3, 3, l1=0.0)
     assert th[0] < th[1]
 
     p = np.zeros(8)
