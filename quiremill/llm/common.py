@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, local mode) is a temporary folder used.
+    Only where that is unset and the master is local is a temporary folder used.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quiremill-")
         spark.sparkContext.setCheckpointDir(root)
     return root if "://" in root or root.startswith("file:") else "file://" + root
@@ -100,12 +102,27 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def quoted(name: str) -> str:
+    """A column's name so that dots, blanks and backquotes in it are part of it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def ddl(df: DataFrame) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def others(df: DataFrame, *names: str) -> list[str]:
     """The columns of ``df`` but those of these names, compared without case as Spark resolves them."""
     gone = {n.lower() for n in names}
     return [c for c in df.columns if c.lower() not in gone]
 
 
+def numbered(df: DataFrame, keep: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns ``keep`` under names of their own, and those names: functions over batches need names without dots."""
+    names = {c: f"c{i}" for i, c in enumerate(keep)}
+    return df.select(*[F.col(quoted(c)).alias(n) for c, n in names.items()]), names
+
+
 def split_hint(df: DataFrame, target_bytes: int = 1 << 20) -> DataFrame:
     """``df``; Arrow batches of its session are bounded by size as well as by rows from here on.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import free_name, others, split_hint, table
+from quiremill.llm.common import ddl, numbered, others, split_hint, table
 from quiremill.llm.texthash import release, slices
 
 UNKNOWN = "und"
@@ -129,8 +129,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     names, logs = model
     bits = int(np.log2(len(logs)))
     keep = others(docs, pred_col, score_col)
-    src = docs.select(*keep)
-    t, p, s = text_col, free_name(src, "lang_pred_"), free_name(src, "score_")
+    src, names_ = numbered(docs, keep)
+    t, p, s = next(n for c, n in names_.items() if c.lower() == text_col.lower()), "pred", "score"
     shared = docs.sparkSession.sparkContext.broadcast(logs)
     mat = pa.array([*names, UNKNOWN], pa.string())
 
@@ -149,12 +149,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 yield pa.RecordBatch.from_arrays([*part.columns, mat.take(pa.array(best)), pa.array(score)], [*part.schema.names, p, s])
         release()
 
-    out = split_hint(src).mapInArrow(run, f"{_ddl(src)}, `{p}` string, `{s}` double")
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col(p).alias(pred_col), F.col(s).alias(score_col))
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    out = split_hint(src).mapInArrow(run, f"{ddl(src)}, `{p}` string, `{s}` double")
+    return out.select(*[F.col(n).alias(c) for c, n in names_.items()], F.col(p).alias(pred_col), F.col(s).alias(score_col))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:

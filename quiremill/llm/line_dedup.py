@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import hash128, others, table
+from quiremill.llm.common import hash128, others, quoted, table
 
 _BLANKS = " \t\r"
 
@@ -59,7 +59,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tables give empty results; further columns are kept.
     """
     rest = others(docs, id_col, text_col, "n_lines", "n_removed")
-    src = docs.select(F.col(id_col).alias("d"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"), F.struct(F.lit(1).alias("_"), *rest).alias("rest"))
+    src = docs.select(F.col(id_col).alias("d"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"), F.struct(F.lit(1).alias("_"), *map(quoted, rest)).alias("rest"))
     wins = _windows(src, window)
     place = F.struct("d", "t", "i")
     again = wins.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("a", "b", "first")

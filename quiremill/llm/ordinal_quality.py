@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import free_name, others, split_hint, table
+from quiremill.llm.common import ddl, numbered, others, split_hint, table
 from quiremill.llm.texthash import U, column_bytes, mix, slices, words
 
 #: Steps of the shape features.
@@ -127,25 +127,25 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, text_col
     without a model both columns are null.
     """
     keep = others(docs, "expected_grade", "tail_prob")
-    src = docs.select(*keep)
+    src, names = numbered(docs, keep)
+    back = [F.col(n).alias(c) for c, n in names.items()]
     if model is None:
-        return src.select("*", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_prob"))
+        return src.select(*back, F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_prob"))
     w, th = model
     bits = int(np.log2(len(w)))
     shared = docs.sparkSession.sparkContext.broadcast(w.astype(np.float32))
-    e, p = free_name(src, "expected_"), free_name(src, "tail_")
+    t, e, p = next(n for c, n in names.items() if c.lower() == text_col.lower()), "expected", "tail"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col):
-                f, off = features(part.column(part.schema.get_field_index(text_col)), bits)
+            for part in slices(batch, t):
+                f, off = features(part.column(part.schema.get_field_index(t)), bits)
                 eta = np.add.reduceat(shared.value[f].astype(np.float64), off[:-1])
                 above = _sigmoid(eta[:, None] - th)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(above.sum(1)), pa.array(above[:, tail - 1])], [*part.schema.names, e, p])
 
-    ddl = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in src.schema.fields)
-    out = split_hint(src).mapInArrow(run, f"{ddl}, `{e}` double, `{p}` double")
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col(e).alias("expected_grade"), F.col(p).alias("tail_prob"))
+    out = split_hint(src).mapInArrow(run, f"{ddl(src)}, `{e}` double, `{p}` double")
+    return out.select(*back, F.col(e).alias("expected_grade"), F.col(p).alias("tail_prob"))
 
 
 def grades_of(labels: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import free_name, others, split_hint, table
+from quiremill.llm.common import free_name, others, quoted, split_hint, table
 from quiremill.llm.texthash import U, mix, release, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -637,7 +637,7 @@ def encode_samples(docs: DataFrame, samples: int = 2, id_col: str = "doc_id", te
     keep = others(docs, "samples")
     # rows travel with the text and the key under names of their own
     rest = {c: f"c{i}" for i, c in enumerate(keep) if c != text_col}
-    src = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), *[F.col(f"`{c}`").alias(name) for c, name in rest.items()])
+    src = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), *[F.col(quoted(c)).alias(name) for c, name in rest.items()])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
     out = split_hint(src, 1 << 18).mapInArrow(_encode(samples, model, theta, seed, cache_units), f"{ddl}, `samples` {SAMPLES}")
     return out.select(*[F.col(rest.get(c, "t")).alias(c) for c in keep], "samples")

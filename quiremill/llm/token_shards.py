@@ -224,6 +224,12 @@ def _write(folder: str, seq_len: int, per_shard: int, total: int, marks: tuple[i
     return run
 
 
+def corpus_mark(docs: DataFrame, id_col: str, text_col: str) -> str:
+    """A digest of the ids and texts of all rows, in whatever order they come."""
+    h = [F.xxhash64(F.lit(seed), id_col, text_col).cast("decimal(20,0)") for seed in ("one", "two")]
+    return "|".join(map(str, docs.agg(F.count("*"), *[F.coalesce(F.sum(x), F.lit(0)) for x in h]).first()))
+
+
 def write_shards(docs: DataFrame, folder: str, key: int, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = 2048, end: int = END_OF_TEXT, shard_bytes: int = 16 << 20) -> DataFrame:
     """Write shards to ``folder`` (a uri all executors reach); one row per sequence, in no order.
 
@@ -233,11 +239,14 @@ def write_shards(docs: DataFrame, folder: str, key: int, id_col: str = "doc_id",
     rows are encoded as often as they occur.  Only a task's last sequence is filled up, with
     ``end``.  No documents give no shards.  Ids have two bytes: one over 65,535 is an error.
 
-    A folder belongs to one corpus, vocabulary, ``seq_len`` and ``end``; with others it is an error.
+    A folder belongs to one corpus (ids and texts), vocabulary (its bytes), ``seq_len`` and ``end``; with others it is an error.
+    The vocabulary's path must be readable on driver and executors.
     A second call goes on where the first one stopped; with another key it replaces the shards.
     """
     spark = docs.sparkSession
-    about = hashlib.md5(f"{vocabulary}|{seq_len}|{end}".encode()).hexdigest()
+    with open(vocabulary, "rb") as f:
+        vocabulary_mark = hashlib.file_digest(f, "md5").hexdigest()
+    about = hashlib.md5(f"{vocabulary_mark}|{seq_len}|{end}|{corpus_mark(docs, id_col, text_col)}".encode()).hexdigest()
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
     if files.get_file_info(f"{root}/parameters").type == fs.FileType.NotFound:
@@ -245,7 +254,7 @@ def write_shards(docs: DataFrame, folder: str, key: int, id_col: str = "doc_id",
             f.write(about.encode())
     with files.open_input_stream(f"{root}/parameters", compression=None) as f:
         if f.read().decode() != about:
-            raise ValueError(f"{folder} was written with another vocabulary, length or end")
+            raise ValueError(f"{folder} was written with another corpus, vocabulary, length or end")
     seqs = encode_sequences(docs, f"{folder}/sequences", id_col, text_col, vocabulary, seq_len, end)
     placed, total, mark = with_slots(seqs, key)
     per_shard = max(1, shard_bytes // (2 * seq_len))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiremill.llm.common import ascii_lower, others, table
+from quiremill.llm.common import ascii_lower, others, quoted, table
 from quiremill.llm.components import components
 
 MAX_RULES = 500
@@ -89,7 +89,7 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: s
         r = redirects.select("src", "dst")
         edges = r if edges is None else edges.union(r)
     u = F.col(url_col)
-    src = pages.select(F.struct(F.lit(1).alias("_"), *keep).alias("row"), u.alias("u"))
+    src = pages.select(F.struct(F.lit(1).alias("_"), *map(quoted, keep)).alias("row"), u.alias("u"))
     rule, verdict = match(host(F.col("u")), path(F.col("u")), rules)
     src = src.select("row", host(F.col("u")).alias("h"), path(F.col("u")).alias("p"), node(F.col("u")).alias("n"), rule.alias("r"), verdict.alias("v"))
     if edges is None:

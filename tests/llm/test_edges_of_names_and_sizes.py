@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quiremill.llm import decontaminate, language_id, line_dedup, ordinal_quality, sampled_pieces, url_filter
+from quiremill.llm import decontaminate, embedding_dedup, embedding_whitening, jaccard_join, language_id, line_dedup, ordinal_quality, sampled_pieces, source_divergence, substring_dedup, token_shards, url_filter, warc
+from quiremill.llm.common import new_folder
 
 
 def test_added_columns_replace_those_of_any_case(spark):
@@ -24,6 +25,40 @@ def test_added_columns_replace_those_of_any_case(spark):
         assert row["K"] == "x" and "old" not in [v for c, v in row.asDict().items() if c not in ("T", "t", "k_own")], name
 
 
+@pytest.mark.parametrize("name", ["x.y", "Odd` one", "row.text"])
+def test_odd_names_of_further_columns_are_kept(spark, name):
+    docs = spark.createDataFrame([(1, "one two three", "en")], "doc_id long, text string, lang string").withColumn(name, F.lit("old"))
+    made = {
+        "op1": line_dedup.line_dedup(docs),
+        "op2": language_id.identify(docs, per_lang=10),
+        "op7": decontaminate.decontaminate(docs, spark.createDataFrame([(1, "a b")], "item_id long, text string")),
+        "op9": ordinal_quality.score(docs, (np.zeros(1 << 10), np.zeros(2))),
+        "op9 without a model": ordinal_quality.score(docs, None),
+        "op10": sampled_pieces.encode_samples(docs),
+        "op5": url_filter.url_verdicts(docs.select("*", F.lit("http://a.org/").alias("url"), F.lit(None).cast("string").alias("html")), url_filter.RULES),
+    }
+    for op, df in made.items():
+        assert name in df.columns, op
+        (row,) = df.collect()
+        assert row[name] == "old", op
+
+
+def test_odd_names_are_not_read_by_those_that_return_their_own(spark):
+    name = "x.y"
+    docs = spark.createDataFrame([(1, "one two three", "en")], "doc_id long, text string, lang string").withColumn(name, F.lit("old"))
+    assert substring_dedup.substring_dedup(docs).count() == token_shards_rows(spark, docs) == 1
+    assert source_divergence.source_divergence(docs.withColumn("source", F.lit("s"))).count() == 0
+    assert jaccard_join.jaccard_components(docs, 5, 80).count() == 1
+    vectors = spark.createDataFrame([(1, [1.0, 2.0], 1)], "vec_id long, embedding array<double>, label int").withColumn(name, F.lit("old"))
+    assert embedding_dedup.embedding_links(vectors, 2).count() == embedding_whitening.whiten(vectors).count() == 1
+    pages = spark.createDataFrame([(1, "http://a.org/", "x")], "page_id long, url string, html string").withColumn(name, F.lit("old"))
+    assert warc.write_warc(pages, new_folder(spark, "warc")).count() >= 1
+
+
+def token_shards_rows(spark, docs):
+    return token_shards.write_shards(docs, new_folder(spark, "shards"), key=1, seq_len=16).count()
+
+
 @pytest.mark.parametrize("languages", [1, 3])
 def test_sums_in_pieces(monkeypatch, languages):
     monkeypatch.setattr(language_id, "PIECE", 1024 * languages)

@@ -37,3 +37,15 @@ def test_writing_again(spark, tmp_path, monkeypatch):
     assert all(contents(f"{tmp_path}/s")[n] != whole[n] for n in names)
     with pytest.raises(ValueError):
         S.write_shards(docs, folder, key=4, seq_len=32)
+    # repeated in another order the corpus is the same; with another text or id it isn't
+    S.write_shards(docs.repartition(3), folder, key=4, **how)
+    for other in (docs.replace(7, 77, "doc_id"), docs.replace("text number 0 ", "text number zero ", "text"), docs.union(docs.limit(1)), docs.where("doc_id > 0")):
+        with pytest.raises(ValueError, match="another corpus"):
+            S.write_shards(other, folder, key=4, **how)
+    # the same vocabulary at another place is the same, another one at the same place isn't
+    copy = tmp_path / "vocabulary"
+    copy.write_bytes(open(S.VOCABULARY, "rb").read())
+    S.write_shards(docs, folder, key=4, vocabulary=str(copy), **how)
+    copy.write_bytes(b"\n".join(copy.read_bytes().splitlines()[:-1]))
+    with pytest.raises(ValueError, match="vocabulary"):
+        S.write_shards(docs, folder, key=4, vocabulary=str(copy), **how)
