@@ -1,22 +1,26 @@
 """Alignment of OCR text with reference texts.
 
-Exact matches are joins; what depends on a cursor that moves with each match is one task per job
-(``applyInPandas``), whose state is a position.
+Exact matches are joins; what depends on a cursor that moves with each match is a prefix scan over
+pages (``cursor``).
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quiremill.functions import text as X
 from quiremill.functions.similarity import corrected, ratio
+from quiremill.operators import cursor as C
+from quiremill.staging import settled
 
 REFERENCE = r"(\d+)\.(\d+)\.(\d+)"
 
@@ -31,31 +35,97 @@ def explicit_references(entries: DataFrame, keys: DataFrame) -> DataFrame:
     return e.withColumn("ref", F.when(F.col("ord").isNotNull(), F.col("key"))).drop("key")
 
 
-def align_canonical(entries: DataFrame, canonical: DataFrame, keys: DataFrame, threshold: float = 0.6) -> DataFrame:
+def _near_heading(threshold: float):
+    """Rows (by, page, idx, at): for the lines of tiles the places whose text is similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = lambda x: (x or "").strip().lower()
+        for batch in batches:
+            rows: dict[str, list] = {"job": [], "page": [], "idx": [], "at": []}
+            for r in batch.to_pylist():
+                texts = [plain(t["text"]) for t in r["targets"]]
+                bags = C.letters(texts)
+                lines = [plain(x["heading"]) for x in r["lines"]]
+                for x, line, *bag in zip(r["lines"], lines, *C.letters(lines)):
+                    at = [r["targets"][i]["ord"] for i in np.flatnonzero(C.at_most(tuple(bag), bags) + 1e-12 >= threshold) if texts[i] and ratio(line, texts[i]) >= threshold]
+                    if at:
+                        for k, v in (("job", r["job"]), ("page", x["page"]), ("idx", x["idx"]), ("at", at)):
+                            rows[k].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(rows["job"], batch.schema.field("job").type), pa.array(rows["page"], pa.int64()), pa.array(rows["idx"], pa.int64()), pa.array(rows["at"], pa.list_(pa.int64()))], list(rows))
+
+    return run
+
+
+def _parted(rows: DataFrame, targets: DataFrame, by: list[str], small: int):
+    """Rows and targets of keys with at most ``small`` of either, and those of larger keys, None if there are none."""
+    n = rows.groupBy(*by).agg(F.count("*").alias("_n")).unionByName(targets.groupBy(*by).agg(F.count("*").alias("_n")))
+    large = settled(n.where(F.col("_n") > small).select(*[F.col(c).alias(f"_{c}") for c in by]).distinct())
+    if large.isEmpty():
+        return rows, targets, None, None
+    part = lambda df, how: df.join(large, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], how)
+    return *(part(df, "left_anti") for df in (rows, targets)), *(part(df, "left_semi") for df in (rows, targets))
+
+
+def align_canonical(entries: DataFrame, canonical: DataFrame, keys: DataFrame, threshold: float = 0.5, small: int = 20_000) -> DataFrame:
     """(job, page, ref, ord, heading, body) of entries that match, in reading order.
 
     An explicit reference counts first; else the entry at the cursor, if similar enough.  A match
-    puts the cursor behind itself.  Per job only headings and the canonical texts meet in a task.
+    puts the cursor behind itself.  ``canonical`` (job, ord, ref, text) has places from 0 without gaps.  An entry
+    without a page isn't matched; a job without canonical texts has explicit matches only.
+
+    A job of at most ``small`` entries and texts is one task's loop; in larger ones cursors come from
+    a prefix scan over pages, see ``cursor``, and no task holds a job.  The result is the same.
     """
     e = explicit_references(entries, keys).withColumns({"heading": X.clean_lines(F.col("heading")), "body": X.clean_lines(F.col("body"))})
-    c = canonical.select("job", "ord", F.col("ref").alias("cref"), "text")
-    out = "job string, page long, entry long, ref string, ord int, heading string, body string"
-
-    def run(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("ord")
-        texts, refs = right["text"].tolist(), right["cref"].tolist()
-        rows, cursor = [], 0
+    e = e.withColumns({"page": F.col("page").cast("long"), "idx": F.col("idx").cast("long")}).where("page is not null")
+    c = canonical.select("job", F.col("ord").cast("long").alias("ord"), F.col("ref").alias("cref"), "text")
+    steps = e.select("job", "page", "idx", F.col("ord").cast("long").alias("ord"), "heading")
+    few, texts, many, more = _parted(steps, c, ["job"], small)
+    hit = few.groupBy("job").cogroup(texts.withColumnRenamed("job", "_job").groupBy("_job")).applyInPandas(_loop(threshold), f"job {e.schema['job'].dataType.simpleString()}, page long, idx long, hit long")
+    if many is not None:
+        hit = hit.unionByName(_scanned(many, more, threshold))
+    out = e.drop("ord").join(hit, ["job", "page", "idx"]).join(c.select("job", F.col("ord").alias("hit"), "cref"), ["job", "hit"], "left")
+    return out.select("job", "page", "entry", F.coalesce("ref", "cref").alias("ref"), F.col("hit").cast("int").alias("ord"), "heading", "body")
+
+
+def _loop(threshold: float):
+    """The greedy loop over the steps of a job, with its texts."""
+
+    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        texts, cursor, out = dict(zip(right["ord"], right["text"])), 0, []
         for r in left.sort_values(["page", "idx"]).itertuples():
-            at, ref = (int(r.ord), r.ref) if pd.notna(r.ord) else (None, None)
-            if at is None and cursor < len(texts) and texts[cursor] and ratio(r.heading, texts[cursor]) >= threshold:
-                at, ref = cursor, refs[cursor]
+            at = int(r.ord) if pd.notna(r.ord) else cursor if texts.get(cursor) and ratio(r.heading, texts[cursor]) >= threshold else None
+            if at is not None:
+                cursor = at + 1
+                out.append((*key, r.page, r.idx, at))
+        return pd.DataFrame(out, columns=["job", "page", "idx", "hit"])
+
+    return run
+
+
+def _scanned(steps: DataFrame, canonical: DataFrame, threshold: float) -> DataFrame:
+    """What ``_loop`` finds, from a scan over pages."""
+    kind = steps.schema["job"].dataType.simpleString()
+    loose = steps.where("ord is null and heading <> ''").select("job", "page", "idx", "heading")
+    tiles = C.tiles(loose, canonical.where("text <> ''"), ["job"], ["page", "idx", "heading"], ["ord", "text"])
+    near = tiles.mapInArrow(_near_heading(threshold), f"job {kind}, page long, idx long, at array<long>")
+    near = near.groupBy("job", "page", "idx").agg(F.flatten(F.collect_list("at")).alias("at"))
+    explicit = steps.where("ord is not null").select("job", "page", "idx", "ord", F.lit(None).cast("array<long>").alias("at"))
+    steps = settled(explicit.unionByName(near.withColumn("ord", F.lit(None).cast("long"))))
+    moves = settled(C.page_moves(steps, ["job"], lambda r: C.Move(int(r.ord) + 1) if pd.notna(r.ord) else C.moved_on(r.at)))
+
+    def hits(key, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("idx")
+        cursor, out = int(rows["start"].iloc[0]), []
+        for r in rows.itertuples():
+            at = int(r.ord) if pd.notna(r.ord) else cursor if cursor in r.at else None
             if at is not None:
                 cursor = at + 1
-                rows.append((r.job, r.page, r.entry, ref, at, r.heading, r.body))
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
+                out.append((*key, r.idx, at))
+        return pd.DataFrame(out, columns=["job", "page", "idx", "hit"])
 
-    c = c.withColumnRenamed("job", "_job")
-    return e.groupBy("job").cogroup(c.groupBy("_job")).applyInPandas(lambda k, a, b: run(k, a, b), out)
+    begun = C.starts(moves, ["job"]).withColumnRenamed("node", "page")
+    return steps.join(begun, ["job", "page"]).groupBy("job", "page").applyInPandas(hits, f"job {kind}, page long, idx long, hit long")
 
 
 def coverage(matched: DataFrame, canonical: DataFrame) -> DataFrame:
@@ -86,38 +156,131 @@ def _keep_latin(x: str) -> str:
     return re.sub("[^a-z]", "", x.lower())
 
 
-def align_windowed(lines: DataFrame, roots: DataFrame, back: int = 5, ahead: int = 40, least: float = 0.5) -> DataFrame:
-    """Greedy match of lines (job, page, idx, class, text) to the roots of their class.
+def _near_roots(least: float):
+    """Rows (job, class, page, idx, at, score): for the lines of tiles the roots that score ``least`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: dict[str, list] = {k: [] for k in ("job", "class", "page", "idx", "at", "score")}
+            for r in batch.to_pylist():
+                pool = _Pool(r["targets"])
+                for x in r["lines"]:
+                    score, most = pool.bounds(x["text"], 0, len(r["targets"]))
+                    found = [(r["targets"][i]["ord"], s) for i in np.flatnonzero(most + 1e-12 >= least) if (s := score(i)) >= least]
+                    if found:
+                        for k, v in (("job", r["job"]), ("class", r["class"]), ("page", x["page"]), ("idx", x["idx"]), ("at", [f[0] for f in found]), ("score", [f[1] for f in found])):
+                            rows[k].append(v)
+            kinds = [batch.schema.field("job").type, batch.schema.field("class").type, pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], list(rows))
+
+    return run
+
+
+def places(rows: DataFrame, by: list[str], order: str, name: str, width: int = 4096) -> DataFrame:
+    """Adds the place from 0 of each row of a key by ``order`` (whole numbers), counted by ranges so that no task sorts a whole key."""
+    x = rows.withColumn("__range", F.floor(F.col(order) / width))
+    n = x.groupBy(*by, "__range").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    n = n.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("__range").alias("range__"), before.alias("__before"))
+    x = x.withColumn("__place", F.row_number().over(Window.partitionBy(*by, "__range").orderBy(order)) - 1)
+    x = x.join(n, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col("__range").eqNullSafe(F.col("range__"))])
+    return x.withColumn(name, F.col("__before") + F.col("__place")).drop("__range", "range__", "__place", "__before", *[f"_{c}" for c in by])
+
+
+class _Pool:
+    """Roots (dicts) to compare a line with; bounds of the scores come from letters alone."""
+
+    def __init__(self, pool: list[dict]):
+        self.scripts = []
+        for keep, root, meaning in ((_keep_latin, "iast_root", "iast_meaning"), (_keep_deva, "root", "meaning")):
+            parts = [(t[root] or "", t[meaning] or "") for t in pool]
+            texts = ([f"{a} {b}" for a, b in parts], [b for _, b in parts], [a for a, _ in parts])
+            self.scripts.append((keep, parts, [C.letters([keep(y).lower() for y in col]) for col in texts]))
+
+    def bounds(self, line: str, lo: int, hi: int):
+        """A function that scores place ``lo + i``, and bounds from above of the scores of places from ``lo`` to ``hi``."""
+        keep, parts, bags = self.scripts[bool(_DEVA.search(line))]
+        bag = tuple(v[0] for v in C.letters([keep(line).lower()]))
+        full, m, a = (C.at_most(bag, (n[lo:hi], size[lo:hi])) for n, size in bags)
+        return (lambda i: root_score(line, *parts[lo + i], keep)), np.maximum(np.maximum(full, m), 0.4 * a + 0.6 * m)
+
+
+def _root_loop(back: int, ahead: int, least: float):
+    """The greedy loop over the lines of a class, with its roots."""
+
+    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        roots = right.sort_values("ord").to_dict("records")
+        pool = _Pool(roots)
+        taken, out, cursor = set(), [], 0
+        for x in left.sort_values(["page", "idx"]).itertuples():
+            lo = max(0, cursor - back)
+            score, most = pool.bounds(x.text, lo, min(len(roots), cursor + ahead))
+            best, at = 0.0, -1
+            for i in np.argsort(-most, kind="stable"):
+                if most[i] + 1e-12 < max(best, least):
+                    break  # no other can score as much
+                s = score(i)
+                if s > best or (s == best and best > 0 and i < at):
+                    best, at = s, int(i)
+            if best >= least and best > 0 and lo + at not in taken:
+                taken.add(lo + at)
+                out.append((*key, x.page, x.idx, lo + at, best))
+                cursor = max(cursor, lo + at + 1)
+        return pd.DataFrame(out, columns=["job", "class", "page", "idx", "ord", "score"])
+
+    return run
+
+
+def align_windowed(lines: DataFrame, roots: DataFrame, back: int = 5, ahead: int = 40, least: float = 0.5, small: int = 20_000) -> DataFrame:
+    """Greedy match (job, id, page, line, score) of lines (job, page, idx, class, text) to the roots of their class.
 
     The best root from ``back`` before to ``ahead`` behind the cursor, if scored ``least`` or more
-    and not taken; the cursor goes behind it unless it would move back.  A new class starts over.
+    and not taken; the cursor goes behind it unless it would move back.  A class has its own cursor, as
+    classes rise along a job (``structure.running_class``).  Ids of roots are unique in a job; lines without a page aren't matched.
+
+    A class of at most ``small`` lines and roots is one task's loop; larger ones are scanned by pages, see ``cursor``,
+    and no task holds a class.  The result is the same.
+    """
+    by = ["job", "class"]
+    r = places(roots.select("job", "ord", "class", "id", "root", "meaning", "iast_root", "iast_meaning"), by, "ord", "place").drop("ord").withColumnRenamed("place", "ord")
+    rows = lines.where((F.length("text") >= 3) & ~F.col("text").rlike(r"^[IVXLCDMivxlcdm0-9. ]+$") & F.col("page").isNotNull())
+    rows = rows.select("job", F.col("page").cast("long").alias("page"), F.col("idx").cast("long").alias("idx"), "class", "text")
+    key = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
+    few, pool, many, more = _parted(rows, r, by, small)
+    first = few.groupBy(*by).cogroup(pool.withColumnsRenamed({c: f"_{c}" for c in by}).groupBy(*[f"_{c}" for c in by])).applyInPandas(_root_loop(back, ahead, least), f"{key}, page long, idx long, ord long, score double")
+    if many is not None:
+        first = first.unionByName(_scanned_roots(many, more, back, ahead, least))
+    return first.join(rows, [*by, "page", "idx"]).join(r.select(*by, "ord", "id"), [*by, "ord"]).select("job", "id", "page", F.col("text").alias("line"), "score")
+
+
+def _scanned_roots(rows: DataFrame, r: DataFrame, back: int, ahead: int, least: float) -> DataFrame:
+    """What ``_root_loop`` finds, from a scan over pages.
+
+    A taken root has the cursor behind it already, so whether it's taken doesn't change where the cursor goes:
+    of the lines that find one root the first has it.
     """
-    r = roots.select("job", "ord", "class", "id", "root", "meaning", "iast_root", "iast_meaning")
-    rows = lines.where((F.length("text") >= 3) & ~F.col("text").rlike(r"^[IVXLCDMivxlcdm0-9. ]+$"))
-    out = "job string, id long, page long, line string, score double"
-
-    def run(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        by = {c: g.sort_values("ord").to_dict("records") for c, g in right.groupby("class")}
-        taken, found, cursor, now = set(), [], 0, None
-        for x in left.rename(columns={"class": "cls"}).sort_values(["page", "idx"]).itertuples():
-            cls = x.cls
-            if cls != now:
-                cursor, now = 0, cls
-            pool = by.get(cls, [])
-            deva = bool(_DEVA.search(x.text))
-            best, best_at = 0.0, -1
-            for i in range(max(0, cursor - back), min(len(pool), cursor + ahead)):
-                p = pool[i]
-                s = root_score(x.text, p["root"] or "", p["meaning"] or "", _keep_deva) if deva else root_score(x.text, p["iast_root"] or "", p["iast_meaning"] or "", _keep_latin)
-                if s > best:
-                    best, best_at = s, i
-            if best >= least and pool[best_at]["id"] not in taken:
-                taken.add(pool[best_at]["id"])
-                found.append((x.job, pool[best_at]["id"], x.page, x.text, best))
-                cursor = max(cursor, best_at + 1)
-        return pd.DataFrame(found, columns=[c.split()[0] for c in out.split(", ")])
-
-    return rows.groupBy("job").cogroup(r.groupBy("job")).applyInPandas(lambda k, a, b: run(k, a, b), out)
+    by = ["job", "class"]
+    key = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
+    tiles = C.tiles(rows, r, by, ["page", "idx", "text"], ["ord", "root", "meaning", "iast_root", "iast_meaning"])
+    near = tiles.mapInArrow(_near_roots(least), f"{key}, page long, idx long, at array<long>, score array<double>")
+    near = settled(near.groupBy(*by, "page", "idx").agg(F.flatten(F.collect_list("at")).alias("at"), F.flatten(F.collect_list("score")).alias("score")))
+    moves = settled(C.page_moves(near, by, lambda x: C.behind_best(x.at, x.score, back, ahead)))
+
+    def hits(key, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("idx")
+        cursor, out = int(rows["start"].iloc[0]), []
+        for x in rows.itertuples():
+            seen = [(-s, a) for a, s in zip(x.at, x.score) if cursor - back <= a < cursor + ahead]
+            if seen:
+                s, a = min(seen)
+                cursor = max(cursor, a + 1)
+                out.append((*key, x.idx, a, -s))
+        return pd.DataFrame(out, columns=["job", "class", "page", "idx", "ord", "score"])
+
+    begun = C.starts(moves, by).withColumnRenamed("node", "page")
+    hit = near.join(begun, [*by, "page"]).groupBy(*by, "page").applyInPandas(hits, f"{key}, page long, idx long, ord long, score double")
+    first = hit.groupBy(*by, "ord").agg(F.min(F.struct("page", "idx", "score")).alias("f"))
+    return first.select(*by, "f.page", "f.idx", "ord", "f.score")
 
 
 def fill_unmatched(roots: DataFrame, matched: DataFrame, first_page: int = 27) -> DataFrame:

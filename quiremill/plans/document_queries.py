@@ -78,26 +78,37 @@ def token_alignment(spark, d):
 
 
 def _canon(spark, d):
-    b = table(spark, d, "benchmark").select(F.lit("all").alias("job"), (F.col("item_id") % (1 << 30)).cast("int").alias("ord"), F.col("item_id").cast("string").alias("ref"), F.array(F.col("item_id").cast("string")).alias("keys"), "text")
-    return b, b.select("job", F.explode("keys").alias("key"), "ord")
+    """The names of parts are canonical texts, in order of their keys; a book is 200 parts, a page ten."""
+    p = table(spark, d, "part").select(F.floor(F.col("p_partkey") / 200).alias("job"), F.col("p_partkey").alias("key"), "p_brand", F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("text"))
+    return A.places(p, ["job"], "key", "ord").withColumns({"page": F.floor(F.col("ord") / 10), "ref": F.concat_ws(".", F.col("job") + 1, F.floor(F.col("ord") / 10) + 1, F.col("ord") + 1)})
 
 
 @query("canonical_align")
 def canonical_align(spark, d):
-    canon, keys = _canon(spark, d)
-    page = (F.col("ord") / 5).cast("long")
-    blocks = canon.select("job", page.alias("page"), F.col("ord").alias("idx"), F.lit("h2").alias("type"), F.when(F.col("ord") % 4 == 3, F.reverse("text")).otherwise(F.col("text")).alias("text"))
-    a = A.align_canonical(S.entries(blocks), canon, keys)
-    return A.coverage(a, canon)
+    """Headings are the texts, each fourth read backwards; each tenth names its reference."""
+    c = _canon(spark, d)
+    heading = F.when(F.col("ord") % 10 == 9, F.concat("ref", F.lit(" "), "text")).when(F.col("ord") % 4 == 3, F.reverse("text")).otherwise(F.col("text"))
+    blocks = c.select("job", "page", F.col("ord").alias("idx"), F.lit("h2").alias("type"), heading.alias("text"))
+    a = A.align_canonical(S.entries(blocks), c, c.select("job", F.col("ref").alias("key"), "ord"))
+    return a.select("job", "page", "entry", "ref", "ord")
+
+
+@query("canonical_coverage")
+def canonical_coverage(spark, d):
+    """Without named references the cursor stays at the first text that no heading is like."""
+    c = _canon(spark, d)
+    blocks = c.select("job", "page", F.col("ord").alias("idx"), F.lit("h2").alias("type"), "text").where("ord % 50 <> 49")
+    return A.coverage(A.align_canonical(S.entries(blocks), c, c.select("job", F.col("ref").alias("key"), "ord")), c)
 
 
 @query("windowed_align")
 def windowed_align(spark, d):
-    canon, _ = _canon(spark, d)
-    roots = canon.select("job", "ord", F.lit(1).alias("class"), F.col("ord").cast("long").alias("id"), F.lit("").alias("root"), F.lit("").alias("meaning"), F.split_part("text", F.lit(" "), F.lit(1)).alias("iast_root"), F.col("text").alias("iast_meaning"))
-    lines = canon.select("job", (F.col("ord") / 7).cast("long").alias("page"), F.col("ord").alias("idx"), F.lit(1).alias("class"), F.when(F.col("ord") % 3 == 0, F.reverse("text")).otherwise(F.col("text")).alias("text"))
+    """Roots are the texts in two classes, their lines the texts with each third read backwards."""
+    c = _canon(spark, d).withColumn("class", (F.col("ord") / 100).cast("int") + 1)
+    roots = c.select("job", F.col("ord").cast("int").alias("ord"), "class", F.col("ord").alias("id"), F.lit("").alias("root"), F.lit("").alias("meaning"), F.split_part("text", F.lit(" "), F.lit(1)).alias("iast_root"), F.col("text").alias("iast_meaning"))
+    lines = c.select("job", "page", F.col("ord").alias("idx"), "class", F.when(F.col("ord") % 3 == 0, F.reverse("text")).otherwise(F.col("text")).alias("text"))
     full = A.fill_unmatched(roots, A.align_windowed(lines, roots))
-    return full.select("id", "page", "interpolated", F.round("match_confidence", 3).alias("match_confidence"))
+    return full.select("job", "id", "page", "interpolated", F.round("match_confidence", 3).alias("match_confidence"))
 
 
 def _images(spark, d):

@@ -126,9 +126,11 @@ def test_canonical_alignment(spark):
     canon = spark.createDataFrame([("b", 0, "1.1.1", ["1.1.1"], "alpha beta"), ("b", 1, "1.1.2", ["1.1.2"], "gamma delta"), ("b", 2, "1.1.3", ["1.1.3"], "epsilon")], "job string, ord int, ref string, keys array<string>, text string")
     keys = canon.select("job", F.explode("keys").alias("key"), "ord")
     blocks = spark.createDataFrame([("b", 1, 0, "h2", "alpha bета"), ("b", 1, 1, "h2", "alpha betta"), ("b", 1, 2, "p", "text"), ("b", 2, 0, "h2", "01.1.3 something"), ("b", 2, 1, "h2", "gamma delta")], BLOCKS)
-    a = A.align_canonical(S.entries(blocks), canon, keys).orderBy("ord").collect()
+    a = A.align_canonical(S.entries(blocks), canon, keys, 0.6).orderBy("ord").collect()
     # the explicit reference moves the cursor past the entry that would have matched
     assert [(r.ref, r.body) for r in a] == [("1.1.1", ""), ("1.1.3", "")]
+    # at half, where it stands by default, "alpha betta" is like enough to "gamma delta"
+    assert [r.ref for r in A.align_canonical(S.entries(blocks), canon, keys).orderBy("ord").collect()] == ["1.1.1", "1.1.2", "1.1.3"]
 
 
 def test_windowed_alignment_and_fill(spark):
