@@ -215,9 +215,14 @@ def from_roman(c: Column) -> Column:
     return F.aggregate(F.reverse(each), zero, step, lambda acc: acc.sum)
 
 
-def escape_typst(c: Column) -> Column:
-    """Backslashes before the characters that Typst gives a meaning."""
-    return F.regexp_replace(c, r"([\\#$*_`<>@\[\]~])", r"\\$1")
+#: What each kind of text has a backslash before: everything, text of a markup block, text that also stands in quotes, plain text.
+_TYPST = {"all": r"\\#$*_`<>@\[\]~", "block": r"\\#$*_`<>@\[\]=", "quoted": r"\\#$*_`<>@\[\]\"", "plain": r"\\#$*_`<>@\[\]"}
+
+
+def escape_typst(c: Column, kind: str = "all") -> Column:
+    """Backslashes before the characters that Typst gives a meaning; in a block also before a slash at a line's beginning."""
+    escaped = F.regexp_replace(c, f"([{_TYPST[kind]}])", r"\\$1")
+    return F.regexp_replace(escaped, r"(?m)^(\s*)/", r"$1\\/") if kind == "block" else escaped
 
 
 def apply_rules(c: Column, rules: list[tuple[str, str]]) -> Column:
@@ -267,3 +272,16 @@ _SIGLA = [(r"पं[०.]", "पं."), (r"ख[०.]\s*पु[०.]", "ख. प
 def normalize_apparatus(c: Column) -> Column:
     """Sigla of a Devanagari apparatus with a full stop for the abbreviation sign."""
     return apply_rules(c, _SIGLA)
+
+
+_SIGLA_IAST = [(r"पं\.", "paṃ. "), (r"ख\.\s*पु\.", "kha. pu. "), (r"क\.\s*पु\.", "ka. pu. "), (r"ग\.\s*पु\.", "ga. pu. "), (r"पु\.", "pu. ")]
+
+
+def apparatus_iast(c: Column) -> Column:
+    """An apparatus line in Latin script: sigla, text, Arabic digits, dandas as full stop and double slash, avagraha as apostrophe."""
+    from quiremill.functions.similarity import to_iast
+
+    t = to_arabic_digits(to_iast(apply_rules(normalize_apparatus(c), _SIGLA_IAST)))
+    for old, new in (("||", "//"), ("|", "."), ("।", "."), ("॥", "//"), ("ऽ", "'")):
+        t = F.replace(t, F.lit(old), F.lit(new))
+    return strip(F.regexp_replace(t, " +", " "))

@@ -202,6 +202,63 @@ def lesson_pages(blocks: DataFrame) -> DataFrame:
     return p.select(*PAGE, number.alias("number"), F.concat(F.lit("LESSON "), "_word").alias("title")).join(pages, PAGE)
 
 
+# First lessons by contents (strict, then any) and by the top of a page.
+FIRST_LESSON = r"(?iU)^\s*(?:Lesson|Chapter|Kapitel|Teil|Part)\s*(?:1|One|I|Erstes|19)\b"
+ANY_LESSON = r"(?iU)^\s*(?:Lesson|Chapter|Kapitel)\s*\d+"
+LESSON_PAGE = r"(?iU)^(?:LESSON\s+(?:ONE|1|NINETEEN|19)|CHAPTER\s+(?:ONE|1)|KAPITEL\s+1)\b"
+
+
+def first_body_page(pages: DataFrame, blocks: DataFrame, toc: DataFrame) -> DataFrame:
+    """(job, first): ordinal from 1 of the page on which the body begins, for each job of ``pages`` (job, page).
+
+    The first entry of contents (job, ord, level, title, page) at the first level that names a first lesson, else any lesson; else
+    the first of 35 pages whose first three blocks begin with a first lesson; else 1.
+    """
+    top = toc.where("level = 1")
+    named = top.groupBy("job").agg(*[F.min_by("page", F.when(F.col("title").rlike(p), F.col("ord"))).alias(n) for n, p in (("a", FIRST_LESSON), ("b", ANY_LESSON))])
+    w = Window.partitionBy("job").orderBy("page")
+    n = pages.select("job", "page").distinct().withColumn("n", F.row_number().over(w))
+    k = Window.partitionBy("job", "page").orderBy("idx")
+    texts = blocks.withColumn("_k", F.row_number().over(k)).where("_k <= 3").groupBy("job", "page").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_k", "text"))), lambda s: s["text"]), " ").alias("t"))
+    seen = n.where("n <= 35").join(texts, ["job", "page"]).where(X.strip(F.col("t")).rlike(LESSON_PAGE)).groupBy("job").agg(F.min("n").alias("c"))
+    out = pages.select("job").distinct().join(named, "job", "left").join(seen, "job", "left")
+    return out.select("job", F.coalesce(F.nullif("a", F.lit(0)), F.nullif("b", F.lit(0)), "c", F.lit(1)).cast("int").alias("first"))
+
+
+def printed_labels(pages: DataFrame, blocks: DataFrame, toc: DataFrame) -> DataFrame:
+    """(job, page, label, first): the printed number of each page (job, page, printed), and the ordinal of the first body page.
+
+    If two pages and more agree on the distance from ordinal to printed number, it holds for all (the most frequent one; of
+    equals that of the earlier page), in Devanagari digits if any is printed so.  Else the body counts from 1 at ``first_body_page``, and front matter has
+    the Roman numbers found in its first four blocks, counted back to lower ones and on to higher ones; the first three pages of it have none.
+    """
+    w = Window.partitionBy("job").orderBy("page")
+    x = pages.select("job", "page", F.coalesce(F.col("printed").cast("string"), F.lit("")).alias("printed")).withColumn("i", F.row_number().over(w) - 1)
+    number = F.nullif(F.regexp_replace(X.to_arabic_digits(F.col("printed")), "[^0-9]", ""), F.lit("")).try_cast("int")
+    x = x.withColumn("off", F.when(number > 0, number - F.col("i")))
+    votes = x.where("off is not null").groupBy("job", "off").agg(F.count("*").alias("v"), F.min("i").alias("at"))
+    best = votes.groupBy("job").agg(F.max_by(F.struct("off", "v"), F.struct("v", -F.col("at"))).alias("b")).where("b.v >= 2 and b.off > 0").select("job", F.col("b.off").alias("base"))
+    script = x.groupBy("job").agg(F.bool_or(F.col("printed").rlike("[०-९]")).alias("deva"))
+    roman = r"^[ivxlcdm]+$"
+    k = Window.partitionBy("job", "page").orderBy("idx")
+    found = blocks.withColumn("_k", F.row_number().over(k)).where("_k <= 4").withColumn("r", F.lower(X.strip(F.coalesce("text", F.lit(""))))).where(F.col("r").rlike(roman) & (F.length("r") <= 6))
+    found = found.groupBy("job", "page").agg(F.min_by("r", "_k").alias("r"))
+    x = x.join(found, ["job", "page"], "left").join(first_body_page(pages, blocks, toc), "job").join(best, "job", "left").join(script, "job")
+    front = F.col("i") < F.col("first") - 1
+    x = x.withColumn("v", F.when(front & F.col("r").isNotNull(), X.from_roman(F.col("r"))))
+    after = w.rowsBetween(1, Window.unboundedFollowing)
+    near = F.first(F.when(F.col("v").isNotNull(), F.struct("i", "v")), ignorenulls=True).over(after)
+    back = near["v"] - (near["i"] - F.col("i"))
+    x = x.withColumn("v", F.coalesce("v", F.when(front & (back > 0), back)))
+    known = F.last(F.when(F.col("v").isNotNull(), F.struct("i", "v")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    x = x.withColumn("v", F.coalesce("v", F.when(front, known["v"] + F.col("i") - known["i"])))
+    roman_label = F.when(F.col("i") < 3, "").otherwise(F.coalesce(F.col("r"), X.to_roman(F.col("v")), F.lit("")))
+    body = (F.col("i") - F.col("first") + 2).cast("string")
+    fixed = (F.col("base") + F.col("i")).cast("string")
+    label = F.when(F.col("base").isNotNull(), F.when(F.col("deva"), X.to_devanagari_digits(fixed)).otherwise(fixed)).when(front, roman_label).otherwise(body)
+    return x.select("job", "page", label.alias("label"), F.when(F.col("base").isNotNull(), 1).otherwise(F.col("first")).alias("first"))
+
+
 def body_start(blocks: DataFrame, metadata: DataFrame, sidehead_pages: DataFrame | None = None) -> DataFrame:
     """(job, body_start): the page behind the last of front matter within the first thirty, else 1.
 

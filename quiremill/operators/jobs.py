@@ -28,8 +28,12 @@ PAPERS = ("iso-b5", "b5", "a4", "a5", "us-letter")
 PURPOSES = [("_sandwich.pdf", "facsimile with text layer"), ("_digital.pdf", "typeset edition"), (".pdf", "document"), (".tei.xml", "TEI edition"), (".xml", "markup"), (".epub", "e-book"), (".book.json", "document model"), (".json", "data"), (".md", "text"), (".hocr", "layout"), (".txt", "plain text")]
 
 
-def job_report(decisions: DataFrame, by: list[str]) -> DataFrame:
-    """Statistics of page decisions: confidences, shares, tier and cost."""
+def job_report(decisions: DataFrame, by: list[str], reported: DataFrame | None = None) -> DataFrame:
+    """Statistics of page decisions: confidences, shares, tier and cost.
+
+    ``reported`` (by, pages, passed, fallback_pages, fallback_ok), any column absent or null where unknown: what a job's
+    report states counts before what is computed; confidences are always computed.
+    """
     a = decisions.groupBy(*by).agg(
         F.count("*").alias("pages"),
         F.count_if(F.col("decision") == "fallback").alias("fallback_pages"),
@@ -37,8 +41,19 @@ def job_report(decisions: DataFrame, by: list[str]) -> DataFrame:
         F.round(F.min("mean_confidence"), 2).alias("min_confidence"),
         F.round(F.max("mean_confidence"), 2).alias("max_confidence"),
     )
-    passed = (F.col("pages") - F.col("fallback_pages")) / F.col("pages")
-    return a.withColumns({"pass_ratio": passed, "tier": quality_tier(F.coalesce("mean_confidence", F.lit(0.0)), passed), "cost": F.col("fallback_pages") * COST_PER_PAGE})
+    if reported is None:
+        share = F.col("fallback_pages") / F.col("pages")
+        return a.withColumns({"pass_ratio": (F.col("pages") - F.col("fallback_pages")) / F.col("pages"), "tier": quality_tier(F.coalesce("mean_confidence", F.lit(0.0)), share), "cost": F.col("fallback_pages") * COST_PER_PAGE})
+    names = [c for c in ("pages", "passed", "fallback_pages", "fallback_ok") if c in reported.columns]
+    a = a.join(reported.select(*by, *[F.col(c).alias(f"_{c}") for c in names]), by, "left")
+    said = lambda c, other: F.coalesce(f"_{c}", other) if c in names else other
+    pages, fallback = said("pages", F.col("pages")), said("fallback_pages", F.col("fallback_pages"))
+    a = a.withColumns({"_n": pages, "_f": fallback, "_k": said("fallback_ok", fallback)}).withColumn("_p", said("passed", F.col("_n") - F.col("_f")))
+    a = a.withColumns({"pages": F.col("_n"), "fallback_pages": F.col("_f")})
+    none = F.col("pages") == 0
+    passed, corrected = F.when(none, 0.0).otherwise(F.col("_p") / F.col("pages")), F.when(none, 0.0).otherwise(F.col("_k") / F.col("pages"))
+    a = a.withColumns({"pass_ratio": passed, "tier": quality_tier(F.coalesce("mean_confidence", F.lit(0.0)), corrected), "cost": F.col("_k") * COST_PER_PAGE})
+    return a.drop("_n", "_f", "_k", "_p", *[f"_{c}" for c in names])
 
 
 def stage_progress(counts: DataFrame) -> DataFrame:
@@ -121,6 +136,15 @@ def job_catalogue(inputs: DataFrame, outputs: DataFrame, reports: DataFrame) ->
     return x.select("job", F.coalesce("input_pages", F.lit(0)).alias("input_pages"), F.coalesce("artifacts", F.lit(0)).alias("artifacts"), F.coalesce("bytes", F.lit(0)).alias("bytes"), (F.coalesce("fallback_pages", F.lit(0)) * COST_PER_PAGE).alias("cost"), F.coalesce("r", F.lit(False)).alias("has_report"), F.greatest("i_modified", "o_modified").alias("modified"))
 
 
+def correction_statistics(corrections: DataFrame) -> DataFrame:
+    """(job, page, level, pages, tokens, hits) of corrections (job, page, mapping, hits): a row per page, per job and for all.
+
+    ``level`` is 0 for a page, 1 for a job (page null), 3 for all (both null); one pass by grouping sets.  A page without corrections counts with none.
+    """
+    x = corrections.select("job", "page", F.coalesce(F.size(F.map_keys("mapping")), F.lit(0)).alias("_t"), F.coalesce("hits", F.lit(0)).alias("_h"))
+    return x.rollup("job", "page").agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("pages"), F.sum(F.greatest("_t", F.lit(0))).cast("long").alias("tokens"), F.sum("_h").cast("long").alias("hits"))
+
+
 def artifact_inventory(files: DataFrame) -> DataFrame:
     """(job, file, size, purpose): the purpose by the first suffix that fits."""
     purpose = F.lit("other")

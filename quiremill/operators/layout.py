@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiremill.functions import text as X
 
 
-def index_percentile(c: Column, share: float) -> Column:
-    """The element at ``int(n * share)`` of the sorted values: no interpolation."""
-    return F.get(F.sort_array(F.collect_list(c)), F.floor(F.count(c) * share).cast("int"))
+def index_percentile(column: str, share: float) -> Column:
+    """The element at ``int(n * share)`` of the sorted values: no interpolation.
+
+    The discrete percentile just above ``share``; its state is a count per distinct value.
+    """
+    return F.expr(f"percentile_disc({share + 1e-9!r}D) WITHIN GROUP (ORDER BY `{column}`)")
 
 
 def fill_ratio(blocks: DataFrame, by: list[str]) -> DataFrame:
@@ -83,7 +81,7 @@ def layout_calibration(pages: DataFrame, blocks: DataFrame, spans: DataFrame, li
     height = F.col("y1") - F.col("y0")
     m = sampled.join(full, keys, "left").withColumns({"_right": right, "_bottom": F.col("page_h") - F.col("y1"), "_inside": F.when(even, F.col("x0")).otherwise(right), "_outside": F.when(even, right).otherwise(F.col("x0")), "_area": F.when((F.col("_lines") >= 12) & (height > F.col("page_h") * 0.4), height)})
     medians = {"left": "x0", "right": "_right", "top": "y0", "inside": "_inside", "outside": "_outside"}
-    m = m.groupBy(job).agg(*[F.bround(F.median(c), 1).alias(k) for k, c in medians.items()], F.bround(index_percentile(F.col("_bottom"), 0.2), 1).alias("bottom"), F.median("_area").alias("_area"))
+    m = m.groupBy(job).agg(*[F.bround(F.median(c), 1).alias(k) for k, c in medians.items()], F.bround(index_percentile("_bottom", 0.2), 1).alias("bottom"), F.median("_area").alias("_area"))
     out = m.join(size, job).join(_typography(spans, lines, sampled, job, 48.0, 30.0), job, "left")
     extent = {k: "height" if k in ("top", "bottom") else "width" for k in (*medians, "bottom")}
     out = out.withColumns({k: F.bround(_within(F.col(k), F.col(e), 0.4), 1) for k, e in extent.items()})
@@ -227,57 +225,18 @@ def page_verdict(overlap: Column, orig_tokens: Column, dig_tokens: Column, lost_
     return F.when(fail, "FAIL").when(F.size(warnings) > 0, "WARN").otherwise("PASS"), warnings
 
 
-def _shared_words(sets: list[list[str]]):
-    """A function of an Arrow list column of distinct words: per row and set, how many words they share."""
-    vocabulary = pa.array(sorted({w for words in sets for w in words}), pa.string())
-    place = {w: i for i, w in enumerate(vocabulary.to_pylist())}
-    used = [np.array([place[w] for w in words], np.int64) for words in sets]
-    words = np.concatenate([*used, np.zeros(0, np.int64)])
-    holders = np.repeat(np.arange(len(used)), [len(u) for u in used])[np.argsort(words, kind="stable")]
-    first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=len(place)))])
-    n = len(sets)
-
-    def count(column: pa.ListArray) -> np.ndarray:
-        found = pc.index_in(column.flatten(), vocabulary)
-        row = np.repeat(np.arange(len(column)), pc.list_value_length(column).to_numpy(zero_copy_only=False))
-        w, row = found.drop_null().to_numpy().astype(np.int64), row[found.is_valid().to_numpy(zero_copy_only=False)]
-        times = first[w + 1] - first[w]
-        # The places of a word's sets in holders, for all words one after another.
-        each = np.arange(times.sum()) + np.repeat(first[w] - np.cumsum(times) + times, times)
-        return np.bincount(np.repeat(row, times) * n + holders[each], minlength=len(column) * n).reshape(len(column), n)
-
-    return count
-
-
-def _parts(batches: Iterator[pa.RecordBatch], n: int, cells: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches of so few rows that a row each for ``n`` others makes some ``cells`` rows."""
-    step = max(1, cells // max(1, n))
-    for batch in batches:
-        for at in range(0, batch.num_rows if n else 0, step):
-            yield batch.slice(at, step)
-
+def page_pairs(original: DataFrame, digital: DataFrame, by: list[str]) -> DataFrame:
+    """Pages (by, text) that both editions have: (by, original, digital)."""
+    o = original.select(*by, F.col("text").alias("original"))
+    return o.join(digital.select(*by, F.col("text").alias("digital")), by)
 
-def token_overlaps(passages: DataFrame, documents: DataFrame) -> DataFrame:
-    """Each passage with each document: their distinct tokens, those they share, and the Jaccard overlap.
 
-    Nothing blocks a pair, so weak and empty overlaps are there too.  Null texts have no tokens.  The
-    passages are held by every worker; of the documents only a batch.
-    """
-    tokens = F.array_distinct(X.concordance_tokens(F.coalesce("text", F.lit(""))))
-    held = passages.select("item_id", tokens.alias("words")).collect()
-    ids, sets = np.array([r.item_id for r in held], np.int64), [r.words for r in held]
-    sizes, n = np.array([len(x) for x in sets], np.int32), len(sets)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _shared_words(sets)
-        for part in _parts(batches, n):
-            shared = count(part.column("words")).ravel().astype(np.int32)
-            docs, lengths = (part.column(c).take(pa.array(np.repeat(np.arange(part.num_rows), n))) for c in ("doc_id", "n"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(ids, part.num_rows)), docs, pa.array(np.tile(sizes, part.num_rows)), lengths, pa.array(shared)], ["item_id", "doc_id", "item_tokens", "doc_tokens", "shared"])
-
-    d = documents.select("doc_id", tokens.alias("words")).select("doc_id", "words", F.size("words").alias("n"))
-    p = d.mapInArrow(run, "item_id bigint, doc_id bigint, item_tokens int, doc_tokens int, shared int")
-    union = F.col("item_tokens") + F.col("doc_tokens") - F.col("shared")
+def token_overlaps(pairs: DataFrame) -> DataFrame:
+    """Adds the distinct tokens of both texts of a pair, those they share, and their Jaccard overlap; null texts have none."""
+    tokens = lambda c: F.array_distinct(X.concordance_tokens(F.coalesce(c, F.lit(""))))
+    p = pairs.withColumns({"_o": tokens("original"), "_d": tokens("digital")})
+    p = p.select(*pairs.columns, F.size("_o").alias("original_tokens"), F.size("_d").alias("digital_tokens"), F.size(F.array_intersect("_o", "_d")).alias("shared"))
+    union = F.col("original_tokens") + F.col("digital_tokens") - F.col("shared")
     return p.withColumn("overlap", F.when(union == 0, 1.0).otherwise(F.col("shared") / union))
 
 
@@ -290,49 +249,26 @@ def concordance(pairs: DataFrame, page_difference: Column | None = None) -> Data
     return a.withColumn("verdict", verdict)
 
 
-def missing_references(expected: DataFrame, pages: DataFrame) -> DataFrame:
-    """(job, page, missing): expected references that a page's text doesn't hold."""
-    x = expected.join(pages, ["job", "page"], "left").where(~F.coalesce(F.col("text").contains(F.col("ref")), F.lit(False)))
-    return x.groupBy("job", "page").agg(F.sort_array(F.collect_list("ref")).alias("missing"))
-
+def missing_references(expected: DataFrame, pages: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(by, missing): the distinct expected references (by, ref) that the page (by, text) doesn't hold, sorted.
 
-def missing_from_pages(references: DataFrame, pages: DataFrame) -> DataFrame:
-    """(job, page, missing): how many of a job's references (job, ref) each page (page, text) doesn't hold, where any.
-
-    Every job is held against every page, by the whole reference.  A page can only hold a reference
-    if the words between its first and its last blank are words of the page; only then the texts
-    are searched.  A null text holds none, a null reference isn't one.  The references are held by
-    every worker.
+    A page that isn't there, or whose text is null, holds none; a null reference isn't one.  References meet the text as one row
+    a page, so the text travels once.
     """
-    held = references.where("job is not null and ref is not null").select("job", "ref").collect()
-    refs = [r.ref for r in held]
-    sets = [sorted(set(x.split(" ")[1:-1])) for x in refs]
-    sizes, (jobs, job) = np.array([len(x) for x in sets], np.int64), np.unique(np.array([r.job for r in held], np.int64), return_inverse=True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _shared_words(sets)
-        for part in _parts(batches, len(refs)):
-            texts, there = part.column("text"), np.zeros((part.num_rows, len(refs)), bool)
-            row, ref = np.nonzero(count(part.column("words")) == sizes)
-            there[row, ref] = [t is not None and refs[j] in t for t, j in zip(texts.take(pa.array(row)).to_pylist(), ref)]
-            row, ref = np.nonzero(~there)
-            missing = np.bincount(row * len(jobs) + job[ref], minlength=part.num_rows * len(jobs)).astype(np.int32)
-            at = np.nonzero(missing)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(jobs[at % len(jobs)]), part.column("page").take(pa.array(at // len(jobs))), pa.array(missing[at])], ["job", "page", "missing"])
+    by = by or ["job", "page"]
+    refs = expected.where("ref is not null").groupBy(*by).agg(F.sort_array(F.collect_set("ref")).alias("_refs"))
+    x = refs.join(pages.select(*by, "text"), by, "left")
+    gone = F.filter("_refs", lambda r: ~F.coalesce(F.contains(F.col("text"), r), F.lit(False)))
+    return x.select(*by, gone.alias("missing")).where(F.size("missing") > 0)
 
-    words = F.array_distinct(F.split(F.coalesce("text", F.lit("")), " "))
-    return pages.select("page", "text", words.alias("words")).mapInArrow(run, "job bigint, page bigint, missing int")
 
-
-def fit_levels(pages: DataFrame, ladder: DataFrame) -> DataFrame:
-    """The first level of a ladder (level, capacity) at which each page's content fits, else the last.
+def fit_levels(pages: DataFrame, ladder: list[tuple[int, float]]) -> DataFrame:
+    """The first level of a ladder of (level, capacity) at which each page's content fits, else the last.
 
     Step-down without a loop, as fitting depends on the page alone; ``converged`` tells which fit.
     """
-    x = pages.join(F.broadcast(ladder), how="cross") if ladder.count() <= 100 else pages.join(ladder, F.lit(True))
-    fits = F.col("need") <= F.col("capacity")
-    a = x.groupBy("job", "page").agg(F.min(F.when(fits, F.col("level"))).alias("fit"), F.max("level").alias("last"))
-    return a.select("job", "page", F.coalesce("fit", "last").alias("level"), F.col("fit").isNotNull().alias("converged"))
+    fit = F.coalesce(*[F.when(F.col("need") <= capacity, level) for level, capacity in sorted(ladder)])
+    return pages.select("job", "page", F.coalesce(fit, F.lit(max(level for level, _ in ladder))).alias("level"), fit.isNotNull().alias("converged"))
 
 
 def table_shape(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -346,6 +282,11 @@ def table_shape(rows: DataFrame, by: list[str]) -> DataFrame:
     return cols.groupBy(*by).agg((F.max("c") + 1).alias("columns"), F.max("w").alias("longest"), F.count_if("numeric").alias("numeric_columns"))
 
 
+def fit_scale(needed: Column, available: Column, least: float = 0.82) -> Column:
+    """The factor by which a page's content is scaled: 1 where it fits, else 0.98 of what would fit, at least ``least``."""
+    return F.when(needed > available, F.greatest(F.lit(least), 0.98 * available / needed)).otherwise(1.0)
+
+
 def offset_status(delta: Column, tight: float = 1.5, loose: float = 3.0) -> Column:
     """PASS, WARN or FAIL of a distance in points; null (nothing to compare) passes."""
     d = F.abs(delta)

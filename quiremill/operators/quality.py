@@ -51,9 +51,9 @@ def decision(passed: Column) -> Column:
     return F.when(passed, "pass").otherwise("fallback")
 
 
-def quality_tier(avg: Column, fallback_free_ratio: Column) -> Column:
-    """A, B or C from the mean confidence and the share of pages that passed."""
-    return F.when((fallback_free_ratio >= 0.8) | (avg >= 95), "A").when((avg >= 85) | (fallback_free_ratio >= 0.3), "B").otherwise("C")
+def quality_tier(avg: Column, corrected_ratio: Column) -> Column:
+    """A, B or C from the mean confidence and the share of pages whose text came from the better recognition."""
+    return F.when((corrected_ratio >= 0.8) | (avg >= 95), "A").when((avg >= 85) | (corrected_ratio >= 0.3), "B").otherwise("C")
 
 
 def gate_counters(decisions: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -141,12 +141,15 @@ def running_class(lines: DataFrame, patterns: list[tuple[int, str]]) -> DataFram
     return lines.join(pages.withColumn("class", F.max("_c").over(w)).drop("_c"), ["job", "page"])
 
 
-def first_match_in_range(pages: DataFrame, ranges: DataFrame, default: int | None = None) -> DataFrame:
+def first_match_in_range(pages: DataFrame, ranges: DataFrame, default: int | None = None, width: int = 64) -> DataFrame:
     """(job, name, page): first page from ``s`` to ``e`` whose text fits ``pattern``, else ``fallback``, else the default.
 
-    ``ranges``: (job, name, s, e, pattern, fallback).  The range is part of an equi-join on the job.
+    ``ranges``: (job, name, s, e, pattern, fallback).  Pages and ranges meet in bins of ``width`` pages, a range in each bin that
+    it touches, so a job's pages are dealt over its bins and a page meets the ranges near it only.
     """
-    hit = pages.join(ranges, "job").where(F.col("page").between(F.col("s"), F.col("e")))
+    bins = F.sequence(F.floor(F.col("s") / width), F.floor(F.col("e") / width))
+    near = ranges.where("s <= e").select("*", F.explode(bins).alias("_bin"))
+    hit = pages.withColumn("_bin", F.floor(F.col("page") / width)).join(near, ["job", "_bin"]).where(F.col("page").between(F.col("s"), F.col("e")))
     hit = hit.groupBy("job", "name").agg(F.min(F.when(F.expr("text rlike pattern"), F.col("page"))).alias("strict"), F.min(F.when(F.expr("text rlike fallback"), F.col("page"))).alias("loose"))
     out = ranges.select("job", "name").join(hit, ["job", "name"], "left")
     return out.select("job", "name", F.coalesce("strict", "loose", F.lit(default).cast("int")).alias("page"))

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from quiremill.functions import images as I
 from quiremill.functions.similarity import similarity
 from quiremill.operators import alignment as A
+from quiremill.operators import editions as ED
 from quiremill.operators import structure as S
+from quiremill.operators import typeset as TS
 from quiremill.plans.quality_queries import table
 from quiremill.plans.registry import query
 from quiremill.sources import documents as D
@@ -51,9 +53,43 @@ def epub_export(spark, d):
     return E.epub(*_book(spark, d)).select("job", F.octet_length("content").alias("bytes"))
 
 
+def _typeset(spark, d):
+    """Conversations as pages of ten books: their markup, and the contents made of their first-level headings."""
+    blocks, meta = _book(spark, d)
+    pages = blocks.select("job", "page").distinct().withColumns({"label": F.col("page").cast("string"), "book": F.lit("")})
+    toc = S.toc_from_headings(blocks)
+    return blocks, pages, toc, meta
+
+
+@query("typst_pages")
+def typst_pages(spark, d):
+    blocks, pages, toc, _ = _typeset(spark, d)
+    return TS.page_markup(blocks, pages, toc).select("job", "page", F.md5("markup").alias("h"))
+
+
 @query("typst_export")
 def typst_export(spark, d):
-    return E.typst_document(*_book(spark, d)).select("job", F.length("content").alias("chars"))
+    blocks, pages, toc, meta = _typeset(spark, d)
+    full = pages.join(TS.page_markup(blocks, pages, toc), ["job", "page"]).join(TS.chapters(blocks, toc).select("job", "page", "is_chapter"), ["job", "page"])
+    meta = meta.select("job", "title", *[F.lit(None).cast("string").alias(c) for c in ("author", "date", "language")], F.lit(0).alias("front_pages"))
+    return TS.document(full, meta).select("job", F.md5("content").alias("h"), F.length("content").alias("chars"))
+
+
+@query("block_markup")
+def block_markup(spark, d):
+    """Every document as one block: its kind, and a digest of its markup."""
+    b = TS.block_markup(table(spark, d, "documents").select("doc_id", "text"))
+    return b.select("doc_id", "kind", F.md5("markup").alias("h"))
+
+
+@query("edition_lines")
+def edition_lines(spark, d):
+    """Turns of a conversation as lines of three editions: all, those of the user, those of the assistant moved up by one."""
+    t = table(spark, d, "conversations").select(F.col("conv_id").alias("job"), F.lit(1).alias("page"), F.col("turn").alias("idx"), "role", "text")
+    other = t.where("role = 'assistant'").withColumn("idx", F.col("idx") - 1)
+    lines = ED.aligned(t, t.where("role = 'user'").withColumn("text", F.upper("text")), other, ["job", "page", "idx"])
+    p = ED.edition_pages(lines)
+    return p.select("job", "edition", F.md5("markup").alias("h"))
 
 
 @query("markdown_parse")
@@ -132,13 +168,13 @@ def image_restore(spark, d):
 @query(
     "stream_gate",
     """SELECT user_id AS page, count(value) AS word_count, round(avg(value), 3) AS mean_confidence, round(avg(value), 3) >= 40 AS passed,
-  CASE WHEN round(avg(value), 3) >= 40 THEN 'pass' ELSE 'fallback' END AS decision FROM events WHERE value BETWEEN 0 AND 100 GROUP BY user_id""",
+  CASE WHEN round(avg(value), 3) >= 40 THEN 'pass' ELSE 'fallback' END AS decision FROM events WHERE value >= 0 GROUP BY user_id""",
 )
 def stream_gate(spark, d):
     """The gate as a stream over the file, run to its end; its last state is the batch result."""
     e = table(spark, d, "events")
     s = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    w = s.where(F.col("value").between(0, 100)).select(F.col("user_id").alias("page"), F.col("value").alias("conf"))
+    w = s.where(F.col("value") >= 0).select(F.col("user_id").alias("page"), F.col("value").alias("conf"))
     q = G.to_table(G.running_gate(w, 40.0), "stream_gate_out", "complete", G.checkpoint_folder(spark))
     q.awaitTermination()
     return spark.table("stream_gate_out")

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quiremill.functions import text as X
 from quiremill.operators import layout as L
 from quiremill.plans.quality_queries import table
 from quiremill.plans.registry import query
@@ -44,7 +45,7 @@ def layout_medians(spark, d):
     t = table(spark, d, "lineitem")
     return t.groupBy("l_returnflag", "l_linestatus").agg(
         F.median("l_quantity").alias("med_quantity"), F.median("l_extendedprice").alias("med_price"),
-        F.round(F.percentile("l_extendedprice", 0.05), 4).alias("p05"), F.round(F.percentile("l_extendedprice", 0.95), 4).alias("p95"), L.index_percentile(F.col("l_discount"), 0.2).alias("index_p20"),
+        F.round(F.percentile("l_extendedprice", 0.05), 4).alias("p05"), F.round(F.percentile("l_extendedprice", 0.95), 4).alias("p95"), L.index_percentile("l_discount", 0.2).alias("index_p20"),
     )
 
 
@@ -77,31 +78,37 @@ def fill_ratio(spark, d):
 
 
 _TOK = r"list_distinct(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_-]+'), lambda x: length(x) > 1 OR x IN ('a', 'i', 'u')))"
-_PAIRS = f"""WITH b AS (SELECT item_id, coalesce({_TOK}, []) AS s FROM benchmark), d AS (SELECT doc_id, coalesce({_TOK}, []) AS s FROM documents),
-k AS (SELECT item_id, doc_id, len(b.s) AS nb, len(d.s) AS nd, len(list_intersect(b.s, d.s)) AS k FROM b, d),
-p AS (SELECT *, CASE WHEN nb + nd = 0 THEN 1.0 ELSE k / (nb + nd - k) END AS j FROM k),
-v AS (SELECT *, CASE WHEN j < 0.45 AND (nb > 20 OR nd > 20) THEN 'FAIL' WHEN j < 0.65 AND nb > 15 THEN 'WARN' ELSE 'PASS' END AS status FROM p)"""
+# Of each third document's digital text the words that begin with a vowel are left out; another third has other vowels.
+_PAIRS = f"""WITH t AS (SELECT doc_id, text AS original, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN regexp_replace(text, ' [aeiou][a-z]*', '', 'g') ELSE translate(text, 'aeiou', 'ouaie') END AS digital FROM documents),
+b AS (SELECT doc_id, original, digital, coalesce({_TOK.replace("(text)", "(original)")}, []) AS o, coalesce({_TOK.replace("(text)", "(digital)")}, []) AS d FROM t),
+k AS (SELECT *, len(o) AS no, len(d) AS nd, len(list_intersect(o, d)) AS k FROM b),
+p AS (SELECT *, CASE WHEN no + nd = 0 THEN 1.0 ELSE k / (no + nd - k) END AS j FROM k),
+v AS (SELECT *, CASE WHEN j < 0.45 AND (no > 20 OR nd > 20) THEN 'FAIL' WHEN j < 0.65 AND no > 15 THEN 'WARN' ELSE 'PASS' END AS status FROM p)"""
+
+
+def _editions(spark, d):
+    t = table(spark, d, "documents")
+    third = F.col("doc_id") % 3
+    digital = F.when(third == 0, F.col("text")).when(third == 1, F.regexp_replace("text", " [aeiou][a-z]*", "")).otherwise(F.translate("text", "aeiou", "ouaie"))
+    return t.select("doc_id", "text"), t.select("doc_id", digital.alias("text"))
 
 
 def _pairs(spark, d):
-    """Every passage with every document."""
-    return L.token_overlaps(table(spark, d, "benchmark"), table(spark, d, "documents"))
+    """Each document as a page of two editions."""
+    p = L.token_overlaps(L.page_pairs(*_editions(spark, d), ["doc_id"]))
+    zero = F.lit(0.0)
+    status, _ = L.page_verdict(F.col("overlap"), F.col("original_tokens"), F.col("digital_tokens"), F.lit(False), zero, zero, zero)
+    return p.withColumn("status", status)
 
 
-@query("token_jaccard", _PAIRS + " SELECT item_id, doc_id, round(j, 9) AS overlap FROM v")
+@query("token_jaccard", _PAIRS + " SELECT doc_id, no AS original_tokens, nd AS digital_tokens, k AS shared, round(j, 9) AS overlap FROM v")
 def token_jaccard(spark, d):
-    return _pairs(spark, d).select("item_id", "doc_id", F.round("overlap", 9).alias("overlap"))
+    return _pairs(spark, d).select("doc_id", "original_tokens", "digital_tokens", "shared", F.round("overlap", 9).alias("overlap"))
 
 
-@query(
-    "concordance_verdict",
-    _PAIRS + " SELECT item_id, doc_id, status FROM v",
-)
+@query("concordance_verdict", _PAIRS + " SELECT doc_id, status FROM v")
 def concordance_verdict(spark, d):
-    p = _pairs(spark, d)
-    zero = F.lit(0.0)
-    status, _ = L.page_verdict(F.col("overlap"), F.col("item_tokens"), F.col("doc_tokens"), F.lit(False), zero, zero, zero)
-    return p.select("item_id", "doc_id", status.alias("status"))
+    return _pairs(spark, d).select("doc_id", "status")
 
 
 @query(
@@ -110,20 +117,20 @@ def concordance_verdict(spark, d):
 SELECT *, CASE WHEN fail > 0 THEN CASE WHEN fail > 0.05 * pages THEN 'FAIL' ELSE 'WARN' END WHEN warn > 0.2 * pages THEN 'WARN' ELSE 'PASS' END AS verdict FROM a""",
 )
 def concordance_summary(spark, d):
-    p = _pairs(spark, d)
-    zero = F.lit(0.0)
-    status, _ = L.page_verdict(F.col("overlap"), F.col("item_tokens"), F.col("doc_tokens"), F.lit(False), zero, zero, zero)
-    return L.concordance(p.withColumn("status", status)).withColumn("mean_overlap", F.round("mean_overlap", 6))
+    return L.concordance(_pairs(spark, d)).withColumn("mean_overlap", F.round("mean_overlap", 6))
 
 
 @query(
     "page_parity",
-    "SELECT item_id AS job, doc_id AS page, 1 AS missing FROM benchmark b, documents d WHERE b.text IS NOT NULL AND NOT contains(coalesce(d.text, ''), b.text)",
+    _PAIRS + """, r AS (SELECT doc_id, lower(digital) AS digital, unnest(o) AS ref FROM b)
+SELECT doc_id, count(*) AS missing, min(ref) AS first_missing FROM r WHERE NOT contains(digital, ref) GROUP BY doc_id""",
 )
 def page_parity(spark, d):
-    """Every passage in every document, as no key of the tables ties one to the other."""
-    b = table(spark, d, "benchmark").select(F.col("item_id").alias("job"), F.col("text").alias("ref"))
-    return L.missing_from_pages(b, table(spark, d, "documents").select(F.col("doc_id").alias("page"), "text"))
+    """The tokens of each original page that its digital page doesn't hold."""
+    original, digital = _editions(spark, d)
+    refs = original.select("doc_id", F.explode(F.array_distinct(X.concordance_tokens(F.col("text")))).alias("ref"))
+    m = L.missing_references(refs, digital.withColumn("text", F.lower("text")), ["doc_id"])
+    return m.select("doc_id", F.size("missing").cast("bigint").alias("missing"), F.get("missing", F.lit(0)).alias("first_missing"))
 
 
 @query(
@@ -132,7 +139,7 @@ def page_parity(spark, d):
 )
 def fit_levels(spark, d):
     p = table(spark, d, "orders").select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("page"), F.col("o_totalprice").alias("need"))
-    return L.fit_levels(p, spark.createDataFrame([(0, 50000.0), (1, 150000.0), (2, 300000.0)], "level int, capacity double"))
+    return L.fit_levels(p, [(0, 50000.0), (1, 150000.0), (2, 300000.0)])
 
 
 @query(

@@ -7,7 +7,7 @@ from quiremill.operators import quality as Q
 from quiremill.operators.alignment import correct_words
 from quiremill.plans.registry import query
 
-_WORDS = "SELECT user_id AS page, event_id AS idx, value AS conf, event_type AS text FROM events WHERE value BETWEEN 0 AND 100"
+_WORDS = "SELECT user_id AS page, event_id AS idx, value AS conf, event_type AS text FROM events WHERE value >= 0"
 
 
 def table(spark, d, name):
@@ -16,7 +16,7 @@ def table(spark, d, name):
 
 def words(spark, d):
     e = table(spark, d, "events")
-    return e.where(F.col("value").between(0, 100)).select(F.col("user_id").alias("page"), F.col("event_id").alias("idx"), F.col("value").alias("conf"), F.col("event_type").alias("text"))
+    return e.where(F.col("value") >= 0).select(F.col("user_id").alias("page"), F.col("event_id").alias("idx"), F.col("value").alias("conf"), F.col("event_type").alias("text"))
 
 
 @query(
@@ -25,7 +25,7 @@ def words(spark, d):
   max(value) AS max_confidence, round(avg(value), 3) >= 40 AS passed,
   CASE WHEN round(avg(value), 3) >= 40 THEN 'pass' ELSE 'fallback' END AS decision,
   list_extract(list_sort(list(value)), 1) AS lowest, list_extract(list_sort(list(value)), 5) AS fifth_lowest
-FROM events WHERE value BETWEEN 0 AND 100 GROUP BY user_id""",
+FROM events WHERE value >= 0 GROUP BY user_id""",
 )
 def quality_gate(spark, d):
     g = Q.quality_gate(words(spark, d), 40.0)
@@ -37,7 +37,7 @@ def quality_gate(spark, d):
     """SELECT p.page, coalesce(g.n, 0) AS word_count, coalesce(g.m, 0.0) AS mean_confidence,
   CASE WHEN g.n > 0 AND g.m >= 40 THEN 'pass' ELSE 'fallback' END AS decision, CASE WHEN g.n IS NULL THEN 'no words recognised' END AS note
 FROM (SELECT DISTINCT c_custkey AS page FROM customer) p LEFT JOIN (
-  SELECT user_id, count(value) AS n, round(avg(value), 3) AS m FROM events WHERE value BETWEEN 0 AND 100 GROUP BY user_id) g ON g.user_id = p.page""",
+  SELECT user_id, count(value) AS n, round(avg(value), 3) AS m FROM events WHERE value >= 0 GROUP BY user_id) g ON g.user_id = p.page""",
 )
 def gate_with_empty_pages(spark, d):
     pages = table(spark, d, "customer").select(F.col("c_custkey").alias("page"))
@@ -70,8 +70,8 @@ def gate_counters(spark, d):
 r AS (SELECT job, count(*) AS pages, count(*) FILTER (m < 40) AS fallback_pages, round(avg(m), 2) AS mean_confidence,
   round(min(m), 2) AS min_confidence, round(max(m), 2) AS max_confidence FROM p GROUP BY job)
 SELECT *, (pages - fallback_pages) / pages AS pass_ratio, fallback_pages * 0.004 AS cost,
-  CASE WHEN (pages - fallback_pages) / pages >= 0.8 OR mean_confidence >= 95 THEN 'A'
-       WHEN mean_confidence >= 85 OR (pages - fallback_pages) / pages >= 0.3 THEN 'B' ELSE 'C' END AS tier FROM r""",
+  CASE WHEN fallback_pages / pages >= 0.8 OR mean_confidence >= 95 THEN 'A'
+       WHEN mean_confidence >= 85 OR fallback_pages / pages >= 0.3 THEN 'B' ELSE 'C' END AS tier FROM r""",
 )
 def quality_tiers(spark, d):
     g = Q.quality_gate(words(spark, d), 40.0)

@@ -142,14 +142,14 @@ def running_class(spark, d):
 
 @query(
     "first_heading_in_range",
-    r"""WITH r AS (SELECT n_nationkey AS k, n_nationkey * 8 AS s, n_nationkey * 8 + 40 AS e FROM nation)
+    r"""WITH r AS (SELECT n_nationkey AS k, n_nationkey * 8 AS s, n_nationkey * 8 + 40 + n_regionkey * 100 AS e FROM nation)
 SELECT k AS name, coalesce(min(page_id) FILTER (regexp_matches(url, '/fr/')), min(page_id) FILTER (regexp_matches(url, '/en/')), -1) AS page
-FROM r LEFT JOIN pages ON page_id BETWEEN s AND e GROUP BY k""",
+FROM r LEFT JOIN pages ON page_id BETWEEN s AND e AND page_id % 3 = k % 3 GROUP BY k""",
 )
 def first_heading_in_range(spark, d):
     n = F.col("n_nationkey")
-    r = table(spark, d, "nation").select(F.lit(1).alias("job"), n.alias("name"), (n * 8).alias("s"), (n * 8 + 40).alias("e"), F.lit("/fr/").alias("pattern"), F.lit("/en/").alias("fallback"))
-    p = table(spark, d, "pages").select(F.lit(1).alias("job"), F.col("page_id").alias("page"), F.col("url").alias("text"))
+    r = table(spark, d, "nation").select((n % 3).alias("job"), n.alias("name"), (n * 8).alias("s"), (n * 8 + 40 + F.col("n_regionkey") * 100).alias("e"), F.lit("/fr/").alias("pattern"), F.lit("/en/").alias("fallback"))
+    p = table(spark, d, "pages").select((F.col("page_id") % 3).alias("job"), F.col("page_id").alias("page"), F.col("url").alias("text"))
     return S.first_match_in_range(p, r, -1).select("name", "page")
 
 

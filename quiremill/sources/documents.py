@@ -44,6 +44,14 @@ def discover(spark: SparkSession, path: str) -> DataFrame:
     return f.withColumn("rank", F.dense_rank().over(Window.partitionBy("job").orderBy("stem")))
 
 
+def content_kind(name: Column, text: Column) -> Column:
+    """hocr, tsv or either (to be tried as TSV, then as hOCR) for a file of word confidences: by suffix, else by what its text shows."""
+    lower = F.lower(name)
+    sniffed = text.contains("ocrx_word") | text.contains("x_wconf") | F.lower(text).contains("<html")
+    table = text.contains("\t") & F.lower(F.regexp_extract(text, r"^([^\r\n]*)", 1)).contains("conf")
+    return F.when(lower.endswith(".tsv"), "tsv").when(lower.rlike(r"\.(hocr|html|xml)$"), "hocr").when(sniffed, "hocr").when(table, "tsv").otherwise("either")
+
+
 def best_source(candidates: DataFrame, by: list[str], prio: str = "prio", inherit: str | None = None) -> DataFrame:
     """The candidate of least ``prio`` per group; ``inherit`` is taken from the next that has it."""
     w = Window.partitionBy(*by).orderBy(prio)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from quiremill.functions import text as X
 from quiremill.functions.similarity import replace_tokens
+from quiremill.operators.jobs import flagged_rows
 
 TEI = "http://www.tei-c.org/ns/1.0"
 #: PDF content streams longer than this stay as they are.
@@ -149,58 +150,6 @@ def epub(blocks: DataFrame, metadata: DataFrame) -> DataFrame:
     return _per_job(blocks, metadata, _epub, "binary")
 
 
-def inline_typst(text: str) -> str:
-    """Inline Markdown as Typst; code and escapes are kept apart while the rest is replaced."""
-    kept: list[str] = []
-
-    def keep(s: str) -> str:
-        kept.append(s)
-        return f"\x00{len(kept) - 1}\x00"
-
-    text = re.sub(r"`([^`]+)`", lambda m: keep("#raw(" + '"' + m[1].replace("\\", "\\\\").replace('"', '\\"') + '")'), text)
-    text = re.sub(r"\*\*(.+?)\*\*", lambda m: keep(f"#strong[{inline_typst(m[1])}]"), text)
-    text = re.sub(r"(?<!\w)[*_](.+?)[*_](?!\w)", lambda m: keep(f"#emph[{inline_typst(m[1])}]"), text)
-    text = re.sub(r"([\\#$*_`<>@\[\]~])", r"\\\1", text)
-    while "\x00" in text:
-        text = re.sub("\x00(\\d+)\x00", lambda m: kept[int(m[1])], text)
-    return text
-
-
-def block_typst(kind: str, text: str) -> str:
-    if m := re.fullmatch(r"h(\d)", kind):
-        return "=" * int(m[1]) + " " + inline_typst(text)
-    if kind == "sidehead":
-        return f"#sidehead[{inline_typst(text)}]"
-    if kind == "table_row":
-        return " | ".join(inline_typst(c.strip()) for c in text.strip("|").split("|"))
-    if m := re.match(r"^[-*•]\s+(.*)$", text, re.S):
-        return "- " + inline_typst(m[1])
-    if m := re.match(r"^\d+[.)]\s+(.*)$", text, re.S):
-        return "+ " + inline_typst(m[1])
-    return " \\\n".join(map(inline_typst, text.split("\n"))) if re.search("[।॥]", text) else inline_typst(text)
-
-
-@F.pandas_udf(T.StringType())
-def typst(kind: pd.Series, text: pd.Series) -> pd.Series:
-    return pd.Series([block_typst(k, t) if t is not None else None for k, t in zip(kind, text, strict=True)])
-
-
-def typst_document(blocks: DataFrame, metadata: DataFrame) -> DataFrame:
-    """(job, content): Typst source, a page break between pages."""
-    b = blocks.withColumn("_t", typst(F.col("type"), F.col("text")))
-    pages = b.groupBy("job", "page").agg(F.array_join(_ordered(["idx"], F.col("_t")), "\n\n").alias("t"))
-    books = pages.groupBy("job").agg(F.array_join(_ordered(["page"], F.col("t")), "\n\n#pagebreak()\n\n").alias("body"))
-    head = F.concat(F.lit('#set document(title: "'), F.coalesce(F.replace("title", F.lit('"'), F.lit('\\"')), F.lit("")), F.lit('")\n#let sidehead(body) = block(strong(body))\n\n'))
-    return books.join(metadata, "job").select("job", F.concat(head, "body").alias("content"))
-
-
-def audit_markdown(pages: DataFrame) -> DataFrame:
-    """(job, content): a table of page verdicts (job, page, status, overlap)."""
-    line = F.concat(F.lit("| "), F.col("page").cast("string"), F.lit(" | "), "status", F.lit(" | "), F.format_number("overlap", 3), F.lit(" |"))
-    body = pages.groupBy("job").agg(F.array_join(_ordered(["page"], line), "\n").alias("t"))
-    return body.select("job", F.concat(F.lit("# Layout audit\n\n| page | status | overlap |\n|---|---|---|\n"), "t", F.lit("\n")).alias("content"))
-
-
 def _table(*heads: str) -> str:
     return f"| {' | '.join(heads)} |\n|{'---|' * len(heads)}\n"
 
@@ -209,6 +158,29 @@ def _row(*cells) -> Column:
     return F.concat(F.lit("| "), *[x for c in cells for x in (F.coalesce(c.cast("string"), F.lit("-")), F.lit(" | "))][:-1], F.lit(" |"))
 
 
+def audit_markdown(pages: DataFrame) -> DataFrame:
+    """(job, content): summary and flagged rows of page verdicts (job, page, status, overlap, warnings and, if there, original_fill, digital_fill, original_centre, digital_centre, sideheads_agree).
+
+    Pages that don't pass are listed, at most 35, with how many more there are; if all pass, the first 15.  What is unknown is a dash.
+    """
+    has = set(pages.columns)
+    share = lambda c, f: F.when(F.col(c).isNull(), "-").otherwise(F.format_string(f, F.col(c) * (100 if "%%" in f else 1)))
+    pair = lambda a, b, f: F.concat(share(a, f), F.lit(" / "), share(b, f)) if {a, b} <= has else F.lit("-")
+    warnings = F.coalesce(F.nullif(F.array_join("warnings", "; "), F.lit("")), F.lit("-")) if "warnings" in has else F.lit("-")
+    agree = F.when(F.col("sideheads_agree"), "yes").when(~F.col("sideheads_agree"), "no") if "sideheads_agree" in has else F.lit(None).cast("string")
+    line = _row(F.col("page"), F.col("status"), share("overlap", "%.1f%%"), pair("original_fill", "digital_fill", "%.0f%%"), pair("original_centre", "digital_centre", "%.2f"), agree, warnings)
+    shown = flagged_rows(pages).groupBy("job").agg(F.array_join(_ordered(["page"], line), "\n").alias("_rows"))
+    n = lambda s: F.count_if(F.col("status") == s)
+    sums = pages.groupBy("job").agg(F.count("*").alias("_n"), n("PASS").alias("_p"), n("WARN").alias("_w"), n("FAIL").alias("_f"), F.avg("overlap").alias("_o"))
+    more = F.col("_w") + F.col("_f") - 35
+    x = sums.join(shown, "job")
+    return x.select("job", F.concat(
+        F.lit("# Layout audit\n\n"), F.format_string("%d pages: %d pass, %d warn, %d fail; mean token overlap %s\n\n", "_n", "_p", "_w", "_f", share("_o", "%.1f%%")),
+        F.lit(_table("Page", "Status", "Overlap", "Fill", "Centre", "Sideheads", "Warnings")), F.col("_rows"), F.lit("\n"),
+        F.when(more > 0, F.format_string("| ... | ... | ... | ... | ... | ... | %d more flagged pages |\n", more)).otherwise(""),
+    ).alias("content"))
+
+
 #: Pipeline steps of the report, and the suffix of the file that shows that one is done.
 STEPS = [("Intake", None), ("Preprocessing", None), ("Recognition and gate", None), ("Fallback", None), ("Facsimile with text layer", ".sandwich.pdf"), ("TEI edition", ".tei.xml"), ("Typeset edition", ".digital.pdf"), ("Aligned text layer", ".aligned.pdf"), ("Restored facsimile", ".perfect_sandwich.pdf"), ("E-book", ".epub")]
 

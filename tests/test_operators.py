@@ -118,8 +118,7 @@ def test_audit_of_no_pages(spark):
 
 def test_fit_levels(spark):
     p = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 99.0)], "job string, page int, need double")
-    ladder = spark.createDataFrame([(0, 4.0), (1, 8.0)], "level int, capacity double")
-    assert {tuple(r) for r in L.fit_levels(p, ladder).collect()} == {("a", 1, 1, True), ("a", 2, 1, False)}
+    assert {tuple(r) for r in L.fit_levels(p, [(0, 4.0), (1, 8.0)]).collect()} == {("a", 1, 1, True), ("a", 2, 1, False)}
 
 
 def test_canonical_alignment(spark):
