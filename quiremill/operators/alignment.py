@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,11 +25,16 @@ from quiremill.staging import settled
 REFERENCE = r"(\d+)\.(\d+)\.(\d+)"
 
 
+def reference_key(heading: Column, body: Column) -> Column:
+    """The a.b.c that the heading, or the body's first 120 characters, name, without leading zeros."""
+    source = F.when(heading.rlike(REFERENCE), heading).otherwise(F.substring(body, 1, 120))
+    part = lambda i: F.regexp_extract(source, REFERENCE, i).try_cast("int").cast("string")
+    return F.when(source.rlike(REFERENCE), F.concat_ws(".", part(1), part(2), part(3)))
+
+
 def explicit_references(entries: DataFrame, keys: DataFrame) -> DataFrame:
     """Adds ``ref`` and ``ord`` of entries whose heading, or the body's first 120 characters, name a known a.b.c."""
-    source = F.when(F.col("heading").rlike(REFERENCE), F.col("heading")).otherwise(F.substring("body", 1, 120))
-    part = lambda i: F.regexp_extract(source, REFERENCE, i).try_cast("int").cast("string")
-    e = entries.withColumn("key", F.when(source.rlike(REFERENCE), F.concat_ws(".", part(1), part(2), part(3))))
+    e = entries.withColumn("key", reference_key(F.col("heading"), F.col("body")))
     known = keys.select(F.col("job").alias("_job"), F.col("key").alias("_key"), F.col("ord").alias("ord"))
     e = e.join(known, F.expr("job = _job and key = _key"), "left").drop("_job", "_key")
     return e.withColumn("ref", F.when(F.col("ord").isNotNull(), F.col("key"))).drop("key")

@@ -1,17 +1,21 @@
 """Queries that build documents, align texts, treat images and run streams: tests hold most of them, not SQL."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quiremill.functions import images as I
 from quiremill.functions.similarity import similarity
 from quiremill.operators import alignment as A
 from quiremill.operators import editions as ED
+from quiremill.operators import front_matter as FM
+from quiremill.operators import jobs as J
 from quiremill.operators import structure as S
 from quiremill.operators import typeset as TS
 from quiremill.plans.quality_queries import table
 from quiremill.plans.registry import query
 from quiremill.sources import documents as D
 from quiremill.sources import exports as E
+from quiremill.streaming import alignment as ST
 from quiremill.streaming import gate as G
 
 
@@ -75,6 +79,36 @@ def typst_export(spark, d):
     return TS.document(full, meta).select("job", F.md5("content").alias("h"), F.length("content").alias("chars"))
 
 
+@query(
+    "correction_totals",
+    r"""WITH c AS (SELECT lang AS job, doc_id AS page, coalesce(list_distinct(regexp_extract_all(text, '[A-Z][a-z]+')), []) AS w, n_chars % 7 AS hits FROM documents),
+r AS (SELECT job, page, GROUPING(job, page)::INT AS level, count(*) AS pages, sum(len(w))::BIGINT AS tokens, sum(hits)::BIGINT AS hits FROM c GROUP BY ROLLUP (job, page))
+SELECT * FROM r""",
+)
+def correction_totals(spark, d):
+    """A correction for each distinct capitalised word of a document: by document, language and in all."""
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0)))
+    c = table(spark, d, "documents").select(F.col("lang").alias("job"), F.col("doc_id").alias("page"), F.map_from_arrays(words, F.transform(words, F.lower)).alias("mapping"), (F.col("n_chars") % 7).alias("hits"))
+    return J.correction_statistics(c)
+
+
+@query(
+    "printed_labels",
+    """WITH p AS (SELECT source AS job, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN n_chars % 4 END AS more FROM documents),
+v AS (SELECT job, more + 10 AS off, count(*) AS v, min(i) AS fst FROM p WHERE more IS NOT NULL GROUP BY ALL),
+b AS (SELECT job, arg_max(off, v * 1000000 - fst) AS base FROM v GROUP BY job)
+SELECT job, page, (base + i)::VARCHAR AS label FROM p JOIN b USING (job)""",
+)
+def printed_labels(spark, d):
+    """A source is a book, a document a page; each third has a printed number, which is right, or up to three too high."""
+    w = Window.partitionBy("source").orderBy("doc_id")
+    p = table(spark, d, "documents").select("source", "doc_id", "n_chars", (F.row_number().over(w) + 9).alias("n"))
+    pages = p.select(F.col("source").alias("job"), F.col("doc_id").alias("page"), F.when(F.col("doc_id") % 3 == 0, (F.col("n") + F.col("n_chars") % 4).cast("string")).alias("printed"))
+    blocks = pages.select("job", "page", F.lit(0).alias("idx"), F.lit(None).cast("string").alias("text"))
+    toc = pages.limit(0).select("job", "page", F.lit(0).alias("ord"), F.lit(1).alias("level"), F.lit("").alias("title"))
+    return FM.printed_labels(pages, blocks, toc).select("job", "page", "label")
+
+
 @query("block_markup")
 def block_markup(spark, d):
     """Every document as one block: its kind, and a digest of its markup."""
@@ -129,6 +163,19 @@ def canonical_align(spark, d):
     return a.select("job", "page", "entry", "ref", "ord")
 
 
+@query("stream_alignment")
+def stream_alignment(spark, d):
+    """``canonical_align`` as a stream over the file, run to its end."""
+    c = _canon(spark, d)
+    parts = spark.readStream.schema(table(spark, d, "part").schema).option("pathGlobFilter", "part.parquet").parquet(d)
+    text, key = F.concat_ws(" ", "p_name", "p_type", "p_brand"), F.col("p_partkey")
+    lines = parts.select(F.floor(key / 200).alias("job"), F.floor(key % 200 / 10).alias("page"), (key % 200).alias("idx"), (key % 200).alias("entry"), F.when(key % 4 == 3, F.reverse(text)).otherwise(text).alias("heading"), F.lit("").alias("body"))
+    with ST.rocksdb(spark):
+        q = G.to_table(ST.canonical_stream(lines, c, c.select("job", F.col("ref").alias("key"), "ord")), "stream_alignment_out", "append", G.checkpoint_folder(spark))
+        q.awaitTermination()
+    return spark.table("stream_alignment_out").select("job", "page", "entry", "ref", "ord")
+
+
 @query("canonical_coverage")
 def canonical_coverage(spark, d):
     """Without named references the cursor stays at the first text that no heading is like."""

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiremill.functions import text as X
@@ -26,54 +26,47 @@ def job_config(files: DataFrame) -> DataFrame:
     return first.select("job", "c.*", "_raw")
 
 
-def iiif_text(value) -> str:
-    """A IIIF label: a string, a language map, a list of these, or a value object."""
-    if isinstance(value, str):
-        return value
-    if isinstance(value, list):
-        return next((t for t in map(iiif_text, value) if t), "")
-    if isinstance(value, dict):
-        return iiif_text(value["@value"]) if "@value" in value else next((t for t in map(iiif_text, value.values()) if t), "")
-    return ""
+#: A string of a JSON text, with the colon behind it if it is a key.
+_STRING = r'"(?:[^"\\]|\\.)*"(?:\s*:)?'
 
 
-def _canvases(data: dict) -> list[tuple]:
-    """(label, id, width, height, image url) of a manifest of version 2 or 3."""
-    out = []
-    if "items" in data:
-        for c in data.get("items") or []:
-            body = next((a.get("body") for p in c.get("items") or [] for a in p.get("items") or []), None) or {}
-            body = body[0] if isinstance(body, list) and body else body
-            service = body.get("service") or []
-            service = service[0] if isinstance(service, list) and service else service
-            base = (service or {}).get("id") or (service or {}).get("@id") if isinstance(service, dict) else None
-            out.append((c, f"{base.rstrip('/')}/full/max/0/default.jpg" if base else body.get("id")))
-    else:
-        for c in ((data.get("sequences") or [{}])[0]).get("canvases") or []:
-            res = ((c.get("images") or [{}])[0]).get("resource") or {}
-            service = res.get("service") or {}
-            service = service[0] if isinstance(service, list) and service else service
-            base = service.get("@id") if isinstance(service, dict) else None
-            out.append((c, f"{base.rstrip('/')}/full/full/0/default.jpg" if base else res.get("@id")))
-    return [(iiif_text(c.get("label")), c.get("id") or c.get("@id"), c.get("width"), c.get("height"), url) for c, url in out]
+def iiif_text(label: Column) -> Column:
+    """A IIIF label (variant): a string, a language map, a list of these, or a value object; its first text that isn't empty."""
+    plain = F.regexp_replace(F.to_json(label), r'"@language"\s*:\s*"[^"]*",?', "")
+    found = F.filter(F.regexp_extract_all(plain, F.lit(_STRING), F.lit(0)), lambda x: ~x.endswith(":") & (x != '""'))
+    return F.coalesce(F.get(F.from_json(F.concat(F.lit("["), F.get(found, F.lit(0)), F.lit("]")), "array<string>"), F.lit(0)), F.lit(""))
 
 
-def iiif_pages(manifests: DataFrame) -> DataFrame:
-    """Canvases of IIIF manifests (job, json), numbered from 1."""
-    names = ["job", "page_num", "label", "canvas_id", "width", "height", "image_url", "filename"]
+def _at(v: Column, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(v, path, kind)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for job, text in frame.itertuples(index=False):
-                try:
-                    data = json.loads(text)
-                except (TypeError, ValueError):
-                    continue
-                rows += [(job, i, *c, f"page_{i:04d}.jpg") for i, c in enumerate(_canvases(data), 1)]
-            yield pd.DataFrame(rows, columns=names)
 
-    return manifests.select("job", "json").mapInPandas(run, "job string, page_num int, label string, canvas_id string, width int, height int, image_url string, filename string")
+def _first(v: Column, path: str) -> Column:
+    """What stands at a path, or its first element if that is a list."""
+    return F.coalesce(_at(v, f"{path}[0]", "variant"), _at(v, path, "variant"))
+
+
+def iiif_pages(manifests: DataFrame) -> DataFrame:
+    """Canvases of IIIF manifests (job, json) of version 2 or 3, numbered from 1; what isn't JSON has none."""
+    m = manifests.select("job", F.try_parse_json("json").alias("v"))
+    three = _at(F.col("v"), "$.items", "array<variant>")
+    two = _at(F.col("v"), "$.sequences[0].canvases", "array<variant>")
+    is_three = _at(F.col("v"), "$.items", "variant").isNotNull()
+    c = m.select("job", is_three.alias("three"), F.posexplode(F.when(is_three, three).otherwise(two)).alias("i", "c"))
+    none = F.array().cast("array<variant>")
+    notes = F.flatten(F.transform(F.coalesce(_at(F.col("c"), "$.items", "array<variant>"), none), lambda p: F.coalesce(_at(p, "$.items", "array<variant>"), none)))
+    c = c.withColumn("body", F.when(F.col("three"), _first(F.get(notes, F.lit(0)), "$.body")).otherwise(_at(F.col("c"), "$.images[0].resource", "variant")))
+    c = c.withColumn("service", _first(F.col("body"), "$.service"))
+    own = lambda v: _at(v, "$.id")
+    old = lambda v: _at(v, '$["@id"]')
+    base = F.when(F.col("three"), F.coalesce(own(F.col("service")), old(F.col("service")))).otherwise(old(F.col("service")))
+    size = F.when(F.col("three"), "max").otherwise("full")
+    url = F.when(base.isNotNull(), F.concat(F.rtrim(base, F.lit("/")), F.lit("/full/"), size, F.lit("/0/default.jpg"))).otherwise(F.when(F.col("three"), own(F.col("body"))).otherwise(old(F.col("body"))))
+    n = (F.col("i") + 1).cast("int")
+    return c.select(
+        "job", n.alias("page_num"), iiif_text(_at(F.col("c"), "$.label", "variant")).alias("label"), F.coalesce(own(F.col("c")), old(F.col("c"))).alias("canvas_id"),
+        _at(F.col("c"), "$.width", "int").alias("width"), _at(F.col("c"), "$.height", "int").alias("height"), url.alias("image_url"), F.format_string("page_%04d.jpg", n).alias("filename"),
+    )
 
 
 def iiif_metadata(manifests: DataFrame) -> DataFrame:
@@ -93,22 +86,25 @@ def page_urls(pages: DataFrame, urls: DataFrame, template: str | None = None) ->
 
 
 def canonical_entries(texts: DataFrame) -> DataFrame:
-    """(job, ord, ref, keys, text, payload) from the four shapes of canonical JSON: list, {sutras}, {entries}, map."""
+    """(job, ord, ref, keys, text, payload) from the four shapes of canonical JSON (job, json): list, {sutras}, {entries}, map.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for job, text in frame.itertuples(index=False):
-                data = json.loads(text)
-                if isinstance(data, dict):
-                    inner = data.get("sutras") or data.get("entries")
-                    data = inner if isinstance(inner, list) else [v | {"ref": v.get("ref", k)} if isinstance(v, dict) else {"ref": k, "text": str(v)} for k, v in data.items()]
-                for i, e in enumerate(data):
-                    keys = list(dict.fromkeys(str(e[k]) for k in ("ref", "id", "sutra", "code", "dhatu") if e.get(k) is not None))
-                    rows.append((job, i, keys[0] if keys else str(i), keys, e.get("devanagari") or e.get("dhatu") or e.get("text") or "", json.dumps(e, ensure_ascii=False)))
-            yield pd.DataFrame(rows, columns=["job", "ord", "ref", "keys", "text", "payload"])
-
-    return texts.select("job", "json").mapInPandas(run, "job string, ord int, ref string, keys array<string>, text string, payload string")
+    Entries keep the order of the JSON text; ``payload`` is the entry as JSON.  A text that isn't JSON is an error.
+    """
+    j = F.col("json")
+    inner = F.from_json(j, "sutras array<string>, entries array<string>")
+    listed = F.when(F.ltrim(j).startswith("["), F.from_json(j, "array<string>")).when(F.size(inner["sutras"]) > 0, inner["sutras"]).otherwise(inner["entries"])
+    named = F.from_json(j, "map<string,string>")
+    as_list = F.transform(listed, lambda e: F.struct(F.lit(None).cast("string").alias("name"), e.alias("e")))
+    as_map = F.transform(F.map_entries(named), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("e")))
+    valid = F.when(F.try_parse_json(j).isNotNull(), F.coalesce(as_list, as_map)).otherwise(F.raise_error(F.concat(F.lit("no JSON in the canonical text of "), F.col("job").cast("string"))))
+    x = texts.where("json is not null").select("job", F.posexplode(valid).alias("ord", "x")).select("job", "ord", "x.name", "x.e")
+    plain = F.col("name").isNotNull() & ~F.ltrim("e").startswith("{")
+    at = lambda k: F.when(~plain, F.get_json_object("e", f"$.{k}"))
+    keys = F.array_distinct(F.array_compact(F.array(F.coalesce(at("ref"), F.col("name")), *[at(k) for k in ("id", "sutra", "code", "dhatu")])))
+    filled = lambda k: F.nullif(at(k), F.lit(""))
+    text = F.when(plain, F.col("e")).otherwise(F.coalesce(filled("devanagari"), filled("dhatu"), filled("text"), F.lit("")))
+    x = x.select("job", "ord", keys.alias("keys"), text.alias("text"), F.when(plain, F.to_json(F.struct(F.col("name").alias("ref"), F.col("e").alias("text")))).otherwise(F.col("e")).alias("payload"))
+    return x.select("job", "ord", F.coalesce(F.get("keys", F.lit(0)), F.col("ord").cast("string")).alias("ref"), "keys", "text", "payload")
 
 
 def canonical_keys(entries: DataFrame) -> DataFrame:
