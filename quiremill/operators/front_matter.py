@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiremill.functions import text as X
+from quiremill.operators.structure import page_labels
 
 PAGE = ["job", "page"]
 
@@ -226,37 +227,18 @@ def first_body_page(pages: DataFrame, blocks: DataFrame, toc: DataFrame) -> Data
 
 
 def printed_labels(pages: DataFrame, blocks: DataFrame, toc: DataFrame) -> DataFrame:
-    """(job, page, label, first): the printed number of each page (job, page, printed), and the ordinal of the first body page.
+    """(job, page, label): the printed number of each page (job, page, printed), by ``structure.page_labels``.
 
-    If two pages and more agree on the distance from ordinal to printed number, it holds for all (the most frequent one; of
-    equals that of the earlier page), in Devanagari digits if any is printed so.  Else the body counts from 1 at ``first_body_page``, and front matter has
-    the Roman numbers found in its first four blocks, counted back to lower ones and on to higher ones; the first three pages of it have none.
+    The body begins at ``first_body_page``; Roman numbers of front matter are those that stand alone in one of a page's first four blocks.
     """
     w = Window.partitionBy("job").orderBy("page")
-    x = pages.select("job", "page", F.coalesce(F.col("printed").cast("string"), F.lit("")).alias("printed")).withColumn("i", F.row_number().over(w) - 1)
-    number = F.nullif(F.regexp_replace(X.to_arabic_digits(F.col("printed")), "[^0-9]", ""), F.lit("")).try_cast("int")
-    x = x.withColumn("off", F.when(number > 0, number - F.col("i")))
-    votes = x.where("off is not null").groupBy("job", "off").agg(F.count("*").alias("v"), F.min("i").alias("at"))
-    best = votes.groupBy("job").agg(F.max_by(F.struct("off", "v"), F.struct("v", -F.col("at"))).alias("b")).where("b.v >= 2 and b.off > 0").select("job", F.col("b.off").alias("base"))
-    script = x.groupBy("job").agg(F.bool_or(F.col("printed").rlike("[०-९]")).alias("deva"))
-    roman = r"^[ivxlcdm]+$"
     k = Window.partitionBy("job", "page").orderBy("idx")
-    found = blocks.withColumn("_k", F.row_number().over(k)).where("_k <= 4").withColumn("r", F.lower(X.strip(F.coalesce("text", F.lit(""))))).where(F.col("r").rlike(roman) & (F.length("r") <= 6))
-    found = found.groupBy("job", "page").agg(F.min_by("r", "_k").alias("r"))
-    x = x.join(found, ["job", "page"], "left").join(first_body_page(pages, blocks, toc), "job").join(best, "job", "left").join(script, "job")
-    front = F.col("i") < F.col("first") - 1
-    x = x.withColumn("v", F.when(front & F.col("r").isNotNull(), X.from_roman(F.col("r"))))
-    after = w.rowsBetween(1, Window.unboundedFollowing)
-    near = F.first(F.when(F.col("v").isNotNull(), F.struct("i", "v")), ignorenulls=True).over(after)
-    back = near["v"] - (near["i"] - F.col("i"))
-    x = x.withColumn("v", F.coalesce("v", F.when(front & (back > 0), back)))
-    known = F.last(F.when(F.col("v").isNotNull(), F.struct("i", "v")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    x = x.withColumn("v", F.coalesce("v", F.when(front, known["v"] + F.col("i") - known["i"])))
-    roman_label = F.when(F.col("i") < 3, "").otherwise(F.coalesce(F.col("r"), X.to_roman(F.col("v")), F.lit("")))
-    body = (F.col("i") - F.col("first") + 2).cast("string")
-    fixed = (F.col("base") + F.col("i")).cast("string")
-    label = F.when(F.col("base").isNotNull(), F.when(F.col("deva"), X.to_devanagari_digits(fixed)).otherwise(fixed)).when(front, roman_label).otherwise(body)
-    return x.select("job", "page", label.alias("label"), F.when(F.col("base").isNotNull(), 1).otherwise(F.col("first")).alias("first"))
+    found = blocks.withColumn("_k", F.row_number().over(k)).where("_k <= 4").withColumn("r", F.lower(X.strip(F.coalesce("text", F.lit("")))))
+    found = found.where(F.col("r").rlike("^[ivxlcdm]{1,6}$")).groupBy("job", "page").agg(F.min_by("r", "_k").alias("r"))
+    x = pages.select("job", "page", F.coalesce(F.col("printed").cast("string"), F.lit("")).alias("printed_page"), (F.row_number().over(w) - 1).alias("idx"))
+    x = x.join(found, ["job", "page"], "left").join(first_body_page(pages, blocks, toc), "job")
+    labels = page_labels(x.select("job", "idx", "printed_page", F.coalesce("r", F.lit("")).alias("roman"), F.col("first").alias("body_start")))
+    return x.select("job", "page", "idx").join(labels.select("job", "idx", "label"), ["job", "idx"]).select("job", "page", "label")
 
 
 def body_start(blocks: DataFrame, metadata: DataFrame, sidehead_pages: DataFrame | None = None) -> DataFrame:

@@ -171,7 +171,11 @@ def sample_pages(spark, d):
     return c.select("c_custkey", F.concat(F.lit("["), F.array_join(M.sample_pages(F.col("n")).cast("array<string>"), ", "), F.lit("]")).alias("pages"))
 
 
-@query("page_labels")
+@query(
+    "page_labels",
+    """WITH p AS (SELECT o_custkey AS job, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS idx, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+SELECT job, idx::INT AS idx, CASE WHEN idx >= 7 THEN (idx - 6)::VARCHAR WHEN idx < 3 OR n <= 4 THEN '' ELSE ['iv', 'v', 'vi', 'vii'][idx - 2] END AS label FROM p""",
+)
 def page_labels(spark, d):
     from pyspark.sql import Window
 

@@ -154,7 +154,13 @@ def html_headings(spark, d):
     return D.html_blocks(table(spark, d, "pages"), "page_id", "html").where(F.col("type").startswith("h")).select("page_id", "type", "text")
 
 
-@query("html_block_counts")
+@query(
+    "html_block_counts",
+    r"""WITH t AS (SELECT page_id, regexp_extract_all(html, '(?is)<(h[1-6]|p|li)(\s[^>]*)?>', 1) AS kinds, regexp_split_to_array(html, '(?is)<(?:h[1-6]|p|li)(?:\s[^>]*)?>')[2:] AS parts FROM pages),
+e AS (SELECT page_id, lower(unnest(kinds)) AS type, unnest(parts) AS part FROM t),
+b AS (SELECT page_id, type, trim(regexp_replace(regexp_replace(regexp_split_to_array(part, '(?i)</?(?:h[1-6]|p|li)\b')[1], '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM e)
+SELECT page_id, type, count(*) AS n, sum(length(text))::BIGINT AS chars FROM b WHERE text <> '' GROUP BY page_id, type""",
+)
 def html_block_counts(spark, d):
     return D.html_blocks(table(spark, d, "pages"), "page_id", "html").groupBy("page_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
