@@ -187,12 +187,12 @@ def _writer(folder: str, date: str, roll: int):
                 payload = (html or "").encode("utf-8", "surrogatepass")
                 b32 = base64.b32encode(bytes.fromhex(digest)).decode()
                 again = first is not None and page is not None and page != first
-                fields = [("WARC-Type", "revisit" if again else "response"), ("WARC-Record-ID", record_id(page)), ("WARC-Date", date)]
+                fields = [("WARC-Type", "revisit" if again else "response"), ("WARC-Record-ID", record_id(page, f"/{b32}")), ("WARC-Date", date)]
                 fields += [("WARC-Target-URI", url)] if url else []
                 fields += [("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", f"sha1:{b32}")]
                 fields += [("X-Page-Id", str(page))] if page is not None else []
                 if again:
-                    fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(first)), ("X-Refers-To-Page-Id", str(first))]
+                    fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(first, f"/{b32}")), ("X-Refers-To-Page-Id", str(first))]
                 w.add(record(fields, HTTP.format(len(payload)).encode() + (b"" if again else payload)))
                 if w.size >= roll:
                     close()
@@ -209,7 +209,8 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     Of records whose payloads are equal and have at least ``min_bytes`` bytes, the one with the
     smallest id is a response, the others are revisits of it, without payload; smaller payloads
     are all responses.  Null html is an empty payload; a null url gives a record without target; a
-    null id never is or has a revisit; rows that repeat an id and payload are alike.  No pages give
+    null id never is or has a revisit; rows that repeat an id and payload are alike and share a record id, which is made of
+    both, so that rows of one id with different payloads have different ones.  No pages give
     no archive.  Further columns aren't written.
     """
     p = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), F.coalesce(html_col, F.lit("")).alias("html"))

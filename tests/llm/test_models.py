@@ -127,20 +127,25 @@ def test_url_hub(spark):
 
 
 def test_warc_round_trip(spark, tmp_path):
-    pages = [(1, "http://a/\r\nX: y", "<p>ä</p>"), (2, "http://b", "<p>ä</p>"), (3, None, None), (4, "http://c", ""), (None, "http://d", "<p>ä</p>"), (5, "http://e", "x" * 3_000_000), (6, "http://f", "z"), (6, "http://f", "z")]
+    pages = [(1, "http://a/\r\nX: y", "<p>ä</p>"), (2, "http://b", "<p>ä</p>"), (3, None, None), (4, "http://c", ""), (None, "http://d", "<p>ä</p>"), (5, "http://e", "x" * 3_000_000), (6, "http://f", "z"), (6, "http://f", "z"), (6, "http://g", "other")]
     df = spark.createDataFrame([(i, u, h, "q") for i, u, h in pages], "page_id long, url string, html string, digest string")
     made = warc.write_warc(df, f"file://{tmp_path}/w")
     assert made.agg(F.sum("records")).first()[0] == len(pages)
     r = warc.read_warc(made)
-    got = {}
+    got, records, refers = {}, {}, set()
     for x in r.collect():
+        records.setdefault((x.fields.get("x-page-id"), x.payload_digest), set()).add(x.record_id)
         got.setdefault(x.fields.get("x-page-id"), []).append((x.warc_type, x.fields.get("x-refers-to-page-id"), bytes(x.payload) if x.payload is not None else None, x.http_length, x.target_uri))
+        refers |= {x.refers_to} - {None}
+    # one id for rows alike in page and payload, others for all else; a revisit names the response's
+    ids = [i for s in records.values() for i in s]
+    assert len(ids) == len(set(ids)) == len(records) == 8 and refers <= set(ids)
     a = "<p>ä</p>".encode()
     assert got["1"] == [("response", None, a, len(a), "http://a/%0D%0AX: y")]
     assert got["2"][0][:3] == ("revisit", "1", None) and got["2"][0][3] == len(a)
     assert got["3"][0][:3] == ("response", None, b"") and got["4"][0][:2] == ("revisit", "3")
     assert got[None][0][0] == "response" and got["5"][0][2] == b"x" * 3_000_000
-    assert [g[0] for g in got["6"]] == ["response", "response"]
+    assert [g[0] for g in got["6"]] == ["response"] * 3
     small = warc.write_warc(df, f"file://{tmp_path}/s", min_bytes=5)
     assert {x.fields["x-page-id"]: x.warc_type for x in warc.read_warc(small).collect() if "x-page-id" in x.fields}["4"] == "response"
     none = warc.write_warc(df.limit(0), f"file://{tmp_path}/n")
