@@ -1,10 +1,11 @@
 """Quality classifier: ordinal cumulative-link (proportional-odds) regression on graded ratings.
 
 One weight per hashed feature is shared by all grades, ordered thresholds part them:
-``P(grade > k) = sigmoid(w.x - threshold_k)``.  Features are the distinct words of the whole text
+``P(grade > k) = sigmoid(w.x - threshold_k)``.  Features are the distinct words of the whole text, their
+beginnings of two to five bytes (words of one kind begin alike, so that a word counts that wasn't in the sample),
 and a few shape features (share of capitals, repeats, symbols and digits, in steps), hashed.
 The fit is proximal AdaGrad with an L1 penalty on a bounded sample of labelled documents;
-scoring is one pass over all whole texts with the weights broadcast (1 MB).
+scoring is one pass over all whole texts with the weights broadcast (4 MB).
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiremill.llm.common import ddl, numbered, others, split_hint, table
-from quiremill.llm.texthash import U, column_bytes, mix, slices, words
+from quiremill.llm.texthash import U, column_bytes, mix, prefixes, slices, words
 
 #: Steps of the shape features.
 _STEPS = np.array([0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9])
+#: Bytes of a word's beginning.
+BEGINNINGS = (2, 3, 4, 5)
 
 
 def features(col: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,8 +42,9 @@ def features(col: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     same = np.concatenate(([False], (h[order][1:] == h[order][:-1]) & (row[order][1:] == row[order][:-1]))) if len(h) else np.empty(0, bool)
     repeats = np.bincount(row[order][same], minlength=n) / np.maximum(count, 1)
     shapes = [run((data > 64) & (data < 91)) / length, run((data > 47) & (data < 58)) / length, run((data > 32) & (data < 48)) / length, repeats, np.minimum(count / 200, 1)]
-    keys = [h2] + [mix(np.searchsorted(_STEPS, x, "right").astype(U) + U(1000 * (i + 1))) for i, x in enumerate(shapes)]
-    rows = np.concatenate([row2] + [np.arange(n)] * len(shapes))
+    h3, row3 = prefixes(plain, off, BEGINNINGS)
+    keys = [h2, h3] + [mix(np.searchsorted(_STEPS, x, "right").astype(U) + U(1000 * (i + 1))) for i, x in enumerate(shapes)]
+    rows = np.concatenate([row2, row3] + [np.arange(n)] * len(shapes))
     k = (np.concatenate(keys) >> U(64 - bits)).astype(np.int64)
     pairs = np.unique(rows.astype(np.int64) << bits | k)
     return pairs & ((1 << bits) - 1), np.concatenate(([0], np.cumsum(np.bincount(pairs >> bits, minlength=n))))
@@ -50,10 +54,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(x: np.ndarray, off: np.ndarray, grade: np.ndarray, grades: int, bits: int, epochs: int = 16, batch: int = 32, l1: float = 5e-4, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, off: np.ndarray, grade: np.ndarray, grades: int, bits: int, epochs: int = 24, batch: int = 32, l1: float = 2e-3, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """(weights, ordered thresholds) by proximal AdaGrad on the negative log-likelihood.
 
-    Thresholds are a first value and positive gaps, so their order holds throughout.
+    Thresholds are a first value and positive gaps, so their order holds throughout.  The result is the mean over the
+    ends of the later half of the epochs, as single ones differ by the order of the rows.
     """
     w, g2 = np.zeros(1 << bits), np.full(1 << bits, 1e-8)
     # each threshold starts where the share of higher grades alone would put it
@@ -62,7 +67,8 @@ def fit_ordinal(x: np.ndarray, off: np.ndarray, grade: np.ndarray, grades: int,
     t2 = np.full(grades - 1, 1e-8)
     rng = np.random.default_rng(seed)
     n = len(grade)
-    for _ in range(epochs):
+    mean_w, mean_th, taken = np.zeros_like(w), np.zeros_like(th), 0
+    for epoch in range(epochs):
         order = rng.permutation(n)
         for lo in range(0, n, batch):
             rows = order[lo : lo + batch]
@@ -87,19 +93,25 @@ def fit_ordinal(x: np.ndarray, off: np.ndarray, grade: np.ndarray, grades: int,
             gt = dth[:, 1:-1].mean(0)
             t2 += gt**2
             th = np.maximum.accumulate(th - rate / np.sqrt(t2) * gt + 1e-6 * np.arange(grades - 1))
-    return w, th
+        if epoch >= epochs // 2:
+            taken += 1
+            mean_w += (w - mean_w) / taken
+            mean_th += (th - mean_th) / taken
+    return (mean_w, mean_th) if taken else (w, th)
 
 
-def fit(docs: DataFrame, ratings: DataFrame, grade_col: str, id_col: str = "doc_id", text_col: str = "text", grades: int = 3, bits: int = 18, max_rows: int = 12_000, rare: int = 600) -> tuple[np.ndarray, np.ndarray] | None:
-    """Fit on about ``max_rows`` rated documents, chosen by a hash of the id; None without any.
+def fit(docs: DataFrame, ratings: DataFrame, grade_col: str, id_col: str = "doc_id", text_col: str = "text", grades: int = 3, bits: int = 20, max_rows: int = 12_000, max_bytes: int = 128 << 20, rare: int = 600) -> tuple[np.ndarray, np.ndarray] | None:
+    """Fit on about ``max_rows`` rated documents with about ``max_bytes`` of text at most, chosen by a hash of the id; None without any.
 
     ``rare``: features of less than one in so many of these documents are left out.
     ``ratings`` has one integer grade from 0 to ``grades - 1`` per id; rows with a null are skipped.
     """
     r = ratings.where(F.col(grade_col).between(0, grades - 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(grade_col).cast("int").alias("g"))
-    share = max_rows / max(1, r.count())
     draw = F.pmod(F.xxhash64("i", F.lit("rating sample")), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where((draw < share) & F.col("t").isNotNull()).join(r.where(draw < share), "i")
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
+    size = texts.select("i", F.octet_length("t").alias("size")).join(r, "i").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    share = min(max_rows / max(1, r.count()), max_bytes / max(1, size))
+    rows = texts.where(draw < share).join(r.where(draw < share), "i")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

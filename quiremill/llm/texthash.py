@@ -96,6 +96,27 @@ def words(data: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.nda
     return h, np.searchsorted(off, starts, "right") - 1
 
 
+def prefixes(data: np.ndarray, off: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the first bytes, so many as each of ``lengths`` says, of the words that are longer; and their rows."""
+    if not len(data):
+        return np.empty(0, U), np.empty(0, np.int64)
+    data = _LOWER[data]
+    ink = ~_SPACE[data]
+    first, last = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    first[off[:-1]] = last[off[1:]] = True
+    starts = np.flatnonzero(ink & (first[:-1] | ~np.concatenate(([False], ink[:-1]))))
+    size = np.flatnonzero(ink & (last[1:] | ~np.concatenate((ink[1:], [False])))) + 1 - starts
+    up, down = _power_tables(len(data) + 1)
+    run = np.zeros(len(data) + 1, U)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=run[1:])
+    keys, at = [], []
+    for k in lengths:
+        own = starts[size > k]
+        keys.append(mix((run[own + k] - run[own]) * down[own] + U(k * 0xD6E8FEB86659FD95 & (2**64 - 1))))
+        at.append(own)
+    return np.concatenate(keys), np.searchsorted(off, np.concatenate(at), "right") - 1
+
+
 def shingles(h: np.ndarray, row: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingles of each row: sorted hashes, one row after another, and offsets.
 

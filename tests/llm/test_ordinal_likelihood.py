@@ -89,4 +89,4 @@ def test_recall_on_texts_without_copies(spark, sf):
     keep = r.tail_prob >= 0.5
     toxic, good = 1 - keep[r.grade == 0].mean(), keep[r.grade == 2].mean()
     print(f"without copies: toxic found {toxic:.3f} of {(r.grade == 0).sum()}, good kept {good:.3f} of {(r.grade == 2).sum()}")
-    assert good > 0.95 and toxic > 0.5
+    assert good > 0.95 and toxic > 0.7
