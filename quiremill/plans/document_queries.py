@@ -96,8 +96,8 @@ def correction_totals(spark, d):
     "printed_labels",
     """WITH p AS (SELECT source AS job, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, doc_id AS page, CASE WHEN doc_id % 3 = 0 THEN n_chars % 4 END AS more FROM documents),
 v AS (SELECT job, more + 10 AS off, count(*) AS v, min(i) AS fst FROM p WHERE more IS NOT NULL GROUP BY ALL),
-b AS (SELECT job, arg_max(off, v * 1000000 - fst) AS base FROM v GROUP BY job)
-SELECT job, page, (base + i)::VARCHAR AS label FROM p JOIN b USING (job)""",
+b AS (SELECT job, arg_max(off, v * 1000000 - fst) AS base, max(v) AS votes FROM v GROUP BY job)
+SELECT job, page, (CASE WHEN votes >= 2 THEN base ELSE 1 END + i)::VARCHAR AS label FROM p LEFT JOIN b USING (job)""",
 )
 def printed_labels(spark, d):
     """A source is a book, a document a page; each third has a printed number, which is right, or up to three too high."""
