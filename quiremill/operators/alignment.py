@@ -171,7 +171,7 @@ def _near_roots(least: float):
                 pool = _Pool(r["targets"])
                 for x in r["lines"]:
                     score, most = pool.bounds(x["text"], 0, len(r["targets"]))
-                    found = [(r["targets"][i]["ord"], s) for i in np.flatnonzero(most + 1e-12 >= least) if (s := score(i)) >= least]
+                    found = [(r["targets"][i]["ord"], s) for i in np.flatnonzero(most + 1e-12 >= least) if (s := score(i, least)) >= least]
                     if found:
                         for k, v in (("job", r["job"]), ("class", r["class"]), ("page", x["page"]), ("idx", x["idx"]), ("at", [f[0] for f in found]), ("score", [f[1] for f in found])):
                             rows[k].append(v)
@@ -207,7 +207,21 @@ class _Pool:
         keep, parts, bags = self.scripts[bool(_DEVA.search(line))]
         bag = tuple(v[0] for v in C.letters([keep(line).lower()]))
         full, m, a = (C.at_most(bag, (n[lo:hi], size[lo:hi])) for n, size in bags)
-        return (lambda i: root_score(line, *parts[lo + i], keep)), np.maximum(np.maximum(full, m), 0.4 * a + 0.6 * m)
+        own = keep(line)
+
+        def score(i: int, floor: float) -> float:
+            """``root_score``, or something below ``floor`` if that is; parts whose bound is below it aren't compared."""
+            root, meaning = parts[lo + i]
+            s = ratio(own, keep(f"{root} {meaning}")) if full[i] + 1e-12 >= floor else 0.0
+            both = a[i] > 0.7 - 1e-12 and 0.4 * a[i] + 0.6 * m[i] + 1e-12 >= max(floor, s)
+            if both or (m[i] > 0.65 - 1e-12 and m[i] + 1e-12 >= max(floor, s)):
+                of_m = ratio(own, keep(meaning))
+                s = max(s, of_m if of_m > 0.65 else 0.0)
+                if both and (of_r := ratio(own, keep(root))) > 0.7:
+                    s = max(s, 0.4 * of_r + 0.6 * of_m)
+            return s
+
+        return score, np.maximum(np.maximum(full, m), 0.4 * a + 0.6 * m)
 
 
 def _root_loop(back: int, ahead: int, least: float):
@@ -224,7 +238,7 @@ def _root_loop(back: int, ahead: int, least: float):
             for i in np.argsort(-most, kind="stable"):
                 if most[i] + 1e-12 < max(best, least):
                     break  # no other can score as much
-                s = score(i)
+                s = score(i, max(best, least))
                 if s > best or (s == best and best > 0 and i < at):
                     best, at = s, int(i)
             if best >= least and best > 0 and lo + at not in taken:
