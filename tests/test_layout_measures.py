@@ -1,6 +1,10 @@
 """Layout audit, calibration and profile on small books, with values worked out by hand."""
 
+import oracle
+
 from quiremill.operators import layout as L
+from quiremill.plans import queries  # noqa: F401
+from quiremill.plans.registry import ORACLE_SQL, QUERIES
 
 WORDS = "page int, x0 double, y0 double, x1 double, y1 double"
 PAGES = "job string, page int, page_w double, page_h double"
@@ -69,3 +73,18 @@ def test_profile(spark):
     assert tuple(r.marginal_zone) == (40.0, 100.0, 60.0, 20.0) and tuple(r.body_zone) == (120.0, 340.0, 220.0)
     e = got["e"]
     assert (e.macro_layout, e.left, e.right, e.top, e.bottom, e.font_size, e.marginal_zone) == ("single_column", 50.0, 50.0, 55.0, 55.0, None, None)
+
+
+def test_leading_of_a_tie_with_noise(spark):
+    p, x, s, _ = _book(spark, "a", 6, 400.0, 600.0, 30.0, 400.0)
+    # Gaps of 7.9, which is 7.899999999999999 as a difference, and 8: their median is a tie, and 8.0 has the even digit.
+    y = spark.createDataFrame([("a", n, 0, k, *box) for n, y0 in ((0, 63.9), (1, 64.0)) for k, box in enumerate([(50.0, 56.0), (y0, 70.0)])], LINES)
+    assert L.layout_calibration(p, x, s, y).first().leading == 8.0
+
+
+def test_calibration_query_has_pages_without_key_last(spark, tmp_path):
+    keys = [3, None, 1, 2]
+    spark.createDataFrame([(k, 7) for k in keys], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = [(k, 10 * k + i, n, 20.0 + k, 5.0) for k in (1, 2, 3) for i, n in enumerate((1, 2, 3, None))]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    oracle.same(QUERIES["layout_calibration"](spark, str(tmp_path)), ORACLE_SQL["layout_calibration"], str(tmp_path))
