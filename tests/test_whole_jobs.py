@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import oracle
 import pytest
@@ -25,7 +26,7 @@ def test_pairs_by_plain_sets(spark, sf):
     vowels = str.maketrans("aeiou", "ouaie")
     digital = lambda i, t: t if i % 3 == 0 else re.sub(" [aeiou][a-z]*", "", t) if i % 3 == 1 else t.translate(vowels)
     statuses = set()
-    for r in QUERIES["token_jaccard"](spark, sf).collect():
+    for r in QUERIES["edition_jaccard"](spark, sf).collect():
         a, b = tokens(pages[r.doc_id]), tokens(digital(r.doc_id, pages[r.doc_id]))
         assert (r.original_tokens, r.digital_tokens, r.shared) == (len(a), len(b), len(a & b))
     for r in QUERIES["concordance_verdict"](spark, sf).collect():
@@ -33,6 +34,27 @@ def test_pairs_by_plain_sets(spark, sf):
     assert len(statuses) == 3
 
 
+def test_cross_overlaps_by_hand(spark):
+    # two passages and two documents of one id, and rows without id, are rows of their own
+    b = spark.createDataFrame([(1, "one two"), (2, ""), (3, "zz yy one"), (3, None), (None, "ONE")], "item_id long, text string")
+    d = spark.createDataFrame([(7, "two one one " + "more " * 999), (8, None), (9, "zz"), (9, "zz"), (None, "x1")], "doc_id long, text string")
+    got = Counter((r.item_id, r.doc_id, r.item_tokens, r.doc_tokens, r.shared, round(r.overlap, 6)) for r in L.cross_overlaps(b, d).collect())
+    items, docs = [(1, {"one", "two"}), (2, set()), (3, {"zz", "yy", "one"}), (3, set()), (None, {"one"})], [(7, {"two", "one", "more"}), (8, set()), (9, {"zz"}), (9, {"zz"}), (None, {"x1"})]
+    assert got == Counter((i, j, len(x), len(y), len(x & y), round(len(x & y) / len(x | y), 6) if x | y else 1.0) for i, x in items for j, y in docs)
+    assert L.cross_overlaps(b.limit(0), d).count() == L.cross_overlaps(b, d.limit(0)).count() == 0
+
+
+_TOK = r"list_distinct(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_-]+'), lambda x: length(x) > 1 OR x IN ('a', 'i', 'u')))"
+_ALL_PAIRS = f"""WITH b AS (SELECT item_id, {_TOK} AS s FROM benchmark), d AS (SELECT doc_id, {_TOK} AS s FROM documents),
+k AS (SELECT item_id, doc_id, len(b.s) AS nb, len(d.s) AS nd, len(list_intersect(b.s, d.s)) AS k FROM b, d),
+p AS (SELECT *, CASE WHEN nb + nd = 0 THEN 1.0 ELSE k / (nb + nd - k) END AS j FROM k),
+v AS (SELECT *, CASE WHEN j < 0.45 AND (nb > 20 OR nd > 20) THEN 'FAIL' WHEN j < 0.65 AND nb > 15 THEN 'WARN' ELSE 'PASS' END AS status FROM p)"""
+
+
+def test_token_jaccard_has_all_pairs(spark, sf):
+    oracle.same(QUERIES["token_jaccard"](spark, sf), _ALL_PAIRS + " SELECT item_id, doc_id, round(j, 9) AS overlap FROM v", sf)
+
+
 def test_missing_references_by_hand(spark):
     r = spark.createDataFrame([(1, 41, "a long reference"), (1, 41, "short"), (1, 41, "short"), (1, 7, "x"), (2, 8, "y"), (2, 9, None), (3, 1, "gone"), (4, 5, "here")], "job long, page long, ref string")
     p = spark.createDataFrame([(1, 41, "a long refuge"), (1, 7, "." * 3000 + "x"), (2, 8, None), (4, 5, "where")], "job long, page long, text string")
