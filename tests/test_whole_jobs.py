@@ -29,7 +29,7 @@ def test_pairs_by_plain_sets(spark, sf):
     for r in QUERIES["edition_jaccard"](spark, sf).collect():
         a, b = tokens(pages[r.doc_id]), tokens(digital(r.doc_id, pages[r.doc_id]))
         assert (r.original_tokens, r.digital_tokens, r.shared) == (len(a), len(b), len(a & b))
-    for r in QUERIES["concordance_verdict"](spark, sf).collect():
+    for r in QUERIES["edition_verdict"](spark, sf).collect():
         statuses.add(r.status)
     assert len(statuses) == 3
 
@@ -55,6 +55,10 @@ def test_token_jaccard_has_all_pairs(spark, sf):
     oracle.same(QUERIES["token_jaccard"](spark, sf), _ALL_PAIRS + " SELECT item_id, doc_id, round(j, 9) AS overlap FROM v", sf)
 
 
+def test_concordance_verdict_has_all_pairs(spark, sf):
+    oracle.same(QUERIES["concordance_verdict"](spark, sf), _ALL_PAIRS + " SELECT item_id, doc_id, status FROM v", sf)
+
+
 def test_missing_references_by_hand(spark):
     r = spark.createDataFrame([(1, 41, "a long reference"), (1, 41, "short"), (1, 41, "short"), (1, 7, "x"), (2, 8, "y"), (2, 9, None), (3, 1, "gone"), (4, 5, "here")], "job long, page long, ref string")
     p = spark.createDataFrame([(1, 41, "a long refuge"), (1, 7, "." * 3000 + "x"), (2, 8, None), (4, 5, "where")], "job long, page long, text string")
