@@ -59,6 +59,12 @@ def test_concordance_verdict_has_all_pairs(spark, sf):
     oracle.same(QUERIES["concordance_verdict"](spark, sf), _ALL_PAIRS + " SELECT item_id, doc_id, status FROM v", sf)
 
 
+def test_concordance_summary_is_over_all_pairs(spark, sf):
+    sql = """, a AS (SELECT count(*) AS pages, count(*) FILTER (status = 'PASS') AS pass, count(*) FILTER (status = 'WARN') AS warn, count(*) FILTER (status = 'FAIL') AS fail, round(avg(j), 6) AS mean_overlap FROM v)
+SELECT *, CASE WHEN fail > 0 THEN CASE WHEN fail > 0.05 * pages THEN 'FAIL' ELSE 'WARN' END WHEN warn > 0.2 * pages THEN 'WARN' ELSE 'PASS' END AS verdict FROM a"""
+    oracle.same(QUERIES["concordance_summary"](spark, sf), _ALL_PAIRS + sql, sf)
+
+
 def test_missing_references_by_hand(spark):
     r = spark.createDataFrame([(1, 41, "a long reference"), (1, 41, "short"), (1, 41, "short"), (1, 7, "x"), (2, 8, "y"), (2, 9, None), (3, 1, "gone"), (4, 5, "here")], "job long, page long, ref string")
     p = spark.createDataFrame([(1, 41, "a long refuge"), (1, 7, "." * 3000 + "x"), (2, 8, None), (4, 5, "where")], "job long, page long, text string")
